@@ -1,0 +1,7 @@
+"""Streaming.
+
+The marts are a daily full-refresh batch: there is no stream, watermark,
+event-time window or per-key state to carry between runs, so this package
+holds no operators. Incremental arrival of fact files is served by re-running
+``martcraft.plans.run.run_marts`` (each mart is a whole-table overwrite).
+"""
