@@ -116,7 +116,9 @@ def densify_cumulative(df: DataFrame, unit_cols: Sequence[str], partition_cols:
         F.count("_mc").over(wu).alias("_n_cal"),
     )
     first, mc = F.col("_first"), F.col("_mc")
-    in_row = mc.isNotNull()
+    # No fill at all until the partition has a non-NULL measure (``greatest``
+    # skips NULLs, so the guard must be explicit).
+    in_row = mc.isNotNull() & first.isNotNull()
     # Months missing before this row (after the previous calendar month of
     # the unit, and not before the partition's first month).
     gap_lo = F.when(F.col("_prev").isNull(), first).otherwise(
@@ -127,11 +129,11 @@ def densify_cumulative(df: DataFrame, unit_cols: Sequence[str], partition_cols:
                   months_between_inclusive(F.greatest(F.add_months(mc, 1), first), hi))
     # Units with no calendar month at all still get the whole series once
     # their partition has started (from their first row only).
-    whole = F.when(~in_row & (F.col("_n_cal") == 0) & (F.col("_rn") == 1),
+    whole = F.when(mc.isNull() & (F.col("_n_cal") == 0) & (F.col("_rn") == 1),
                    months_between_inclusive(first, hi))
     empty = F.array().cast("array<date>")
     fill = F.concat(F.coalesce(gap, empty), F.coalesce(tail, empty), F.coalesce(whole, empty))
-    own = F.when(in_row & first.isNotNull() & (mc >= first),
+    own = F.when(in_row & (mc >= first),
                  F.array(F.struct(mc.alias("_m"), F.col(measure).alias("_v"))))
     filled = F.transform(fill, lambda x: F.struct(x.alias("_m"), F.lit(None).cast(mtype).alias("_v")))
     cell_type = f"array<struct<_m:date,_v:{mtype.simpleString()}>>"

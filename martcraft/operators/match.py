@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from martcraft.functions.codes import code_variants, normalize_drawing, normalize_maker
 from martcraft.functions.nullsafe import nullsafe_on
 from martcraft.rules import Rules
+from martcraft.session import materialize
 
 CP, DR = "counterparty", "drawing_no"
 GUIDE_COLS = ("name", "code65", "factory_model", "manufacturer", "division")
@@ -70,25 +71,31 @@ def match_dimension(fact_keys: DataFrame, nom: DataFrame, rules: Rules) -> DataF
     (counterparty, drawing_no, m_division, m_internal_code, m_code65): one
     row per output row of the original two left joins for that key, and no
     row where neither attempt matches (the caller's left join yields NULLs).
+
+    The first-attempt and fallback match sets are each used in more than one
+    branch; they are small (keys x matches) and are checkpointed once so the
+    inputs behind them are not re-read per branch.
     """
     gcols = list(GUIDE_COLS)
     fk_alt = _fact_alternatives(fact_keys, rules, [CP, DR])
     g_alt = _prefixed(_guide_alternatives(nom, rules, gcols), "g_", gcols + ["kind", "key"])
 
     # First attempt: same maker, any alternative; DISTINCT = "OR" semantics.
-    primary = (fk_alt.join(g_alt, (F.col(CP) == F.col("g_manufacturer"))
-                           & (F.col("kind") == F.col("g_kind"))
-                           & (F.col("key") == F.col("g_key")))
-               .select(CP, DR, *[F.col("g_" + c).alias("n_" + c) for c in gcols])
-               .distinct())
+    primary = materialize(
+        fk_alt.join(g_alt, (F.col(CP) == F.col("g_manufacturer"))
+                    & (F.col("kind") == F.col("g_kind"))
+                    & (F.col("key") == F.col("g_key")))
+        .select(CP, DR, *[F.col("g_" + c).alias("n_" + c) for c in gcols])
+        .distinct())
 
     # Fallback candidates per drawing: guide rows of the fallback makers.
     fb_alt = g_alt.where(F.col("g_manufacturer").ilike(rules.fallback_maker_pattern))
     dr_alt = _fact_alternatives(fact_keys.select(DR).distinct(), rules, [DR])
-    fallback = (dr_alt.join(fb_alt, (F.col("kind") == F.col("g_kind"))
-                            & (F.col("key") == F.col("g_key")))
-                .select(DR, *[F.col("g_" + c).alias("f_" + c) for c in gcols])
-                .distinct())
+    fallback = materialize(
+        dr_alt.join(fb_alt, (F.col("kind") == F.col("g_kind"))
+                    & (F.col("key") == F.col("g_key")))
+        .select(DR, *[F.col("g_" + c).alias("f_" + c) for c in gcols])
+        .distinct())
 
     out = ["m_division", "m_internal_code", "m_code65"]
 
@@ -123,8 +130,12 @@ def _attach(facts: DataFrame, md: DataFrame, on: Sequence[str]) -> DataFrame:
 def match_guide(facts: DataFrame, nom: DataFrame, rules: Rules) -> DataFrame:
     """Facts with columns m_division, m_internal_code, m_code65 from the v2
     match (first attempt by maker, fallback makers second). Multiplicity is
-    that of the original joins (a fact line may repeat once per match)."""
-    fact_keys = facts.select(CP, DR).distinct()
+    that of the original joins (a fact line may repeat once per match).
+
+    The distinct keys feed three branches of the match, so they are
+    checkpointed: the facts are read once for the keys and once for the
+    final join."""
+    fact_keys = materialize(facts.select(CP, DR).distinct())
     return _attach(facts, match_dimension(fact_keys, nom, rules), [CP, DR])
 
 

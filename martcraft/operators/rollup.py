@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from martcraft.functions.dates import dtype_of, month_in, month_start
 from martcraft.operators.match import match_guide, match_v1
 from martcraft.rules import Rules
+from martcraft.session import materialize
 
 KIT_UNIT = ("division", "internal_code", "code65", "assembly_variant", "sales_direction")
 KIT_ROLLUP_COLS = ("month", "division", "internal_code", "code65", "assembly_variant",
@@ -32,9 +33,12 @@ def kit_rollup(kit_sales: DataFrame, nom: DataFrame, rules: Rules) -> DataFrame:
     The fact is first reduced to one row per (month, counterparty, drawing,
     variant, direction): the match depends only on (counterparty, drawing)
     and SUM distributes over the join's fan-out, so the result is the same
-    while the join sees monthly aggregates instead of lines."""
-    pre = kit_sales.groupBy("month", "counterparty", "drawing_no", "assembly_variant",
-                            "sales_direction").agg(F.sum("sold_qty").alias("sold_qty"))
+    while the join sees monthly aggregates instead of lines. The reduced fact
+    feeds both the distinct match keys and the join, so it is checkpointed:
+    the lines are read once."""
+    pre = materialize(kit_sales.groupBy(
+        "month", "counterparty", "drawing_no", "assembly_variant",
+        "sales_direction").agg(F.sum("sold_qty").alias("sold_qty")))
     m = match_guide(pre, nom, rules)
     return (m.groupBy("month", F.col("m_division").alias("division"),
                       F.col("m_internal_code").alias("internal_code"),
@@ -46,8 +50,9 @@ def kit_rollup(kit_sales: DataFrame, nom: DataFrame, rules: Rules) -> DataFrame:
 def kit_rollup_v1(kit_sales: DataFrame, guide: DataFrame, rules: Rules) -> DataFrame:
     """v1 kit roll-up: v1 match (no dedupe, no fallback); the fact's own
     division wins over the guide's (``COALESCE(s.division, n.division)``)."""
-    pre = kit_sales.groupBy("month", "division", "drawing_no", "assembly_variant",
-                            "sales_direction").agg(F.sum("sold_qty").alias("sold_qty"))
+    pre = materialize(kit_sales.groupBy(
+        "month", "division", "drawing_no", "assembly_variant",
+        "sales_direction").agg(F.sum("sold_qty").alias("sold_qty")))
     m = match_v1(pre, guide, rules)
     return (m.groupBy("month", F.coalesce("division", "m_division").alias("division"),
                       F.col("m_internal_code").alias("internal_code"),

@@ -23,6 +23,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.session.timeZone", "UTC")
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
          .config("spark.driver.memory", "8g"))
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -46,3 +47,13 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, "martcraft", *parts)
+
+
+def materialize(df):
+    """Cut lineage at a stage boundary: a reliable ``checkpoint`` into the
+    shared ``spark.checkpoint.dir``. Used where one reduced intermediate
+    feeds several branches of a plan (so the large input behind it is read
+    once) and where recomputation after an executor loss would reach back to
+    the raw facts."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
