@@ -98,22 +98,25 @@ def densify_cumulative(df: DataFrame, unit_cols: Sequence[str], partition_cols:
     unit_cols, partition_cols = list(unit_cols), list(partition_cols)
     lo, hi = calendar_bounds(start, as_of)
     m = F.col(month_col)
-    mtype = df.schema[measure].dataType
     in_cal = (m >= lo) & (m <= hi) & (m == month_start(m))
 
     rows = (df.select(*unit_cols, month_col, measure)
             .withColumn("_mc", F.when(in_cal, m))
             .repartition(*partition_cols))
-    wp = Window.partitionBy(*partition_cols)
-    wu = Window.partitionBy(*unit_cols)
-    wu_ord = wu.orderBy(F.col("_mc").asc_nulls_last())
+    # In-calendar months first, ascending; off-calendar rows (NULL) last.
+    wu_ord = Window.partitionBy(*unit_cols).orderBy(F.col("_mc").asc_nulls_last())
+    first_measure = F.min(F.when(F.col(measure).isNotNull(), F.col("_mc")))
+    if set(partition_cols) == set(unit_cols):
+        # Same partitioning as the ordered unit window: one sort serves both.
+        wp = wu_ord.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    else:
+        wp = Window.partitionBy(*partition_cols)
     rows = rows.select(
         "*",
-        F.min(F.when(F.col(measure).isNotNull(), F.col("_mc"))).over(wp).alias("_first"),
+        first_measure.over(wp).alias("_first"),
         F.lag("_mc").over(wu_ord).alias("_prev"),
         F.lead("_mc").over(wu_ord).alias("_next"),
         F.row_number().over(wu_ord).alias("_rn"),
-        F.count("_mc").over(wu).alias("_n_cal"),
     )
     first, mc = F.col("_first"), F.col("_mc")
     # No fill at all until the partition has a non-NULL measure (``greatest``
@@ -127,17 +130,17 @@ def densify_cumulative(df: DataFrame, unit_cols: Sequence[str], partition_cols:
     # Months missing after the unit's last calendar month.
     tail = F.when(in_row & F.col("_next").isNull(),
                   months_between_inclusive(F.greatest(F.add_months(mc, 1), first), hi))
-    # Units with no calendar month at all still get the whole series once
-    # their partition has started (from their first row only).
-    whole = F.when(mc.isNull() & (F.col("_n_cal") == 0) & (F.col("_rn") == 1),
-                   months_between_inclusive(first, hi))
+    # A unit without any calendar month (its first row, in NULLS LAST order,
+    # is off-calendar) still gets the whole series once its partition starts.
+    whole = F.when(mc.isNull() & (F.col("_rn") == 1), months_between_inclusive(first, hi))
+    own = in_row & (mc >= first)
     empty = F.array().cast("array<date>")
-    fill = F.concat(F.coalesce(gap, empty), F.coalesce(tail, empty), F.coalesce(whole, empty))
-    own = F.when(in_row & (mc >= first),
-                 F.array(F.struct(mc.alias("_m"), F.col(measure).alias("_v"))))
-    filled = F.transform(fill, lambda x: F.struct(x.alias("_m"), F.lit(None).cast(mtype).alias("_v")))
-    cell_type = f"array<struct<_m:date,_v:{mtype.simpleString()}>>"
-    cells = F.concat(F.coalesce(own, F.array().cast(cell_type)), filled)
-    dense = rows.select(*unit_cols, F.explode(cells).alias("_c")).select(
-        *unit_cols, F.col("_c._m").alias(month_col), F.col("_c._v").alias(measure))
+    months = F.concat(F.when(own, F.array(mc)).otherwise(empty), F.coalesce(gap, empty),
+                      F.coalesce(tail, empty), F.coalesce(whole, empty))
+    # Element 0 is the row's own month when it is kept; every other element
+    # is a filled month with a NULL measure.
+    dense = rows.select(*unit_cols, F.col(measure).alias("_v"), own.alias("_own"),
+                        F.posexplode(months).alias("_pos", month_col)).select(
+        *unit_cols, month_col,
+        F.when(F.col("_own") & (F.col("_pos") == 0), F.col("_v")).alias(measure))
     return dense.withColumn(out, running_total(measure, partition_cols, month_col))

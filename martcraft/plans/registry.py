@@ -318,7 +318,22 @@ def _(spark, inp):
     return spark.read.parquet(path)
 
 
+_INPUTS: dict[tuple[int, str], tuple[SparkSession, Inputs]] = {}
+
+
+def inputs_for(spark: SparkSession, sf_dir: str) -> Inputs:
+    """Fixture inputs, built once per (session, directory): they are lazy,
+    immutable DataFrames, so every query can share them (building them is
+    pure driver-side analysis, repeated per call otherwise)."""
+    key = (id(spark), sf_dir)
+    hit = _INPUTS.get(key)
+    if hit is None or hit[0] is not spark:
+        hit = (spark, fixture_inputs(spark, sf_dir))
+        _INPUTS[key] = hit
+    return hit[1]
+
+
 def queries() -> dict[str, Query]:
     def bind(fn):
-        return lambda spark, sf_dir: fn(spark, fixture_inputs(spark, sf_dir))
+        return lambda spark, sf_dir: fn(spark, inputs_for(spark, sf_dir))
     return {name: bind(fn) for name, fn in _REGISTRY.items()}

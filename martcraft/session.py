@@ -25,6 +25,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
          .config("spark.driver.memory", "8g"))
+    if os.environ.get("MARTCRAFT_EVENTLOG"):
+        b = (b.config("spark.eventLog.enabled", "true")
+             .config("spark.eventLog.dir", os.environ["MARTCRAFT_EVENTLOG"]))
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
