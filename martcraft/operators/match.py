@@ -14,9 +14,10 @@ this plans as a nested loop (facts x guide).
 Here every alternative becomes a row ``(kind, key)`` on both sides, so the
 disjunction is a plain equi-join on (maker, kind, key) followed by a DISTINCT
 per (fact key, guide row), which restores the OR's "at most once per guide
-row" semantics. The match depends only on (counterparty, drawing_no), so it is
-computed once per *distinct* fact key (the "match dimension") and joined back
-to the facts; fact volume never reaches the matching joins.
+row" semantics. The match depends only on (counterparty, drawing_no), so the
+match sets are computed once per *distinct* fact key and joined back to the
+facts on those keys; fact volume never reaches the matching joins, and no
+join in the plan lacks an equi key.
 """
 
 from __future__ import annotations
@@ -27,7 +28,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martcraft.functions.codes import code_variants, normalize_drawing, normalize_maker
-from martcraft.functions.nullsafe import nullsafe_on
 from martcraft.rules import Rules
 from martcraft.session import materialize
 
@@ -63,95 +63,70 @@ def _prefixed(df: DataFrame, prefix: str, cols: Sequence[str]) -> DataFrame:
     return df.select(*[F.col(c).alias(prefix + c) for c in cols])
 
 
-def match_dimension(fact_keys: DataFrame, nom: DataFrame, rules: Rules) -> DataFrame:
-    """v2 match for distinct fact keys.
-
-    ``fact_keys``: distinct (counterparty, drawing_no). ``nom``: de-duplicated
-    guide (name, code65, factory_model, manufacturer, division). Returns
-    (counterparty, drawing_no, m_division, m_internal_code, m_code65): one
-    row per output row of the original two left joins for that key, and no
-    row where neither attempt matches (the caller's left join yields NULLs).
-
-    The first-attempt and fallback match sets are each used in more than one
-    branch; they are small (keys x matches) and are checkpointed once so the
-    inputs behind them are not re-read per branch.
-    """
+def _primary_set(fact_keys: DataFrame, nom: DataFrame, rules: Rules) -> DataFrame:
+    """First attempt per distinct (counterparty, drawing_no): same maker, any
+    alternative; DISTINCT per guide row gives the OR's "at most once"."""
     gcols = list(GUIDE_COLS)
     fk_alt = _fact_alternatives(fact_keys, rules, [CP, DR])
     g_alt = _prefixed(_guide_alternatives(nom, rules, gcols), "g_", gcols + ["kind", "key"])
+    return (fk_alt.join(g_alt, (F.col(CP) == F.col("g_manufacturer"))
+                        & (F.col("kind") == F.col("g_kind"))
+                        & (F.col("key") == F.col("g_key")))
+            .select(F.col(CP).alias("_p_cp"), F.col(DR).alias("_p_dr"),
+                    *[F.col("g_" + c).alias("n_" + c) for c in gcols])
+            .distinct())
+
+
+def _fallback_set(drawings: DataFrame, nom: DataFrame, rules: Rules) -> DataFrame:
+    """Fallback candidates per distinct drawing: guide rows of the fallback
+    makers (pattern match on the maker), any alternative, once per row."""
+    gcols = list(GUIDE_COLS)
+    fb = nom.where(F.col("manufacturer").ilike(rules.fallback_maker_pattern))
+    g_alt = _prefixed(_guide_alternatives(fb, rules, gcols), "g_", gcols + ["kind", "key"])
+    dr_alt = _fact_alternatives(drawings, rules, [DR])
+    return (dr_alt.join(g_alt, (F.col("kind") == F.col("g_kind")) & (F.col("key") == F.col("g_key")))
+            .select(F.col(DR).alias("_f_dr"), *[F.col("g_" + c).alias("f_" + c) for c in gcols])
+            .distinct())
+
 
-    # First attempt: same maker, any alternative; DISTINCT = "OR" semantics.
-    primary = materialize(
-        fk_alt.join(g_alt, (F.col(CP) == F.col("g_manufacturer"))
-                    & (F.col("kind") == F.col("g_kind"))
-                    & (F.col("key") == F.col("g_key")))
-        .select(CP, DR, *[F.col("g_" + c).alias("n_" + c) for c in gcols])
-        .distinct())
-
-    # Fallback candidates per drawing: guide rows of the fallback makers.
-    fb_alt = g_alt.where(F.col("g_manufacturer").ilike(rules.fallback_maker_pattern))
-    dr_alt = _fact_alternatives(fact_keys.select(DR).distinct(), rules, [DR])
-    fallback = materialize(
-        dr_alt.join(fb_alt, (F.col("kind") == F.col("g_kind"))
-                    & (F.col("key") == F.col("g_key")))
-        .select(DR, *[F.col("g_" + c).alias("f_" + c) for c in gcols])
-        .distinct())
-
-    out = ["m_division", "m_internal_code", "m_code65"]
-
-    # (a) no first-attempt match: fallback rows (NULL keys never match).
-    unmatched = fact_keys.join(primary.select(CP, DR).distinct(), [CP, DR], "left_anti")
-    md_unmatched = unmatched.join(fallback, DR).select(
-        CP, DR, F.col("f_division").alias(out[0]), F.col("f_name").alias(out[1]),
-        F.col("f_code65").alias(out[2]))
-    # (b) matched row with a model: taken as is.
-    md_model = primary.where(F.col("n_factory_model").isNotNull()).select(
-        CP, DR, F.col("n_division").alias(out[0]), F.col("n_name").alias(out[1]),
-        F.col("n_code65").alias(out[2]))
-    # (c) matched row without a model: the fallback fires too; column-wise
-    # COALESCE of the two attempts.
-    md_nomodel = (primary.where(F.col("n_factory_model").isNull())
-                  .join(fallback, DR, "left")
-                  .select(CP, DR,
-                          F.coalesce("n_division", "f_division").alias(out[0]),
-                          F.coalesce("n_name", "f_name").alias(out[1]),
-                          F.coalesce("n_code65", "f_code65").alias(out[2])))
-    return md_unmatched.unionByName(md_model).unionByName(md_nomodel)
-
-
-def _attach(facts: DataFrame, md: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Left join facts to a match dimension on null-safe key equality."""
-    md = md.select(*[F.col(k).alias("_mk_" + k) for k in on],
-                   *[c for c in md.columns if c not in on])
-    cond = nullsafe_on(facts, md, on, ["_mk_" + k for k in on])
-    return facts.join(md, cond, "left").drop(*["_mk_" + k for k in on])
-
-
-def match_guide(facts: DataFrame, nom: DataFrame, rules: Rules) -> DataFrame:
+def match_guide(facts: DataFrame, nom: DataFrame, rules: Rules,
+                keys_materialized: bool = False) -> DataFrame:
     """Facts with columns m_division, m_internal_code, m_code65 from the v2
-    match (first attempt by maker, fallback makers second). Multiplicity is
-    that of the original joins (a fact line may repeat once per match).
+    match: the original two left joins, each against a match set that was
+    computed on distinct keys with equi-joins only::
 
-    The distinct keys feed three branches of the match, so they are
-    checkpointed: the facts are read once for the keys and once for the
-    final join."""
-    fact_keys = materialize(facts.select(CP, DR).distinct())
-    return _attach(facts, match_dimension(fact_keys, nom, rules), [CP, DR])
+        facts LEFT JOIN primary  ON counterparty = p.counterparty AND drawing = p.drawing
+              LEFT JOIN fallback ON drawing = f.drawing AND p.factory_model IS NULL
+        COALESCE(primary.x, fallback.x)
+
+    Multiplicity is that of the original joins (a fact row repeats once per
+    match; the fallback also fires on a first match whose model is NULL).
+    NULL keys never match, as with ``=`` in the original.
+
+    The distinct keys feed both match sets; unless ``facts`` is itself a
+    materialized reduction (``keys_materialized``), they are checkpointed so
+    the facts are read once for the keys and once for the joins.
+    """
+    keys = facts.select(CP, DR).distinct()
+    if not keys_materialized:
+        keys = materialize(keys)
+    primary = _primary_set(keys, nom, rules).drop("n_manufacturer")
+    fallback = _fallback_set(keys.select(DR).distinct(), nom, rules)
+    j = facts.join(primary, (facts[CP] == primary["_p_cp"]) & (facts[DR] == primary["_p_dr"]), "left")
+    j = j.join(fallback, (j[DR] == fallback["_f_dr"]) & j["n_factory_model"].isNull(), "left")
+    return j.select(
+        *facts.columns,
+        F.coalesce("n_division", "f_division").alias("m_division"),
+        F.coalesce("n_name", "f_name").alias("m_internal_code"),
+        F.coalesce("n_code65", "f_code65").alias("m_code65"))
 
 
 def match_primary(facts: DataFrame, nom: DataFrame, rules: Rules) -> DataFrame:
     """First attempt only (maker + disjunction), as a left join: facts plus
     n_name, n_code65, n_factory_model, n_division (NULL when unmatched)."""
-    gcols = list(GUIDE_COLS)
-    fact_keys = facts.select(CP, DR).distinct()
-    fk_alt = _fact_alternatives(fact_keys, rules, [CP, DR])
-    g_alt = _prefixed(_guide_alternatives(nom, rules, gcols), "g_", gcols + ["kind", "key"])
-    md = (fk_alt.join(g_alt, (F.col(CP) == F.col("g_manufacturer"))
-                      & (F.col("kind") == F.col("g_kind"))
-                      & (F.col("key") == F.col("g_key")))
-          .select(CP, DR, *[F.col("g_" + c).alias("n_" + c) for c in gcols])
-          .distinct().drop("n_manufacturer"))
-    return _attach(facts, md, [CP, DR])
+    primary = _primary_set(facts.select(CP, DR).distinct(), nom, rules).drop("n_manufacturer")
+    j = facts.join(primary, (facts[CP] == primary["_p_cp"]) & (facts[DR] == primary["_p_dr"]), "left")
+    return j.drop("_p_cp", "_p_dr")
 
 
 def match_v1(facts: DataFrame, guide: DataFrame, rules: Rules) -> DataFrame:

@@ -39,7 +39,7 @@ def kit_rollup(kit_sales: DataFrame, nom: DataFrame, rules: Rules) -> DataFrame:
     pre = materialize(kit_sales.groupBy(
         "month", "counterparty", "drawing_no", "assembly_variant",
         "sales_direction").agg(F.sum("sold_qty").alias("sold_qty")))
-    m = match_guide(pre, nom, rules)
+    m = match_guide(pre, nom, rules, keys_materialized=True)
     return (m.groupBy("month", F.col("m_division").alias("division"),
                       F.col("m_internal_code").alias("internal_code"),
                       F.col("m_code65").alias("code65"), "assembly_variant", "sales_direction")

@@ -19,6 +19,7 @@ from martcraft.operators.rollup import (
     union_sources,
 )
 from martcraft.rules import Rules
+from martcraft.session import materialize
 from martcraft.sources.fixtures import Inputs
 
 RETAIL_UNIT = ("division", "internal_code", "code65", "assembly_variant", "sales_direction")
@@ -50,8 +51,10 @@ def kit_union_v1(inp: Inputs, rules: Rules) -> DataFrame:
 
 
 def kit_union_v2(inp: Inputs, rules: Rules, by_division: bool = False) -> DataFrame:
-    nom = dedupe_guide_by_model(inp.guide, None if by_division else rules.guide_divisions,
-                                by_division=by_division)
+    # The de-duplicated guide feeds both match attempts; like the original
+    # helper table it is materialized once (a dimension-sized checkpoint).
+    nom = materialize(dedupe_guide_by_model(
+        inp.guide, None if by_division else rules.guide_divisions, by_division=by_division))
     patch = realization_patch(inp.realization, inp.product, inp.direction, inp.division, rules)
     return union_sources(kit_rollup(inp.kit_sales, nom, rules), patch)
 
