@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -57,11 +58,17 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     return os.path.join(base, "martcraft", *parts)
 
 
-def materialize(df):
-    """Cut lineage at a stage boundary: a reliable ``checkpoint`` into the
-    shared ``spark.checkpoint.dir``. Used where one reduced intermediate
-    feeds several branches of a plan (so the large input behind it is read
-    once) and where recomputation after an executor loss would reach back to
-    the raw facts."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df, name: str = "stage"):
+    """Cut lineage at a stage boundary by writing a Parquet table into the
+    shared folder named by ``spark.checkpoint.dir`` and reading it back.
+
+    Used where one reduced intermediate feeds several branches of a plan (so
+    the large input behind it is read once) and where recomputation after an
+    executor loss would otherwise reach back to the raw facts. Parquet keeps
+    the boundary columnar and compressed, lets later reads prune columns,
+    and gives the optimizer real size statistics. The schema is passed back
+    explicitly, so an empty result reads back fine."""
+    spark = df.sparkSession
+    path = shared_dir(spark, "stage", f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
