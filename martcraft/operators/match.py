@@ -104,7 +104,7 @@ def match_guide(facts: DataFrame, nom: DataFrame, rules: Rules,
     NULL keys never match, as with ``=`` in the original.
 
     The distinct keys feed both match sets; unless ``facts`` is itself a
-    materialized reduction (``keys_materialized``), they are checkpointed so
+    materialized reduction (``keys_materialized``), they are materialized so
     the facts are read once for the keys and once for the joins.
     """
     keys = facts.select(CP, DR).distinct()

@@ -34,7 +34,7 @@ def kit_rollup(kit_sales: DataFrame, nom: DataFrame, rules: Rules) -> DataFrame:
     variant, direction): the match depends only on (counterparty, drawing)
     and SUM distributes over the join's fan-out, so the result is the same
     while the join sees monthly aggregates instead of lines. The reduced fact
-    feeds both the distinct match keys and the join, so it is checkpointed:
+    feeds both the distinct match keys and the join, so it is materialized:
     the lines are read once."""
     pre = materialize(kit_sales.groupBy(
         "month", "counterparty", "drawing_no", "assembly_variant",

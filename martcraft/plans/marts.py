@@ -52,7 +52,7 @@ def kit_union_v1(inp: Inputs, rules: Rules) -> DataFrame:
 
 def kit_union_v2(inp: Inputs, rules: Rules, by_division: bool = False) -> DataFrame:
     # The de-duplicated guide feeds both match attempts; like the original
-    # helper table it is materialized once (a dimension-sized checkpoint).
+    # helper table it is materialized once (a dimension-sized stage table).
     nom = materialize(dedupe_guide_by_model(
         inp.guide, None if by_division else rules.guide_divisions, by_division=by_division))
     patch = realization_patch(inp.realization, inp.product, inp.direction, inp.division, rules)
