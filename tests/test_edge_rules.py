@@ -221,3 +221,24 @@ def test_normalisation_pairs(spark, code, drawing, expect):
     facts = _kit(spark, [("B", drawing, 1)])
     got = MT.match_guide(facts, nom, FIXTURE).collect()[0]["m_internal_code"]
     assert (got == "x") is expect
+
+
+def test_calendar_months_equals_daily_series_truncated(spark):
+    start, as_of = dt.date(1996, 1, 1), dt.date(2001, 12, 31)
+    got = [r["month"] for r in C.calendar_months(spark, start, as_of).collect()]
+    days = (as_of - start).days
+    daily = sorted({(start + dt.timedelta(d)).replace(day=1) for d in range(days + 1)})
+    assert got == daily and len(got) == 72
+    # the current, partial month is part of the calendar
+    part = [r["month"] for r in C.calendar_months(spark, "2020-01-15", dt.date(2020, 3, 2)).collect()]
+    assert part == [D1, D2, D3]
+
+
+def test_month_and_year_predicates_on_timestamps(spark):
+    from martcraft.functions.dates import month_in, year_is
+    df = spark.createDataFrame(
+        [(dt.datetime(1996, 7, 31, 23, 59),), (dt.datetime(1996, 8, 1, 0, 0),),
+         (dt.datetime(1997, 1, 1, 0, 0),)], "ts timestamp_ntz")
+    got = df.where(month_in("ts", [dt.date(1996, 7, 15)], "timestamp_ntz")).count()
+    assert got == 1
+    assert df.where(year_is("ts", 1996, "timestamp_ntz")).count() == 2
