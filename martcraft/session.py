@@ -37,18 +37,25 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``. A cluster sets
-    it; only when it is unset (local tests) is a fresh scratch folder made."""
-    d = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF, None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="martcraft-ckpt-")
-        spark.conf.set(CHECKPOINT_CONF, d)
+    """The shared folder named by ``spark.checkpoint.dir`` (read from the
+    session; a cluster sets it). Only when it is unset (local tests) is a
+    fresh scratch folder made and registered as the context's checkpoint
+    directory; the conf itself is never written (it is a core setting)."""
+    d = spark.conf.get(CHECKPOINT_CONF, None)
+    if d:
+        return d
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001  (no SparkContext handle, e.g. a remote session)
-        return d
-    if sc.getCheckpointDir() is None:
+        sc = None
+    if sc is not None:
+        cur = sc.getCheckpointDir()
+        if cur:
+            return cur
+    d = tempfile.mkdtemp(prefix="martcraft-ckpt-")
+    if sc is not None:
         sc.setCheckpointDir(d)
+        return sc.getCheckpointDir() or d
     return d
 
 
