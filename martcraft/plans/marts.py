@@ -76,7 +76,9 @@ def kit_sales_v2(inp: Inputs, rules: Rules) -> DataFrame:
     """Kit sales, v2: guide keyed by (model, maker) within the listed
     divisions, fallback match, patch, dense months with a carried running
     total, constant product type."""
-    u = kit_union_v2(inp, rules)
+    # The union is the last compact point before the dense expansion (and,
+    # as in the original, feeds both the unit list and the grid): a stage table.
+    u = materialize(kit_union_v2(inp, rules), "kit_union")
     dense = densify_cumulative(u, KIT_UNIT, KIT_UNIT, "sold_qty",
                                rules.calendar_start, rules.as_of)
     return dense.withColumn("product_type", F.lit(rules.label_kit)).select(*KIT_V2_COLS)
@@ -128,7 +130,8 @@ def retail_sales_interim(inp: Inputs, rules: Rules) -> DataFrame:
 def retail_sales_v2(inp: Inputs, rules: Rules) -> DataFrame:
     """Retail sales, v2: units include the product type but the running total
     does not, so a unit's kit and vehicle rows share one total."""
-    dense = densify_cumulative(retail_rollup(inp, rules), RETAIL_UNIT + ("product_type",),
+    rollup = materialize(retail_rollup(inp, rules), "retail_rollup")
+    dense = densify_cumulative(rollup, RETAIL_UNIT + ("product_type",),
                                RETAIL_UNIT, "retail_qty", rules.calendar_start, rules.as_of)
     return dense.select(*RETAIL_V2_COLS)
 
