@@ -3,6 +3,8 @@
 import datetime as dt
 import uuid
 
+import pytest
+
 from martcraft.operators import checks as K
 from martcraft.operators import sinks as SK
 from martcraft.session import shared_dir
@@ -39,17 +41,22 @@ def test_check_rows_append(spark):
     assert rows[0]["check_name"] == "comparison_with_target: 5712=5712"
 
 
-def test_run_marts_writes_marts_and_check(spark):
+@pytest.mark.parametrize("version", ["v2", "v1", "interim"])
+def test_run_marts_writes_marts_and_check(spark, version):
+    from martcraft.plans.marts import MARTS
     from martcraft.plans.run import run_marts
     from martcraft.rules import FIXTURE
     from martcraft.sources.fixtures import fixture_inputs
     from tests.conftest import SF_SMALL
     out = shared_dir(spark, "tests", uuid.uuid4().hex)
     inp = fixture_inputs(spark, SF_SMALL)
-    paths = run_marts(spark, inp, FIXTURE, out, "v2")
+    paths = run_marts(spark, inp, FIXTURE, out, version)
+    for name in MARTS[version]:
+        written = spark.read.parquet(paths[name])
+        assert written.columns == MARTS[version][name](inp, FIXTURE).columns
     kit = spark.read.parquet(paths["kit_sales"])
     assert kit.count() > 0
     total = kit.where("year(month) = 1997").groupBy().sum("sold_qty").collect()[0][0]
     row = spark.read.parquet(paths["stage_checks"]).collect()[0]
-    assert row["table_name"] == "kit_sales_v2"
+    assert row["table_name"] == f"kit_sales_{version}"
     assert row["check_name"] == f"comparison_with_target: {FIXTURE.check_target}={total}"
