@@ -121,6 +121,7 @@ def sketches(feats: DataFrame) -> DataFrame:
 
 def thresholds(sketch: DataFrame, rules: QualityRules) -> DataFrame:
     """One row per (lang, source): the upper limit of each ratio."""
+    sketch = stage(sketch, "quality-sketches")
     key = ["level", "lang", "source", "ratio"]
     cum = sketch.withColumn("c", F.sum("n").over(Window.partitionBy(*key).orderBy("bin"))).withColumn(
         "total", F.sum("n").over(Window.partitionBy(*key)))
@@ -137,11 +138,13 @@ def thresholds(sketch: DataFrame, rules: QualityRules) -> DataFrame:
             F.col("lang").alias(f"lang{i}"), F.col("source").alias(f"source{i}"), F.col("total").alias(f"total{i}"),
             *[F.col(n).alias(f"{n}{i}") for n in names])
 
-    j = level(0).join(level(1), F.expr("lang0 <=> lang1"), "left").join(level(2), F.lit(True), "left")
+    whole = level(2).first()  # one row at most
+    j = level(0).join(level(1), F.expr("lang0 <=> lang1"), "left")
     enough = lambda i: F.col(f"total{i}") >= rules.min_group
     return j.select(
         F.col("lang0").alias("lang"), F.col("source0").alias("source"),
-        *[F.when(enough(0), F.col(f"{n}0")).when(enough(1), F.col(f"{n}1")).otherwise(F.col(f"{n}2")).alias(n) for n in names])
+        *[F.when(enough(0), F.col(f"{n}0")).when(enough(1), F.col(f"{n}1"))
+          .otherwise(F.lit(whole[f"{n}2"] if whole else None)).alias(n) for n in names])
 
 
 def judge(docs: DataFrame, rules: QualityRules = QualityRules(), keep_row: bool = False) -> DataFrame:

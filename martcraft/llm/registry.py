@@ -6,16 +6,43 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martcraft.llm import quality
+from martcraft.llm import langid, packing, quality, secrets, simhash, toxicity
 from martcraft.llm.common import read
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, read(spark, sf_dir, "labels")))
+
+
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(read(spark, sf_dir, "documents"), words=4, max_distance=4)
+    return found.select("doc_id", simhash.hex_digits().alias("fingerprint"), "component_id")
+
+
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find(read(spark, sf_dir, "documents")).drop("found")
+
+
+def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(read(spark, sf_dir, "documents"))
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(read(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_toxicity": op1_toxicity,
+        "op2_simhash": op2_simhash,
+        "op3_secrets": op3_secrets,
+        "op5_langid": op5_langid,
+        "op6_packing": op6_packing,
         "op10_quality": op10_quality,
     }
 
