@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from martcraft.llm import langid, packing, quality, secrets, simhash, toxicity
+from martcraft.llm import langid, lm, mixing, packing, quality, secrets, sharding, simhash, topk, toxicity
 from martcraft.llm.common import read
 
 
@@ -24,6 +25,10 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find(read(spark, sf_dir, "documents")).drop("found")
 
 
+def op4_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(read(spark, sf_dir, "documents"))
+
+
 def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(read(spark, sf_dir, "documents"))
 
@@ -32,6 +37,19 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
 
 
+def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.quantize(read(spark, sf_dir, "embeddings"))
+    return topk.top_k(vectors, F.col("vec_id") % 50 == 0, topk.SearchRules(k=5))
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.place(read(spark, sf_dir, "documents"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(read(spark, sf_dir, "documents"))
 
@@ -41,8 +59,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_toxicity": op1_toxicity,
         "op2_simhash": op2_simhash,
         "op3_secrets": op3_secrets,
+        "op4_lm": op4_lm,
         "op5_langid": op5_langid,
         "op6_packing": op6_packing,
+        "op7_topk": op7_topk,
+        "op8_mixing": op8_mixing,
+        "op9_sharding": op9_sharding,
         "op10_quality": op10_quality,
     }
 

@@ -1,0 +1,96 @@
+"""PPM language identification: code lengths against a plain recursion,
+held-out accuracy on documents."""
+
+import math
+import random
+from collections import Counter, defaultdict
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from martcraft.llm import langid as G
+from martcraft.llm.common import read
+
+SCHEMA = "doc_id long, text string, lang string, score string, held_out int"
+
+
+def texts():
+    rng = random.Random(3)
+    sets = {"aa": "lo ra mi té ku no", "bb": "shi von der über kan lo", "cc": "ция на по ли это да"}
+    out = []
+    for lang, s in sets.items():
+        for _ in range(40):
+            out.append((lang, " ".join("".join(rng.choice(s.split()) for _ in range(rng.randint(1, 4))) for _ in range(rng.randint(5, 60)))))
+    rng.shuffle(out)
+    return out
+
+
+def plain_bits(counts, langs, lang, text):
+    """PPM by recursion over dictionaries, byte by byte."""
+    seen = defaultdict(Counter)
+    for x, order, gram, n in counts:
+        if x == lang:
+            raw = gram.to_bytes(order + 1, "big")
+            seen[raw[:-1]][raw[-1]] += n
+
+    def prob(context, byte):
+        if context is None:
+            return 1 / 256
+        shorter = context[1:] if context else None
+        c = seen[context]
+        if not c:
+            return prob(shorter, byte)
+        n, d = sum(c.values()), len(c)
+        if byte in c:
+            return c[byte] / (n + d)
+        return d / (n + d) * prob(shorter, byte) / (1 - sum(prob(shorter, b) for b in c))
+
+    raw = G.START + text
+    return -sum(math.log2(prob(raw[i - 3:i], raw[i])) for i in range(3, len(raw)))
+
+
+def test_code_lengths(spark):
+    rows = [(i, t, lang, None, 0) for i, (lang, t) in enumerate(texts())]
+    counts = G.count(spark.createDataFrame(rows, SCHEMA).repartition(3), G.LanguageRules())
+    tables = G.Tables(counts, 20_000)
+    assert tables.langs == ["aa", "bb", "cc"]
+    tries = [b"lorami", "über 9 это Ж".encode(), b"\x00\xff", rows[0][1].encode()[:40], b"", b"q"]
+    bits = tables.bits(tries)
+    for t, row in zip(tries, bits):
+        for lang, got in zip(tables.langs, row):
+            assert abs(got - plain_bits(counts, tables.langs, lang, t)) < 1e-3 * max(1, got)
+    # pruned to few full contexts, still a distribution over bytes in every context
+    small = G.Tables(counts, 10)
+    p = np.exp2(-small.cost.astype(float)).reshape(-1, small.size, 3)
+    unseen = 256 - (small.size - 1)
+    assert np.abs(p[:, 1:].sum(axis=1) + unseen * p[:, 0] - 1).max() < 1e-3
+
+
+def test_identify_and_edges(spark):
+    rows = [(i, t, lang, None, 0) for i, (lang, t) in enumerate(texts())]
+    odd = [(1000, None, "aa", "x", 1), (1001, "", None, None, None), (1002, " 12 . \n!", "bb", None, None), (1003, "lo té ra", None, None, None),
+           (None, "это да", None, None, None), rows[3], rows[3], (1004, "это да по " * 30000, None, None, 0), (1005, "٣", None, None, None)]
+    df = spark.createDataFrame(rows + odd, SCHEMA).repartition(3)
+    got = G.identify(df).collect()
+    assert len(got) == len(rows + odd)
+    by = {r.doc_id: r for r in got}
+    assert [by[i].lang_pred for i in (1000, 1001, 1002, 1003, None, 1004, 1005)] == ["und", "und", "und", "aa", "cc", "cc", "und"]
+    assert all(0 <= r.score <= 1 for r in got) and by[1000].score == 0
+    held = [r for r in got if r.held_out and r.doc_id is not None and r.doc_id < 1000]
+    assert held and all(r.lang_pred == rows[r.doc_id][2] for r in held)
+    assert {r.lang_pred for r in G.identify(df.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
+    assert G.identify(df.where("false")).count() == 0
+
+
+def test_held_out_rows_teach_nothing(spark):
+    rows = [(i, t, lang, None, 0) for i, (lang, t) in enumerate(texts())]
+    df = spark.createDataFrame(rows, SCHEMA).withColumn("h", G.held_out())
+    other = df.withColumn("lang", F.when(F.col("h"), F.lit("zz")).otherwise(F.col("lang")))
+    assert sorted(G.count(other, G.LanguageRules())) == sorted(G.count(df, G.LanguageRules()))
+
+
+def test_held_out_accuracy(spark):
+    docs = read(spark, "/root/testdata/sf0.01", "documents")
+    got = G.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out and lang_pred <> 'und'")
+    right = got.select(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0]
+    assert right > 0.97

@@ -1,0 +1,50 @@
+"""The pipeline stage by stage, each against plain code on its own input."""
+
+from collections import Counter
+
+import corpus_pipeline as C
+from martcraft.llm import quality, secrets
+from martcraft.llm.common import read, stage
+from tests.llm.test_simhash import slow_components, slow_fingerprint
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_stages(spark):
+    docs = read(spark, SF, "documents")
+    inputs, made = [], []
+    for name, f in C.STAGES:
+        inputs.append(docs)
+        docs = stage(f(spark, docs, SF), "test-pipeline")
+        made.append(docs)
+    for out in made[:-1]:
+        assert out.columns == inputs[0].columns
+    texts = [{r.doc_id: r for r in d.collect()} for d in inputs]
+    assert set(texts[1]) == {r.doc_id for r in quality.judge(inputs[0]).where("kept").collect()}
+    assert 0 < len(texts[2]) < len(texts[1]) < len(texts[0])
+    ids = sorted(texts[1])
+    assert set(texts[2]) == set(slow_components(ids, [slow_fingerprint(texts[1][i].text) for i in ids]))
+    spans = {r.doc_id: r.found for r in secrets.find(inputs[2]).collect()}
+    for i, r in texts[2].items():
+        text, at, out = r.text, 0, []
+        for s in spans[i]:
+            if s.end <= at:
+                continue
+            if s.start > at or not at:
+                out.append(text[at:s.start] + "[SECRET]")
+            at = s.end
+        assert texts[3][i].text == "".join(out) + text[at:], i
+        assert texts[3][i].n_chars == len(texts[3][i].text)
+    copies = Counter(r.doc_id for r in inputs[4].collect())
+    assert set(copies) <= set(texts[3]) and len(copies) > 0.8 * len(texts[3])
+    tokens = {}
+    for p in made[4].collect():
+        tokens[p.doc_id] = tokens.get(p.doc_id, 0) + p.length
+        assert p.ids_crc32 >= 0
+    total = {p.doc_id: p.doc_tokens for p in made[4].collect()}
+    assert {i: n // total[i] for i, n in tokens.items()} == dict(copies)
+
+
+def test_run_equals_stages(spark):
+    assert C.run(spark, SF).count() > 0
+    assert C.ORACLE_SQL is None and len(C.STAGES) == 5
