@@ -231,7 +231,7 @@ def design(counts: np.ndarray, context: np.ndarray) -> np.ndarray:
     exact, stems, fuzzy, quoted, words = counts.T.astype(float)
     hits = exact + stems
     return np.stack([np.log1p(exact), np.log1p(stems), np.log1p(fuzzy), np.log1p(quoted),
-                     np.log1p(100 * hits / (words + 30)), np.clip(context, -5, 5), np.ones(len(words))], axis=1)
+                     np.log1p(100 * hits / (words + 5)), np.clip(context, -5, 5), np.ones(len(words))], axis=1)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> np.ndarray:
