@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from martcraft.functions.dates import month_start, months_between_inclusive
@@ -44,8 +44,8 @@ def month_unit_grid(units: DataFrame, start, as_of, month_col: str = "month") ->
 
 def grid_join(grid: DataFrame, facts: DataFrame, unit_cols: Sequence[str], measure: str,
               month_col: str = "month") -> DataFrame:
-    """``grid LEFT JOIN facts ON month = month AND unit <=> unit`` (the
-    original ``HASH(...) = HASH(...)`` join, made exact for NULL key parts)."""
+    """``grid LEFT JOIN facts ON month = month AND unit <=> unit`` with
+    NULL key parts matching NULL ones."""
     f = facts.select(*[F.col(c).alias("_f_" + c) for c in [month_col, *unit_cols]], measure)
     cond = (grid[month_col] == f["_f_" + month_col]) & nullsafe_on(
         grid, f, unit_cols, ["_f_" + c for c in unit_cols])
@@ -67,25 +67,28 @@ def cumulative_sparse(df: DataFrame, partition_cols: Sequence[str], measure: str
     return df.withColumn(out, running_total(measure, partition_cols, month_col))
 
 
+def in_calendar(month_col: str, start, as_of) -> Column:
+    """Whether the month is a month start inside the calendar (never NULL)."""
+    lo, hi = calendar_bounds(start, as_of)
+    m = F.col(month_col)
+    return F.coalesce((m >= lo) & (m <= hi) & (m == month_start(m)), F.lit(False))
+
+
 def densify_cumulative(df: DataFrame, unit_cols: Sequence[str], partition_cols: Sequence[str],
                        measure: str, start, as_of, out: str = "cumulative_qty",
-                       month_col: str = "month") -> DataFrame:
+                       month_col: str = "month", dropped: Observation | None = None) -> DataFrame:
     """Dense monthly series with a carried-forward running total (M5).
 
-    Same rows as the original plan::
-
-        grid  = calendar CROSS JOIN DISTINCT units
-        rows  = grid LEFT JOIN df ON month = month AND unit <=> unit
-        total = SUM(measure) OVER (PARTITION BY partition_cols ORDER BY month)
-        WHERE measure IS NOT NULL OR total IS NOT NULL
-
-    i.e. for each unit, every calendar month from the first month in which
+    For each unit, every calendar month from the first month in which
     its partition has a non-NULL measure up to the last calendar month; the
     unit's own rows where they exist (duplicates kept), otherwise one row
     with a NULL measure. ``partition_cols`` may be a subset of ``unit_cols``
     (units of one partition share one running total). Rows whose month is
-    not a month start inside the calendar never meet a grid month and are
-    dropped, and count towards no total.
+    not a month start inside the calendar belong to no month of the series:
+    they are dropped before the shuffle (``dropped`` counts them) and count
+    towards no total; only where units share a partition does each such unit
+    keep one row, as it still gets its partition's series. The month of the
+    result is the calendar's DATE, whatever the input's type.
 
     Plan: one shuffle. Rows are hash-partitioned by ``partition_cols``; every
     later window partitions by a superset of those columns, so none adds an
@@ -97,12 +100,15 @@ def densify_cumulative(df: DataFrame, unit_cols: Sequence[str], partition_cols:
     """
     unit_cols, partition_cols = list(unit_cols), list(partition_cols)
     lo, hi = calendar_bounds(start, as_of)
-    m = F.col(month_col)
-    in_cal = (m >= lo) & (m <= hi) & (m == month_start(m))
-
-    rows = (df.select(*unit_cols, month_col, measure)
-            .withColumn("_mc", F.when(in_cal, m))
-            .repartition(*partition_cols))
+    inside = in_calendar(month_col, start, as_of)
+    if dropped is not None:
+        df = df.observe(dropped, F.count(F.when(~inside, 1)).alias("off_calendar_rows"))
+    rows = df.where(inside).select(*unit_cols, F.col(month_col).cast("date").alias("_mc"), measure)
+    if set(partition_cols) != set(unit_cols):
+        lone = df.where(~inside).select(*unit_cols).distinct()
+        rows = rows.unionByName(lone.select(
+            "*", F.lit(None).cast("date").alias("_mc"), F.lit(None).cast(df.schema[measure].dataType).alias(measure)))
+    rows = rows.repartition(*partition_cols)
     # In-calendar months first, ascending; off-calendar rows (NULL) last.
     wu_ord = Window.partitionBy(*unit_cols).orderBy(F.col("_mc").asc_nulls_last())
     first_measure = F.min(F.when(F.col(measure).isNotNull(), F.col("_mc")))

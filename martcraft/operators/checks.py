@@ -44,11 +44,13 @@ def reconcile(left: DataFrame, left_measure: str, left_date: str,
               right: DataFrame, right_measure: str, right_date: str, year: int) -> DataFrame:
     """Totals of two tables for one year, side by side (M10): columns year,
     left_total, right_total, difference, equal. One pass: both inputs are
-    tagged into a single union and summed in one global aggregate."""
+    tagged into a single union and summed in one global aggregate. Measures are
+    summed in their own type (a decimal is never cut before the sum)."""
+    l_type, r_type = dtype_of(left, left_measure), dtype_of(right, right_measure)
     lt = left.where(year_is(left_date, year, dtype_of(left, left_date))).select(
-        F.col(left_measure).cast("bigint").alias("_l"), F.lit(None).cast("bigint").alias("_r"))
+        F.col(left_measure).alias("_l"), F.lit(None).cast(r_type).alias("_r"))
     rt = right.where(year_is(right_date, year, dtype_of(right, right_date))).select(
-        F.lit(None).cast("bigint").alias("_l"), F.col(right_measure).cast("bigint").alias("_r"))
+        F.lit(None).cast(l_type).alias("_l"), F.col(right_measure).alias("_r"))
     tot = lt.unionByName(rt).agg(F.sum("_l").alias("left_total"), F.sum("_r").alias("right_total"))
     return tot.select(
         F.lit(year).alias("year"), "left_total", "right_total",

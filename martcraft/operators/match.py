@@ -1,23 +1,17 @@
 """Matching sales lines to the product guide (M2).
 
-The original join condition is a disjunction::
-
-    s.counterparty = n.manufacturer AND (
-        s.drawing_no = n.factory_model
-     OR replace(s.drawing_no, '-00', '-') = regexp_replace(n.code65, '^А', 'A')
-     OR replace(s.drawing_no, '-00', '-') = regexp_replace(n.code65, '^С', 'C'))
-
-followed by a second attempt against the fallback makers, taken wherever the
-first attempt's ``factory_model`` is NULL, with no equi key at all. As written
-this plans as a nested loop (facts x guide).
+A line matches a guide row of its own maker by the model, or by the code with
+one of its look-alike letters swapped. Lines whose first match gives no model
+try the fallback makers by the same three comparisons. Joined on that
+disjunction directly, the plan would be a nested loop (facts x guide).
 
 Here every alternative becomes a row ``(kind, key)`` on both sides, so the
 disjunction is a plain equi-join on (maker, kind, key) followed by a DISTINCT
-per (fact key, guide row), which restores the OR's "at most once per guide
-row" semantics. The match depends only on (counterparty, drawing_no), so the
-match sets are computed once per *distinct* fact key and joined back to the
-facts on those keys; fact volume never reaches the matching joins, and no
-join in the plan lacks an equi key.
+per (fact key, guide row): a guide row matches at most once however many
+alternatives agree. The match depends only on (counterparty, drawing_no), so
+both attempts and their COALESCE are computed per *distinct* fact key, and the
+facts meet the finished match set in one join; fact volume never reaches the
+matching joins, and no join in the plan lacks an equi key.
 """
 
 from __future__ import annotations
@@ -89,55 +83,64 @@ def _fallback_set(drawings: DataFrame, nom: DataFrame, rules: Rules) -> DataFram
             .distinct())
 
 
-def match_guide(facts: DataFrame, nom: DataFrame, rules: Rules,
-                keys_materialized: bool = False) -> DataFrame:
-    """Facts with columns m_division, m_internal_code, m_code65 from the v2
-    match: the original two left joins, each against a match set that was
-    computed on distinct keys with equi-joins only::
+def _distinct_keys(facts: DataFrame, cols: Sequence[str], staged: bool) -> DataFrame:
+    """The distinct match keys; as a stage table unless ``facts`` is one, so
+    that the plan of the result reads the fact chain once."""
+    keys = facts.select(*cols).distinct()
+    return keys if staged else materialize(keys, "match-keys")
 
-        facts LEFT JOIN primary  ON counterparty = p.counterparty AND drawing = p.drawing
-              LEFT JOIN fallback ON drawing = f.drawing AND p.factory_model IS NULL
-        COALESCE(primary.x, fallback.x)
 
-    Multiplicity is that of the original joins (a fact row repeats once per
-    match; the fallback also fires on a first match whose model is NULL).
-    NULL keys never match, as with ``=`` in the original.
+def _join_facts(facts: DataFrame, matches: DataFrame) -> DataFrame:
+    """Facts with the match set of their (counterparty, drawing_no); every
+    key is in the set, NULL ones too."""
+    m = matches.withColumnRenamed(CP, "_k_cp").withColumnRenamed(DR, "_k_dr")
+    return facts.join(m, facts[CP].eqNullSafe(m["_k_cp"]) & facts[DR].eqNullSafe(m["_k_dr"])).drop("_k_cp", "_k_dr")
 
-    The distinct keys feed both match sets; unless ``facts`` is itself a
-    materialized reduction (``keys_materialized``), they are materialized so
-    the facts are read once for the keys and once for the joins.
-    """
-    keys = facts.select(CP, DR).distinct()
-    if not keys_materialized:
-        keys = materialize(keys)
+
+def match_set(keys: DataFrame, nom: DataFrame, rules: Rules) -> DataFrame:
+    """Per distinct (counterparty, drawing_no): its matches after both
+    attempts. A key repeats once per match (the fallback also fires on a first
+    match whose model is NULL); a key without any has NULLs."""
     primary = _primary_set(keys, nom, rules).drop("n_manufacturer")
     fallback = _fallback_set(keys.select(DR).distinct(), nom, rules)
-    j = facts.join(primary, (facts[CP] == primary["_p_cp"]) & (facts[DR] == primary["_p_dr"]), "left")
+    j = keys.join(primary, (keys[CP] == primary["_p_cp"]) & (keys[DR] == primary["_p_dr"]), "left")
     j = j.join(fallback, (j[DR] == fallback["_f_dr"]) & j["n_factory_model"].isNull(), "left")
     return j.select(
-        *facts.columns,
+        CP, DR,
         F.coalesce("n_division", "f_division").alias("m_division"),
         F.coalesce("n_name", "f_name").alias("m_internal_code"),
         F.coalesce("n_code65", "f_code65").alias("m_code65"))
 
 
+def match_guide(facts: DataFrame, nom: DataFrame, rules: Rules,
+                keys_materialized: bool = False) -> DataFrame:
+    """Facts with columns m_division, m_internal_code, m_code65 from the v2
+    match, in one join with the match set of their keys.
+
+    The distinct keys are staged unless ``facts`` is itself a materialized
+    reduction (``keys_materialized``)."""
+    keys = _distinct_keys(facts, [CP, DR], keys_materialized)
+    return _join_facts(facts, match_set(keys, nom, rules))
+
+
 def match_primary(facts: DataFrame, nom: DataFrame, rules: Rules) -> DataFrame:
-    """First attempt only (maker + disjunction), as a left join: facts plus
-    n_name, n_code65, n_factory_model, n_division (NULL when unmatched)."""
-    primary = _primary_set(facts.select(CP, DR).distinct(), nom, rules).drop("n_manufacturer")
-    j = facts.join(primary, (facts[CP] == primary["_p_cp"]) & (facts[DR] == primary["_p_dr"]), "left")
-    return j.drop("_p_cp", "_p_dr")
+    """First attempt only, as a left join: facts plus n_name, n_code65,
+    n_factory_model, n_division (NULL when unmatched)."""
+    keys = _distinct_keys(facts, [CP, DR], False)
+    primary = _primary_set(keys, nom, rules).drop("n_manufacturer")
+    j = keys.join(primary, (keys[CP] == primary["_p_cp"]) & (keys[DR] == primary["_p_dr"]), "left")
+    return _join_facts(facts, j.drop("_p_cp", "_p_dr"))
 
 
-def match_v1(facts: DataFrame, guide: DataFrame, rules: Rules) -> DataFrame:
+def match_v1(facts: DataFrame, guide: DataFrame, rules: Rules,
+             keys_materialized: bool = False) -> DataFrame:
     """v1 match against the raw guide (no de-duplication, no maker key).
 
-    Original condition: ``(drawing = model OR norm = codeA OR (norm = codeC
-    AND model <> '')) AND maker_norm = V1_MAKER AND name <> excluded`` — AND
-    binds tighter than OR, so the blank-model guard covers the last
-    alternative only. Each guide row matches a drawing at most once, and
-    duplicate guide rows each match (DISTINCT is per ``guide_id``).
-    Adds columns m_division, m_internal_code, m_code65.
+    One maker, compared after stripping blanks and upper-casing, without the
+    placeholder name; the same three comparisons, of which only the last one
+    also asks for a model that is not blank. Each guide row matches a drawing
+    at most once, and duplicate guide rows each match (DISTINCT is per
+    ``guide_id``). Adds columns m_division, m_internal_code, m_code65.
     """
     g = guide.where((normalize_maker("manufacturer") == F.lit(rules.v1_maker))
                     & (F.col("name") != F.lit(rules.v1_excluded_name)))
@@ -145,7 +148,7 @@ def match_v1(facts: DataFrame, guide: DataFrame, rules: Rules) -> DataFrame:
     g_alt = _prefixed(
         _guide_alternatives(g, rules, keep, last_variant_guard=F.col("factory_model") != F.lit("")),
         "g_", keep + ["kind", "key"])
-    fact_keys = facts.select(DR).distinct()
+    fact_keys = _distinct_keys(facts, [DR], keys_materialized)
     fk_alt = _fact_alternatives(fact_keys, rules, [DR])
     md = (fk_alt.join(g_alt, (F.col("kind") == F.col("g_kind")) & (F.col("key") == F.col("g_key")))
           .select(DR, "g_guide_id", F.col("g_division").alias("m_division"),

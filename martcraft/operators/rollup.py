@@ -53,7 +53,7 @@ def kit_rollup_v1(kit_sales: DataFrame, guide: DataFrame, rules: Rules) -> DataF
     pre = materialize(kit_sales.groupBy(
         "month", "division", "drawing_no", "assembly_variant",
         "sales_direction").agg(F.sum("sold_qty").alias("sold_qty")))
-    m = match_v1(pre, guide, rules)
+    m = match_v1(pre, guide, rules, keys_materialized=True)
     return (m.groupBy("month", F.coalesce("division", "m_division").alias("division"),
                       F.col("m_internal_code").alias("internal_code"),
                       F.col("m_code65").alias("code65"), "assembly_variant", "sales_direction")

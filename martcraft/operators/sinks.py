@@ -27,10 +27,16 @@ def create_table(spark: SparkSession, table: str, df: DataFrame, path: str) -> N
     """Register an (empty) parquet table at ``path`` with ``df``'s schema, if
     it does not exist yet."""
     if not spark.catalog.tableExists(table):
-        df.limit(0).write.mode("overwrite").parquet(path)
+        spark.createDataFrame([], df.schema).write.mode("overwrite").parquet(path)
         spark.catalog.createTable(table, path=path, source="parquet")
 
 
+def replace_table(spark: SparkSession, table: str, df: DataFrame, path: str) -> None:
+    """Full refresh of a catalog table (``DROP`` + ``CREATE TABLE AS``): its
+    files at ``path`` and its schema become those of ``df``."""
+    df.write.mode("overwrite").option("path", path).format("parquet").saveAsTable(table)
+
+
 def insert_overwrite(df: DataFrame, table: str, columns: Sequence[str]) -> None:
     """Full refresh keeping the table (``DELETE`` all + ``INSERT ... SELECT``).
     ``insertInto`` is positional, so the target column order is selected

@@ -1,13 +1,22 @@
-"""Mart builders (M12): compositions of the operators, one lazy DataFrame
-each. Column order follows the original marts."""
+"""Mart builders (M12): compositions of the operators. Column order follows
+the original marts.
+
+A builder is eager where a reduced intermediate feeds several branches: it
+writes that stage table (see ``martcraft.session.materialize``) before it
+returns, and the result reads it. Wrap building and writing in ``stage_run``
+to have the stage tables removed afterwards.
+
+``month`` is a DATE in every v2 mart. In the v1 and interim kit marts it has
+the wider type of the kit fact's ``month`` and the realization's ``period``
+(a timestamp if either is one), as the patch keeps its raw period."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from martcraft.functions.classify import product_type
-from martcraft.operators.calendar import cumulative_sparse, densify_cumulative
+from martcraft.operators.calendar import cumulative_sparse, densify_cumulative, in_calendar
 from martcraft.operators.dedupe import dedupe_guide_by_model, dedupe_guide_by_name
 from martcraft.operators.rollup import (
     KIT_UNIT,
@@ -20,7 +29,7 @@ from martcraft.operators.rollup import (
 )
 from martcraft.rules import Rules
 from martcraft.session import materialize
-from martcraft.sources.fixtures import Inputs
+from martcraft.sources.inputs import Inputs
 
 RETAIL_UNIT = ("division", "internal_code", "code65", "assembly_variant", "sales_direction")
 RETAIL_UNIT_V1 = ("division", "internal_code", "assembly_variant", "sales_direction")
@@ -72,13 +81,18 @@ def kit_sales_interim(inp: Inputs, rules: Rules) -> DataFrame:
             .withColumn("product_type", F.lit(rules.label_kit)).select(*KIT_INTERIM_COLS))
 
 
-def kit_sales_v2(inp: Inputs, rules: Rules) -> DataFrame:
+def kit_sales_v2(inp: Inputs, rules: Rules, dropped: Observation | None = None) -> DataFrame:
     """Kit sales, v2: guide keyed by (model, maker) within the listed
     divisions, fallback match, patch, dense months with a carried running
     total, constant product type."""
-    # The union is the last compact point before the dense expansion (and,
-    # as in the original, feeds both the unit list and the grid): a stage table.
-    u = materialize(kit_union_v2(inp, rules), "kit_union")
+    # The union is the last compact point before the dense expansion: a stage
+    # table, without the rows that belong to no calendar month (counted in
+    # ``dropped``).
+    u = kit_union_v2(inp, rules)
+    inside = in_calendar("month", rules.calendar_start, rules.as_of)
+    if dropped is not None:
+        u = u.observe(dropped, F.count(F.when(~inside, 1)).alias("off_calendar_rows"))
+    u = materialize(u.where(inside), "kit_union")
     dense = densify_cumulative(u, KIT_UNIT, KIT_UNIT, "sold_qty",
                                rules.calendar_start, rules.as_of)
     return dense.withColumn("product_type", F.lit(rules.label_kit)).select(*KIT_V2_COLS)
@@ -97,15 +111,40 @@ def _typed_retail(inp: Inputs, rules: Rules, with_direction_rule: bool) -> DataF
         "product_type", product_type(rules, with_direction_rule=with_direction_rule))
 
 
-def retail_rollup(inp: Inputs, rules: Rules) -> DataFrame:
-    """v2 retail roll-up: classify each line, SUM by month and unit, then
+STOCK = {"opening_stock": "opening_stock", "closing_stock": "closing_stock"}
+LINE_DIMS = ("division", "internal_code", "assembly_variant", "sales_direction")
+
+
+def retail_base(inp: Inputs, rules: Rules) -> DataFrame:
+    """One pass over the retail lines for both v2 marts: monthly sums of all
+    three measures by unit and by both product types (with and without the
+    direction rule). A stage table of monthly rows."""
+    typed = (inp.retail.withColumn("product_type", product_type(rules, with_direction_rule=True))
+             .withColumn("basic_type", product_type(rules, with_direction_rule=False)))
+    return materialize(monthly_rollup(typed, "period", [*LINE_DIMS, "product_type", "basic_type"],
+                                      {"retail_qty": "retail_qty", **STOCK}), "retail_base")
+
+
+def retail_codes(inp: Inputs) -> DataFrame:
+    """The de-duplicated guide by name, staged: both v2 marts look codes up."""
+    return materialize(dedupe_guide_by_name(inp.guide), "guide_by_name")
+
+
+def _summed(base: DataFrame, codes: DataFrame, type_col: str, measures) -> DataFrame:
+    agg = base.groupBy("month", *LINE_DIMS, F.col(type_col).alias("product_type")).agg(
+        *[F.sum(m).alias(m) for m in measures])
+    return lookup_code_by_name(agg, codes)
+
+
+def retail_rollup(inp: Inputs, rules: Rules, base: DataFrame | None = None,
+                  codes: DataFrame | None = None) -> DataFrame:
+    """v2 retail roll-up: SUM by month and unit of the classified lines, then
     look the code up by name. The lookup is unique per name, so it is done
     after the aggregation (on monthly rows, not lines) without changing the
     result."""
-    agg = monthly_rollup(_typed_retail(inp, rules, True), "period",
-                         ["division", "internal_code", "assembly_variant", "sales_direction",
-                          "product_type"], {"retail_qty": "retail_qty"})
-    return lookup_code_by_name(agg, dedupe_guide_by_name(inp.guide)).select(*RETAIL_ROLLUP_COLS)
+    base = retail_base(inp, rules) if base is None else base
+    codes = dedupe_guide_by_name(inp.guide) if codes is None else codes
+    return _summed(base, codes, "product_type", ["retail_qty"]).select(*RETAIL_ROLLUP_COLS)
 
 
 def _with_dealer_division(inp: Inputs, rules: Rules, with_direction_rule: bool,
@@ -127,30 +166,28 @@ def retail_sales_interim(inp: Inputs, rules: Rules) -> DataFrame:
     return cumulative_sparse(agg, RETAIL_UNIT, "retail_qty").select(*RETAIL_INTERIM_COLS)
 
 
-def retail_sales_v2(inp: Inputs, rules: Rules) -> DataFrame:
+def retail_sales_v2(inp: Inputs, rules: Rules, base: DataFrame | None = None,
+                    codes: DataFrame | None = None, dropped: Observation | None = None) -> DataFrame:
     """Retail sales, v2: units include the product type but the running total
     does not, so a unit's kit and vehicle rows share one total."""
-    rollup = materialize(retail_rollup(inp, rules), "retail_rollup")
-    dense = densify_cumulative(rollup, RETAIL_UNIT + ("product_type",),
-                               RETAIL_UNIT, "retail_qty", rules.calendar_start, rules.as_of)
+    rollup = materialize(retail_rollup(inp, rules, base, codes), "retail_rollup")
+    dense = densify_cumulative(rollup, RETAIL_UNIT + ("product_type",), RETAIL_UNIT, "retail_qty",
+                               rules.calendar_start, rules.as_of, dropped=dropped)
     return dense.select(*RETAIL_V2_COLS)
 
 
 # --- stock balance -------------------------------------------------------------
 
-STOCK = {"opening_stock": "opening_stock", "closing_stock": "closing_stock"}
-
-
 def balance_v1(inp: Inputs, rules: Rules) -> DataFrame:
     return monthly_rollup(inp.retail, "period", ["division", "internal_code", "assembly_variant",
                                                  "sales_direction"], STOCK).select(*BALANCE_V1_COLS)
 
 
-def balance_v2(inp: Inputs, rules: Rules) -> DataFrame:
-    agg = monthly_rollup(_typed_retail(inp, rules, False), "period",
-                         ["division", "internal_code", "assembly_variant", "sales_direction",
-                          "product_type"], STOCK)
-    return lookup_code_by_name(agg, dedupe_guide_by_name(inp.guide)).select(*BALANCE_V2_COLS)
+def balance_v2(inp: Inputs, rules: Rules, base: DataFrame | None = None,
+               codes: DataFrame | None = None) -> DataFrame:
+    base = retail_base(inp, rules) if base is None else base
+    codes = dedupe_guide_by_name(inp.guide) if codes is None else codes
+    return _summed(base, codes, "basic_type", STOCK).select(*BALANCE_V2_COLS)
 
 
 def balance_interim(inp: Inputs, rules: Rules) -> DataFrame:

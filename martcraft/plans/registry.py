@@ -6,6 +6,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,9 +22,10 @@ from martcraft.operators import rollup as RU
 from martcraft.operators import sinks as SK
 from martcraft.plans import marts as M
 from martcraft.plans.oracle import CHECK_TARGET_V1
+from martcraft.plans.run import run_marts
 from martcraft.rules import FIXTURE, FIXTURE_CHECKED_AT
-from martcraft.session import shared_dir
-from martcraft.sources.fixtures import Inputs, fixture_inputs
+from martcraft.session import materialize, stage_path
+from martcraft.sources import Inputs, fixture_inputs
 
 R = FIXTURE
 Query = Callable[[SparkSession, str], DataFrame]
@@ -213,7 +215,7 @@ def _(spark, inp):
 
 @_q("nullsafe_multikey_join")
 def _(spark, inp):
-    u = M.kit_union_v2(inp, R)
+    u = materialize(M.kit_union_v2(inp, R), "kit_union")  # feeds both sides
     grid = C.month_unit_grid(u.select(*RU.KIT_UNIT).distinct(), R.calendar_start, R.as_of)
     return C.grid_join(grid, u, RU.KIT_UNIT, "sold_qty").select(
         "month", *RU.KIT_UNIT, "sold_qty")
@@ -256,10 +258,15 @@ def _(spark, inp):
 
 # --- checks ----------------------------------------------------------------------------
 
+def _kit_check(mart: DataFrame, target: int) -> DataFrame:
+    return K.check_target(mart, "kit_sales_v2", R.check_year, target,
+                          prefix=R.check_name_prefix, checked_at=FIXTURE_CHECKED_AT)
+
+
 @_q("check_target")
 def _(spark, inp):
-    return K.check_target(M.kit_sales_v2(inp, R), "kit_sales_v2", R.check_year, R.check_target,
-                          prefix=R.check_name_prefix, checked_at=FIXTURE_CHECKED_AT)
+    # as in production, the check reads the written mart: one pruned scan
+    return _kit_check(materialize(M.kit_sales_v2(inp, R), "kit_sales_v2"), R.check_target)
 
 
 @_q("check_target_v1")
@@ -277,7 +284,15 @@ def _(spark, inp):
 @_q("reconcile_retail")
 def _(spark, inp):
     return K.reconcile(M.retail_sales_v2(inp, R), "retail_qty", "month",
-                       inp.retail, "retail_qty", "period", R.check_year)
+                       inp.retail_peer, "retail_qty", "month", R.check_year)
+
+
+@_q("reconcile_decimal")
+def _(spark, inp):
+    priced = inp.retail.select("period", (F.col("retail_qty").cast("decimal(18,2)") * F.lit(Decimal("0.35"))).alias("amount"))
+    monthly = RU.monthly_rollup(priced, "period", [], {"amount": "amount"})
+    out = K.reconcile(priced, "amount", "period", monthly, "amount", "month", R.check_year)
+    return out.select("year", *[F.col(c).cast("double").alias(c) for c in ("left_total", "right_total", "difference")], "equal")
 
 
 @_q("distinct_export_codes")
@@ -288,12 +303,14 @@ def _(spark, inp):
 # --- sinks (write to the shared folder, read back) -------------------------------------
 
 def _run_dir(spark: SparkSession, name: str) -> str:
-    return shared_dir(spark, "queries", f"{name}-{uuid.uuid4().hex}")
+    """A folder that lasts as long as the session, as the result reads it."""
+    return stage_path(spark, name)
 
 
 @_q("sink_overwrite_roundtrip")
 def _(spark, inp):
-    path = _run_dir(spark, "balance_v2")
+    path = _run_dir(spark, "balance")
+    SK.write_overwrite(M.balance_v1(inp, R), path)   # another mart first: it must be gone
     SK.write_overwrite(M.balance_v2(inp, R), path)
     return spark.read.parquet(path)
 
@@ -304,36 +321,35 @@ def _(spark, inp):
     path = _run_dir(spark, "retail_sales_v1")
     table = "retail_sales_v1_" + uuid.uuid4().hex[:12]
     SK.create_table(spark, table, mart, path)
-    SK.insert_overwrite(mart, table, M.RETAIL_V1_COLS)
+    SK.insert_overwrite(mart.where("month < '1997-01-01'"), table, M.RETAIL_V1_COLS)
     SK.insert_overwrite(mart, table, M.RETAIL_V1_COLS)   # a re-run replaces, never duplicates
+    spark.sql(f"DROP TABLE {table}")                      # external: its files stay
     return spark.read.parquet(path)
 
 
 @_q("check_append_roundtrip")
 def _(spark, inp):
     path = _run_dir(spark, "stage_checks")
-    row = K.check_target(M.kit_sales_v2(inp, R), "kit_sales_v2", R.check_year, R.check_target,
-                         prefix=R.check_name_prefix, checked_at=FIXTURE_CHECKED_AT)
-    SK.append(row, path, K.CHECK_COLUMNS)
+    mart = materialize(M.kit_sales_v2(inp, R), "kit_sales_v2")
+    for target in (R.check_target, R.check_target + 1):
+        SK.append(_kit_check(mart, target), path, K.CHECK_COLUMNS)
     return spark.read.parquet(path)
 
 
-_INPUTS: dict[tuple[int, str], tuple[SparkSession, Inputs]] = {}
-
-
-def inputs_for(spark: SparkSession, sf_dir: str) -> Inputs:
-    """Fixture inputs, built once per (session, directory): they are lazy,
-    immutable DataFrames, so every query can share them (building them is
-    pure driver-side analysis, repeated per call otherwise)."""
-    key = (id(spark), sf_dir)
-    hit = _INPUTS.get(key)
-    if hit is None or hit[0] is not spark:
-        hit = (spark, fixture_inputs(spark, sf_dir))
-        _INPUTS[key] = hit
-    return hit[1]
+@_q("run_marts_check")
+def _(spark, inp):
+    """The check row that a whole daily run leaves."""
+    database = "run_" + uuid.uuid4().hex[:12]
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{_run_dir(spark, 'database')}'")
+    try:
+        path = _run_dir(spark, "run")
+        run_marts(spark, inp, R, path, "v2", checked_at=FIXTURE_CHECKED_AT, database=database)
+        return spark.read.parquet(f"{path}/stage_checks")
+    finally:
+        spark.sql(f"DROP DATABASE {database} CASCADE")
 
 
 def queries() -> dict[str, Query]:
     def bind(fn):
-        return lambda spark, sf_dir: fn(spark, inputs_for(spark, sf_dir))
+        return lambda spark, sf_dir: fn(spark, fixture_inputs(spark, sf_dir))
     return {name: bind(fn) for name, fn in _REGISTRY.items()}

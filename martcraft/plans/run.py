@@ -1,44 +1,82 @@
 """The daily run (M13): three marts, then the data check.
 
-Order follows the original schedule: the three loads are independent (each is
-its own Spark job chain and may run in any order), the check runs after them
-and reads the *written* kit-sales mart, so it never recomputes the mart's
-lineage. Every write is a whole-table overwrite (re-running a day replaces,
-never duplicates); the check log is append-only.
+The three loads are independent, the check runs after them and reads the
+*written* kit-sales mart by its table name, so it never recomputes the mart's
+lineage. Marts are catalog tables: each is replaced as a whole (a re-run of a
+day replaces, never duplicates) and carries its description; v1 retail keeps
+its table and refreshes the rows. The check log is append-only.
+
+``as_of`` is resolved once, so marts built around midnight share a calendar.
+Stage tables live in one run folder that is removed at the end.
 """
 
 from __future__ import annotations
 
-import os
+import datetime as dt
+from dataclasses import dataclass, field
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
 
 from martcraft.operators import checks as K
 from martcraft.operators import sinks as SK
-from martcraft.plans.marts import MARTS
+from martcraft.plans import marts as M
 from martcraft.rules import Rules
-from martcraft.sources.fixtures import Inputs
+from martcraft.session import stage_run
+from martcraft.sources.inputs import Inputs
 
 COMMENTS = {
     "kit_sales": "Kit sales from ERP and realization",
     "retail_sales": "Vehicle retail sales",
     "balance": "Finished vehicle stock",
+    "stage_checks": "Results of the data checks, one row a check",
 }
 
 
+@dataclass
+class Run:
+    """Table names by mart, and the rows left out of the v2 series because
+    they belong to no calendar month."""
+
+    tables: dict[str, str]
+    as_of: dt.date
+    off_calendar_rows: dict[str, int] = field(default_factory=dict)
+
+
+def _today(spark: SparkSession) -> dt.date:
+    return spark.sql("SELECT current_date()").first()[0]
+
+
 def run_marts(spark: SparkSession, inputs: Inputs, rules: Rules, out_dir: str,
-              version: str = "v2", checked_at=None) -> dict[str, str]:
-    """Build and write the marts of ``version`` ('v1', 'interim' or 'v2')
-    under ``out_dir``; append one check row to ``out_dir/stage_checks``.
-    Returns the written paths."""
-    paths: dict[str, str] = {}
-    for name, build in MARTS[version].items():
-        path = os.path.join(out_dir, f"{name}_{version}")
-        SK.write_overwrite(build(inputs, rules), path)
-        paths[name] = path
-    kit = spark.read.parquet(paths["kit_sales"])
-    check = K.check_target(kit, f"kit_sales_{version}", rules.check_year, rules.check_target,
-                           prefix=rules.check_name_prefix, checked_at=checked_at)
-    paths["stage_checks"] = os.path.join(out_dir, "stage_checks")
-    SK.append(check, paths["stage_checks"], K.CHECK_COLUMNS)
-    return paths
+              version: str = "v2", checked_at=None, database: str = "default") -> Run:
+    """Build and write the marts of ``version`` ('v1', 'interim' or 'v2') as
+    tables ``database.<mart>_<version>`` with their files under ``out_dir``;
+    append one check row to ``database.stage_checks``."""
+    rules = rules if rules.as_of is not None else rules.with_(as_of=_today(spark))
+    tables = {name: f"{database}.{name}_{version}" for name in M.MARTS[version]}
+    run = Run(tables, rules.as_of)
+    counted: dict[str, Observation] = {}
+    with stage_run(spark):
+        shared = {}
+        if version == "v2":
+            base, codes = M.retail_base(inputs, rules), M.retail_codes(inputs)
+            counted = {"kit_sales": Observation(), "retail_sales": Observation()}
+            shared = {"kit_sales": {"dropped": counted["kit_sales"]},
+                      "retail_sales": {"base": base, "codes": codes, "dropped": counted["retail_sales"]},
+                      "balance": {"base": base, "codes": codes}}
+        for name, build in M.MARTS[version].items():
+            mart = build(inputs, rules, **shared.get(name, {}))
+            path = f"{out_dir}/{name}_{version}"
+            if (version, name) == ("v1", "retail_sales"):
+                SK.create_table(spark, tables[name], mart, path)
+                SK.insert_overwrite(mart, tables[name], mart.columns)
+            else:
+                SK.replace_table(spark, tables[name], mart, path)
+            SK.comment_on_table(spark, tables[name], COMMENTS[name])
+        run.off_calendar_rows = {k: o.get["off_calendar_rows"] for k, o in counted.items()}
+    check = K.check_target(spark.table(tables["kit_sales"]), f"kit_sales_{version}", rules.check_year,
+                           rules.check_target, prefix=rules.check_name_prefix, checked_at=checked_at)
+    tables["stage_checks"] = f"{database}.stage_checks"
+    SK.create_table(spark, tables["stage_checks"], check, f"{out_dir}/stage_checks")
+    SK.comment_on_table(spark, tables["stage_checks"], COMMENTS["stage_checks"])
+    SK.append(check, tables["stage_checks"], K.CHECK_COLUMNS, is_table=True)
+    return run

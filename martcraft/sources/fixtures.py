@@ -1,40 +1,17 @@
-"""Mart inputs.
-
-The marts consume eight inputs: the retail fact, the product guide, the kit
-sales fact, the realization fact and four id-keyed dimensions. ``Inputs``
-holds them as DataFrames; any source can provide them (catalog tables,
-Parquet directories). ``fixture_inputs`` derives them from the supplied
-TPC-H-style tables exactly as FIXTURES.md part B specifies, so that every
-operator runs on real, scaling data and can be compared with DuckDB.
-"""
+"""Mart inputs from the supplied TPC-H-style tables, as FIXTURES.md part B
+specifies, so that every operator runs on real, scaling data and can be
+compared with DuckDB."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martcraft.functions.dates import month_start
+from martcraft.sources.inputs import Inputs
 from martcraft.sources.tables import read_table
 
 
-@dataclass(frozen=True)
-class Inputs:
-    retail: DataFrame        # period, division, internal_code, assembly_variant,
-                             # sales_direction, vin, dealer_id, retail_qty,
-                             # opening_stock, closing_stock
-    guide: DataFrame         # guide_id, name, code65, factory_model,
-                             # manufacturer, division
-    kit_sales: DataFrame     # month, division, counterparty, drawing_no,
-                             # assembly_variant, sales_direction, sold_qty
-    realization: DataFrame   # period, product_id, direction_id, qty
-    product: DataFrame       # id, product_name, code65, assembly_variant, division_id
-    direction: DataFrame     # id, sales_direction
-    division: DataFrame      # id, name
-    dealer: DataFrame        # id, division
-
-
 def _model(pk: Column, ptype: Column, psize: Column) -> Column:
     return (F.when(pk % 97 == 0, F.lit(None).cast("string"))
             .when(pk % 89 == 0, F.lit(""))
@@ -104,8 +81,7 @@ def fixture_inputs(spark: SparkSession, base_dir: str) -> Inputs:
 
     direction_id = F.substring("o_orderpriority", 1, 1).cast("bigint")
     realization = li_o.select(
-        F.when(F.col("l_linenumber") % 2 == 0, month_start("l_shipdate"))
-        .otherwise(F.col("l_shipdate").cast("date")).alias("period"),
+        F.col("l_shipdate").alias("period"),  # a stored column, so filters on it reach the scan
         F.col("l_partkey").alias("product_id"),
         direction_id.alias("direction_id"),
         _qty("l_quantity").alias("qty"),
@@ -121,6 +97,7 @@ def fixture_inputs(spark: SparkSession, base_dir: str) -> Inputs:
                              F.col("r_name").alias("name"))
     dealer = customer.select(F.col("c_custkey").alias("id"),
                              F.col("c_mktsegment").alias("division"))
+    retail_peer = retail.select(month_start("period").alias("month"), "retail_qty")
     return Inputs(retail=retail, guide=guide, kit_sales=kit_sales,
                   realization=realization, product=product, direction=direction,
-                  division=division, dealer=dealer)
+                  division=division, dealer=dealer, retail_peer=retail_peer)
