@@ -12,7 +12,7 @@ import weakref
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martcraft.session import shared_dir
+from martcraft.session import stage_path
 
 #: ASCII white space, U+0020 and U+0009 to U+000D: what separates words.
 SPACE = " \t\n\x0b\f\r"
@@ -43,7 +43,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     ``spark.checkpoint.dir`` and read it back: a lineage cut that survives
     lost executors and whose size the optimizer knows."""
     spark = df.sparkSession
-    path = shared_dir(spark, "llm", f"{name}-{uuid.uuid4().hex}")
+    path = stage_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType)
 
 from martcraft.llm.common import ROW, carry, ship, stage
+from martcraft.llm.hashing import pieces
 
 ASSIGN = re.compile(rb"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE)
 ASSIGN_HINTS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
@@ -160,8 +161,12 @@ def scan(docs: DataFrame, rules: SecretRules, keep_row: bool) -> DataFrame:
         total = np.zeros((2, CODES * CODES), np.int64)
         schema = None
         for b in batches:
-            spans, cands, counts = _scan_batch(b.column("_text").to_pylist(), rules)
-            total += counts
+            texts, spans, cands = b.column("_text").to_pylist(), [], []
+            for part in pieces(texts, 4_000_000):  # bounds the arrays over the bytes
+                found = _scan_batch([texts[i] for i in part], rules)
+                spans += found[0]
+                cands += found[1]
+                total += found[2]
             cols = [b.column(f.name) for f in kept]
             schema = schema or [c.type for c in cols]
             yield pa.RecordBatch.from_arrays(
