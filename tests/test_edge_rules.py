@@ -242,3 +242,27 @@ def test_month_and_year_predicates_on_timestamps(spark):
     got = df.where(month_in("ts", [dt.date(1996, 7, 15)], "timestamp_ntz")).count()
     assert got == 1
     assert df.where(year_is("ts", 1996, "timestamp_ntz")).count() == 2
+
+
+def test_reconcile_keeps_decimals(spark):
+    left = spark.createDataFrame([(D1, "1.60"), (D2, "1.60")], "month date, q string").selectExpr("month", "cast(q as decimal(18,2)) q")
+    right = spark.createDataFrame([(D3, "3.20")], "month date, q string").selectExpr("month", "cast(q as decimal(18,2)) q")
+    row = K.reconcile(left, "q", "month", right, "q", "month", 2020).collect()[0]
+    assert row["equal"] and str(row["left_total"]) == "3.20" and row["difference"] == 0
+    whole = K.reconcile(left, "q", "month", right.selectExpr("month", "cast(4 as bigint) q"), "q", "month", 2020).collect()[0]
+    assert not whole["equal"] and float(whole["difference"]) == -0.8
+
+
+def test_many_off_calendar_rows_of_one_unit(spark):
+    """They are dropped before the shuffle and counted; a unit with nothing
+    else keeps its partition's series."""
+    from pyspark.sql import Observation
+    unit = ("d", "i", "c", "v", "s")
+    data = [(D1, *unit, 5)] + [(dt.date(2020, 1, 2 + i % 27), *unit, 1) for i in range(500)] + [(dt.date(2019, 5, 1), "x", "i", "c", "v", "s", 3)]
+    u = spark.createDataFrame(data, UNION)
+    seen = Observation()
+    out = C.densify_cumulative(u, UNIT, UNIT, "sold_qty", D1, D3, dropped=seen)
+    assert rows(out, "month", "sold_qty", "cumulative_qty") == srt([(D1, 5, 5), (D2, None, 5), (D3, None, 5)])
+    assert seen.get["off_calendar_rows"] == 501
+    before_shuffle = out._jdf.queryExecution().optimizedPlan().toString()
+    assert before_shuffle.index("RepartitionByExpression") < before_shuffle.index("Filter")

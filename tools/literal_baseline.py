@@ -1,4 +1,4 @@
-"""Time the literal-form SQL (the oracle) on DuckDB for the headline marts:
+"""Time the oracle SQL on DuckDB for the headline marts:
 a single-node reference point for bench.py at the same scale.
 
     python tools/literal_baseline.py [sf_dir] [runs]
