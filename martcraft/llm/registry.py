@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martcraft.llm import langid, lm, mixing, packing, quality, secrets, sharding, simhash, topk, toxicity
+from martcraft.llm import langid, lm, mixing, oracle, packing, quality, secrets, sharding, simhash, topk, toxicity
 from martcraft.llm.common import read
 
 
@@ -22,7 +22,8 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.find(read(spark, sf_dir, "documents")).drop("found")
+    return secrets.find(read(spark, sf_dir, "documents")).select(
+        "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_random")
 
 
 def op4_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,4 +71,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """The others have a hash, a tokenizer or a trained model that SQL lacks;
+    their tests compare them with brute force."""
+    return {
+        "op7_topk": oracle.top_k_sql(50),
+        "op10_quality": oracle.quality_sql(),
+    }
