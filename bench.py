@@ -31,7 +31,7 @@ def main() -> None:
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
 
     from martcraft.plans.registry import queries
-    from martcraft.session import local_session
+    from martcraft.session import local_session, stage_run
 
     n = int(cpus) if cpus.isdigit() else os.cpu_count() or 8
     spark = local_session(cpus, shuffle_partitions=max(8, 2 * n), app="martcraft-bench")
@@ -41,7 +41,8 @@ def main() -> None:
     for name in names:
         def once() -> float:
             t0 = time.perf_counter()
-            qs[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            with stage_run(spark):
+                qs[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             return time.perf_counter() - t0
         once()  # warm-up
         times[name] = round(statistics.median(once() for _ in range(runs)), 3)

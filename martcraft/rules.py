@@ -93,7 +93,7 @@ FIXTURE = Rules(
     calendar_start=_date("1996-01-01"),
     as_of=_date("2001-12-31"),
     check_year=1997,
-    check_target=263045,
+    check_target=262309,
     export_exclude_pattern="F%",
 )
 
