@@ -29,11 +29,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
-from martcraft.llm.common import held_out, ship, stage
+from martcraft.llm.common import bounded_sample, held_out, ship, stage
 
 ORDER = 3
 START = b"\n" * ORDER  # what stands before a text
@@ -59,10 +59,8 @@ def count(docs: DataFrame, rules: LanguageRules) -> list[tuple[str, int, int, in
     """(language, order, packed context and byte, count) of the sample."""
     ship(docs.sparkSession)
     rows = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = stage(rows.select("lang", "doc_id").withColumn("r", F.row_number().over(first))
-                   .where(F.col("r") <= rules.max_documents).select(F.col("lang").alias("_lang"), F.col("doc_id").alias("_id")).distinct(),
-                   "langid-chosen")
+    chosen = stage(bounded_sample(rows.select(F.col("lang").alias("_lang"), F.col("doc_id").alias("_id")), "_id", rules.max_documents, ["_lang"])
+                   .distinct(), "langid-chosen")
     sample = docs.join(F.broadcast(chosen), (F.col("lang") == F.col("_lang")) & (F.col("doc_id") == F.col("_id")))
     sample = sample.where("text is not null").select("lang", F.col("text").cast("binary").alias("text"))
     out = StructType([StructField("lang", StringType()), StructField("order", LongType()),

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
-from martcraft.llm.common import ROW, carry, ship, stage
+from martcraft.llm.common import ROW, bounded_sample, carry, ship, stage
 from martcraft.llm.hashing import hashed_words, pieces
 
 
@@ -82,15 +82,13 @@ def _domain() -> Column:
 def train(docs: DataFrame, labels: DataFrame, rules: MixRules) -> Classifier:
     ship(docs.sparkSession)
     named = labels.select(F.col("doc_id").alias("_id"), _domain().alias("domain")).where("_id is not null and domain is not null")
-    names = sorted(r.domain for r in named.select("domain").distinct().collect())  # as many as the labels have kinds
+    share = {r.domain: r["count"] for r in named.groupBy("domain").count().collect()}  # as many as the labels have kinds
+    names = sorted(share)
     if not names:
         return Classifier(["all"], np.zeros((1 << rules.bits, 1)), np.zeros(1), 1.0, rules.bits)
-    picked = None
-    for i, name in enumerate(names):
-        own = named.where(F.col("domain") == name).orderBy(F.xxhash64("_id"), "_id").limit(rules.max_labelled).select(
-            "_id", F.lit(i).alias("_k"), F.pmod(F.xxhash64(F.col("_id").cast("string")), F.lit(2)).cast("int").alias("_half"))
-        picked = own if picked is None else picked.union(own)
-    picked = stage(picked, "mixing-chosen")
+    number = F.array_position(F.array(*[F.lit(n) for n in names]), F.col("domain")) - 1
+    picked = stage(bounded_sample(named.select("_id", number.cast("int").alias("_k")), "_id", rules.max_labelled, ["_k"]).withColumn(
+        "_half", F.pmod(F.xxhash64(F.col("_id").cast("string")), F.lit(2)).cast("int")), "mixing-chosen")
     sample = docs.join(F.broadcast(picked), F.col("doc_id") == F.col("_id")).select("_k", "_half", F.col("text").cast("binary").alias("text"))
     sample = stage(sample, "mixing-sample")
     size, bits = 1 << rules.bits, rules.bits
@@ -114,8 +112,7 @@ def train(docs: DataFrame, labels: DataFrame, rules: MixRules) -> Classifier:
         p = (counts + 200 * every) / (counts.sum(axis=1, keepdims=True) + 200)
         return Classifier(names, np.log(p / every).T.copy(), prior, heat, bits)
 
-    share = {r._k: r["count"] for r in named.select(F.array_position(F.array(*[F.lit(n) for n in names]), F.col("domain")).alias("_k")).groupBy("_k").count().collect()}
-    prior = np.log(np.array([share.get(i + 1, 0) + 0.5 for i in range(len(names))], float))
+    prior = np.log(np.array([share[n] + 0.5 for n in names], float))
     prior -= np.log(np.exp(prior).sum())
     half = fitted(sample.where("_half = 0"), 1.0)
     rest = _scored(sample.where("_half = 1"), half, ["_k"]).collect()  # bounded by the sample

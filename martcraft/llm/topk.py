@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from martcraft.llm.common import ship, stage
+from martcraft.llm.common import bounded_sample, ship, stage
 
 
 @dataclass(frozen=True)
@@ -192,7 +192,7 @@ def top_k(vectors: DataFrame, is_query, rules: SearchRules = SearchRules()) -> D
     distinct = stage(distinct.join(asked_v, "v", "left").select(
         "vid", "v", F.size("v").alias("dim"), "ids", F.coalesce("_asked", F.lit(False)).alias("asks")), "topk-distinct")
 
-    sample = distinct.orderBy(F.xxhash64("vid"), "vid").limit(rules.sample).select("v").collect()
+    sample = bounded_sample(distinct.select("vid", "v", F.lit(1).alias("one")), "vid", rules.sample, ["one"]).select("v").collect()
     total = distinct.count()
     by_dim: dict[int, list] = {}
     for r in sample:

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructField, StructType
 
-from martcraft.llm.common import held_out, ship, stage
+from martcraft.llm.common import bounded_sample, held_out, ship, stage
 
 OPEN, CLOSE = "\"'“„«‘‹", "\"'”“»’›"
 EDGE = " .,;:!?()[]{}<>|*#$%&\"'“”„«»‘’‹›…"
@@ -254,8 +254,7 @@ def _labelled(docs: DataFrame, labels: DataFrame, rules: ToxicityRules) -> DataF
     """text and toxic of the sample: bounded by rows of each label."""
     rows = labels.select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("toxic")).where(
         ~held_out("_id") & F.col("_id").isNotNull())
-    parts = [rows.where(F.col("toxic") == k).orderBy(F.xxhash64("_id"), "_id").limit(rules.max_labelled) for k in (0, 1)]
-    chosen = stage(parts[0].union(parts[1]), "toxicity-chosen")
+    chosen = stage(bounded_sample(rows.where("toxic in (0, 1)"), "_id", rules.max_labelled, ["toxic"]), "toxicity-chosen")
     return docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("text", "toxic")
 
 
