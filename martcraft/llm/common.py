@@ -61,6 +61,14 @@ def bounded_sample(rows: DataFrame, key: str, most: int, by: list[str]) -> DataF
     return kept.select(*rows.columns)
 
 
+def leading_bits(x: str, bits: int) -> str:
+    """SQL: a nonnegative integer with all but its leading ``bits`` bits
+    cleared: the lower edge of its bin in a histogram whose bins have a
+    relative width under 2 / 2**bits. Such histograms merge by addition."""
+    drop = f"greatest(0, length(bin({x})) - {bits})"
+    return f"shiftleft(shiftright({x}, {drop}), {drop})"
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     """True for rows whose crc32(doc_id as text) mod 3 is 1 (null id: text '')."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % 3 == 1

@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from martcraft.llm.common import ROW, SPACE, SPACE_RUN, carry, stage
+from martcraft.llm.common import ROW, SPACE, SPACE_RUN, carry, leading_bits, stage
 
 SKETCH_BITS = 6
 #: ratio -> (numerator, denominator, scale); integer division.
@@ -97,18 +97,12 @@ def _ratio(name: str) -> str:
     return f"if({under} = 0, 0L, {scale} * {over} div {under})"
 
 
-def _bin(x: str) -> str:
-    """The value with all but its leading SKETCH_BITS bits cleared."""
-    drop = f"greatest(0, length(bin({x})) - {SKETCH_BITS})"
-    return f"shiftleft(shiftright({x}, {drop}), {drop})"
-
-
 def sketches(feats: DataFrame) -> DataFrame:
     """level 0: (lang, source); 1: lang; 2: all. One row per level, group,
     ratio and bin with its count; the upper levels merge the lower ones."""
     entries = F.array(*[F.struct(F.lit(n).alias("ratio"), F.expr(_ratio(n)).alias("v")) for n in RATIOS])
     by = (feats.where("n_words > 0").select("lang", "source", F.explode(entries).alias("e"))
-          .groupBy("lang", "source", F.col("e.ratio").alias("ratio"), F.expr(_bin("e.v")).alias("bin"))
+          .groupBy("lang", "source", F.col("e.ratio").alias("ratio"), F.expr(leading_bits("e.v", SKETCH_BITS)).alias("bin"))
           .agg(F.count("*").alias("n")))
     levels = F.array(
         F.struct(F.lit(0).alias("level"), "lang", "source"),
