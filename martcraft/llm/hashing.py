@@ -51,10 +51,24 @@ def pieces(texts: list[bytes | None], most: int = 1_000_000):
         yield part
 
 
-def hashed_words(texts: list[bytes | None], part: list[int]) -> tuple[np.ndarray, np.ndarray]:
-    """(position in ``part`` of its text, hash) of every word, A-Z lowered."""
+def _lowered(texts: list[bytes | None], part: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes of the texts with A-Z lowered, the words' spans in them, and the
+    position in ``part`` of each word's text."""
     low = [(texts[i] or b"").lower() for i in part]
     raw = np.frombuffer(b" ".join(low) + b" ", np.uint8)
     starts, ends = word_spans(raw)
     bounds = np.cumsum([len(t) + 1 for t in low])
-    return np.searchsorted(bounds, starts, "right"), word_hashes(raw, starts, ends)
+    return raw, starts, ends, np.searchsorted(bounds, starts, "right")
+
+
+def hashed_words(texts: list[bytes | None], part: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """(position in ``part`` of its text, hash) of every word."""
+    raw, starts, ends, at = _lowered(texts, part)
+    return at, word_hashes(raw, starts, ends)
+
+
+def hashed_words_and_tails(texts: list[bytes | None], part: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same, with the last two bytes of every word as one number."""
+    raw, starts, ends, at = _lowered(texts, part)
+    tail = raw[ends - 1].astype(np.int64) + np.where(ends - starts > 1, raw[ends - 2].astype(np.int64) << 8, 0)
+    return at, word_hashes(raw, starts, ends), tail

@@ -1,27 +1,32 @@
 """Mixing documents to target domain weights with soft membership.
 
 The labelled table names domains (its combinations of ``quality`` and
-``toxic``). A naive Bayes classifier over hashed words, with a temperature
-fitted on the half of the sample it did not count, gives every document a
-posterior over the domains. Nonnegative rates r are then fitted so that the
-expected domain totals y_k = sum of tokens * r * p_k meet the targets b_k:
-projected gradient on the least squares ``sum_k (y_k - b_k)**2 / (2 T T_k)``
-(T_k: domain k's expected total at rate 1, T: all tokens), started at r = 1.
-In the metric that weighs a document by its tokens a step is
-``r <- max(0, r - sum_k p_k (y_k - b_k) / T_k)``; its step length is safe
-because sum_k p_k = 1. A step needs only the K totals of the one before, so
-every iteration is one pass over (tokens, posterior) rows with K sums; a
-document's rate follows from the list of past steps and is never shuffled.
+``toxic``). A naive Bayes classifier over the hashed signs that a text has
+(its words, their last two bytes, how many of its words are distinct; each
+once), kept where a sign's rate in a domain differs clearly from its rate
+elsewhere, calibrated by a softmax regression on the half of the sample it did
+not count, gives every document a posterior over the domains. Nonnegative rates r
+are then fitted so that the expected domain totals y_k = sum of tokens * r *
+p_k meet the targets b_k: accelerated projected gradient on the least squares
+``sum_k (y_k - b_k)**2 / (2 T T_k)`` (T_k: domain k's expected total at rate
+1, T: all tokens), started at r = 1. In the metric that weighs a document by
+its tokens a step from v is ``r <- max(0, v - sum_k p_k (y_k(v) - b_k) / T_k)``;
+its length is safe because sum_k p_k = 1, and v is r moved on along its last
+change (momentum, restarted when the residual grows). A step needs only the K
+totals of the rates before, so every iteration is one pass over (tokens,
+posterior) rows with K sums; a document's rate follows from the list of past
+steps and is never shuffled.
 
 The classifier learns from at most ``max_labelled`` documents of each domain
 (least hash of doc_id), a documented bound. Posteriors, totals and rates cover
 all documents.
 
-Defined cases: null and empty texts have no tokens, the prior as posterior and
-the rate of that; with no labelled document there is one domain, ``all``;
-domains without a target keep their own share, scaled to what the targets
-leave; repeated rows are rated each; null ids are rated (drawn as the empty
-text); an empty table gives an empty result; other columns are carried.
+Defined cases: null and empty texts have no tokens and the rate of their
+posterior; with no labelled document there is one domain, ``all``; domains
+without a target keep their own share, scaled to what the targets leave;
+targets that no nonnegative rates meet are approached for ``max_steps``;
+repeated rows are rated each; null ids are rated (drawn as the empty text); an
+empty table gives an empty result; other columns are carried.
 """
 
 from __future__ import annotations
@@ -36,43 +41,80 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
 from martcraft.llm.common import ROW, bounded_sample, carry, ship, stage
-from martcraft.llm.hashing import hashed_words, pieces
+from martcraft.llm.hashing import hashed_words_and_tails, pieces
 
 
 @dataclass(frozen=True)
 class MixRules:
     max_labelled: int = 2000
-    bits: int = 15
+    bits: int = 17
+    min_sign: float = 6.0    # standard deviations by which a sign's rate must differ
     #: target share of tokens by domain name
     targets: tuple[tuple[str, float], ...] = (("quality=1,toxic=1", 0.02), ("quality=0,toxic=0", 0.01), ("quality=0,toxic=1", 0.01))
     max_steps: int = 60
     tolerance: float = 1e-3
 
 
+def signs(texts: list[bytes | None], part: list[int], bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(position in ``part``, cell) of every sign that a text has, each once,
+    and the texts' numbers of words."""
+    at, h, end = hashed_words_and_tails(texts, part)
+    n = np.bincount(at, minlength=len(part))
+    size = 1 << bits
+    cell = (h >> np.uint64(64 - bits)).astype(np.int64)
+    tail = ((end.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - bits)).astype(np.int64)
+    words = np.unique(at * size + cell)
+    distinct = np.bincount(words // size, minlength=len(part))
+    # of ten words, how many are distinct
+    tenth = np.where(n > 0, 10 * distinct // np.maximum(n, 1), 11)
+    every = np.unique(np.concatenate([words, at * size + tail, np.arange(len(part)) * size + tenth]))
+    return every // size, every % size, n
+
+
 @dataclass
 class Classifier:
     domains: list[str]
-    table: np.ndarray      # bucket x domain: log of a word's probability
-    prior: np.ndarray
-    heat: float
+    table: np.ndarray      # cell x domain: a sign's log ratio, domain over the rest
+    weights: np.ndarray    # (domains + 1) x domains: calibration of the summed log ratios
     bits: int
 
     def logits(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
         """Tokens and log-likelihoods (without prior) of each text."""
         n, out = np.zeros(len(texts), np.int64), np.zeros((len(texts), len(self.domains)))
         for part in pieces(texts):
-            at, h = hashed_words(texts, part)
-            values = self.table[(h >> np.uint64(64 - self.bits)).astype(np.int64)]
-            n[part] = np.bincount(at, minlength=len(part))
+            at, cell, n[part] = signs(texts, part, self.bits)
+            values = self.table[cell]
             for k in range(len(self.domains)):
                 out[part, k] = np.bincount(at, values[:, k], minlength=len(part))
         return n, out
 
     def posterior(self, logits: np.ndarray) -> np.ndarray:
-        z = logits / self.heat + self.prior
-        z -= z.max(axis=1, keepdims=True)
-        p = np.exp(z)
-        return p / p.sum(axis=1, keepdims=True)
+        return _softmax(_inputs(logits) @ self.weights)
+
+
+def _inputs(logits: np.ndarray) -> np.ndarray:
+    return np.concatenate([np.clip(logits, -40, 40) / 10, np.ones((len(logits), 1))], axis=1)
+
+
+def _softmax(z: np.ndarray) -> np.ndarray:
+    p = np.exp(z - z.max(axis=1, keepdims=True))
+    return p / p.sum(axis=1, keepdims=True)
+
+
+def _calibrate(logits: np.ndarray, domain: np.ndarray, share: np.ndarray, steps: int = 3000) -> np.ndarray:
+    """Softmax regression by accelerated gradient steps; rows are weighted so
+    that the domains have their shares of the label table."""
+    x, k = _inputs(logits), len(share)
+    y = np.eye(k)[domain]
+    w = (share / np.maximum(y.sum(axis=0), 1))[domain]
+    w /= w.sum()
+    size = np.linalg.eigvalsh((x * w[:, None]).T @ x)[-1] / 2 + 1e-3
+    now = before = np.zeros((x.shape[1], k))
+    for t in range(steps):
+        at = now + t / (t + 3) * (now - before)
+        grad = (x * w[:, None]).T @ (_softmax(x @ at) - y) + 1e-4 * at
+        before, now = now, at - grad / size
+    return now
 
 
 def _domain() -> Column:
@@ -85,7 +127,7 @@ def train(docs: DataFrame, labels: DataFrame, rules: MixRules) -> Classifier:
     share = {r.domain: r["count"] for r in named.groupBy("domain").count().collect()}  # as many as the labels have kinds
     names = sorted(share)
     if not names:
-        return Classifier(["all"], np.zeros((1 << rules.bits, 1)), np.zeros(1), 1.0, rules.bits)
+        return Classifier(["all"], np.zeros((1 << rules.bits, 1)), np.zeros((2, 1)), rules.bits)
     number = F.array_position(F.array(*[F.lit(n) for n in names]), F.col("domain")) - 1
     picked = stage(bounded_sample(named.select("_id", number.cast("int").alias("_k")), "_id", rules.max_labelled, ["_k"]).withColumn(
         "_half", F.pmod(F.xxhash64(F.col("_id").cast("string")), F.lit(2)).cast("int")), "mixing-chosen")
@@ -98,33 +140,34 @@ def train(docs: DataFrame, labels: DataFrame, rules: MixRules) -> Classifier:
         for b in batches:
             texts, k = b.column("text").to_pylist(), np.array(b.column("_k").to_pylist(), np.int64)
             for part in pieces(texts):
-                at, h = hashed_words(texts, part)
-                cell = k[part][at] * size + (h >> np.uint64(64 - bits)).astype(np.int64)
-                cell, n = np.unique(cell, return_counts=True)
+                at, cell, _ = signs(texts, part, bits)
+                cell, n = np.unique(k[part][at] * size + cell, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(n.astype(np.int64))], names=out.names)
 
-    def fitted(rows: DataFrame, heat: float) -> Classifier:
+    def fitted(rows: DataFrame, weights: np.ndarray) -> Classifier:
+        docs_in = np.zeros((len(names), 1))
+        for r in rows.groupBy("_k").count().collect():
+            docs_in[r._k] = r["count"]
         counts = np.zeros(len(names) * size)
         for r in rows.mapInArrow(count, out).groupBy("cell").agg(F.sum("n").alias("n")).collect():  # cells are bounded
             counts[r.cell] = r.n
         counts = counts.reshape(len(names), size)
-        every = (counts.sum(axis=0) + 0.5) / (counts.sum() + 0.5 * size)
-        p = (counts + 200 * every) / (counts.sum(axis=1, keepdims=True) + 200)
-        return Classifier(names, np.log(p / every).T.copy(), prior, heat, bits)
-
-    prior = np.log(np.array([share[n] + 0.5 for n in names], float))
-    prior -= np.log(np.exp(prior).sum())
-    half = fitted(sample.where("_half = 0"), 1.0)
+        other, docs_out = counts.sum(axis=0) - counts, docs_in.sum() - docs_in
+        p = (counts + 0.5) / (docs_in + 1)
+        rest = (other + 0.5) / (docs_out + 1)
+        pool = (counts.sum(axis=0) + 0.5) / (docs_in.sum() + 1)
+        apart = np.abs(p - rest) / np.sqrt(pool * (1 - np.minimum(pool, 0.999)) * (1 / (docs_in + 1) + 1 / (docs_out + 1)))
+        table = np.where(apart >= rules.min_sign, np.log(p / rest), 0.0)
+        return Classifier(names, table.T.copy(), weights, bits)
+
+    part = np.array([share[n] for n in names], float) / sum(share.values())
+    weights = np.zeros((len(names) + 1, len(names)))
+    weights[-1] = np.log(part)
+    half = fitted(sample.where("_half = 0"), weights)
     rest = _scored(sample.where("_half = 1"), half, ["_k"]).collect()  # bounded by the sample
-    heat = 1.0
     if rest:
-        z, k = np.array([r.logits for r in rest]), np.array([r._k for r in rest])
-        losses = []
-        for heat in (choices := [0.5 * 1.25 ** i for i in range(30)]):
-            half.heat = heat
-            losses.append(-np.log(half.posterior(z)[np.arange(len(k)), k] + 1e-12).mean())
-        heat = choices[int(np.argmin(losses))]
-    return fitted(sample, heat)
+        weights = _calibrate(np.array([r.logits for r in rest]), np.array([r._k for r in rest]), part)
+    return fitted(sample, weights)
 
 
 def _scored(docs: DataFrame, model: Classifier, keep: list[str]) -> DataFrame:
@@ -144,10 +187,11 @@ def _scored(docs: DataFrame, model: Classifier, keep: list[str]) -> DataFrame:
     return docs.select(*keep, "text").mapInArrow(run, out)
 
 
-def _rates(p: np.ndarray, steps: list[np.ndarray]) -> np.ndarray:
-    r = np.ones(len(p))
-    for g in steps:
-        r = np.maximum(0.0, r - p @ g)
+def _rates(p: np.ndarray, steps: list[tuple[float, np.ndarray]]) -> np.ndarray:
+    """Rates after the steps (momentum, direction by domain)."""
+    before = r = np.ones(len(p))
+    for m, g in steps:
+        before, r = r, np.maximum(0.0, r + m * (r - before) - p @ g)
     return r
 
 
@@ -155,7 +199,7 @@ def _matrix(column: pa.Array, k: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, k)
 
 
-def totals(rows: DataFrame, k: int, steps: list[np.ndarray]) -> np.ndarray:
+def totals(rows: DataFrame, k: int, steps: list[tuple[float, np.ndarray]]) -> np.ndarray:
     """Expected tokens of each domain at the rates after ``steps``."""
     out = StructType([StructField("y", ArrayType(DoubleType()))])
 
@@ -183,16 +227,22 @@ def goals(domains: list[str], own: np.ndarray, targets: tuple[tuple[str, float],
     return own.sum() * (share / share.sum() if share.sum() > 0 else own / max(own.sum(), 1e-300))
 
 
-def fit_rates(rows: DataFrame, domains: list[str], rules: MixRules) -> list[np.ndarray]:
-    """The projected-gradient steps."""
-    steps: list[np.ndarray] = []
-    own = y = totals(rows, len(domains), steps)
+def fit_rates(rows: DataFrame, domains: list[str], rules: MixRules) -> list[tuple[float, np.ndarray]]:
+    """The projected-gradient steps. Totals are linear in the rates, so those
+    at the moved point follow from the last two."""
+    steps: list[tuple[float, np.ndarray]] = []
+    own = y = last = totals(rows, len(domains), steps)
     if not own.sum():
         return steps
     b = goals(domains, own, rules.targets)
-    while len(steps) < rules.max_steps and np.abs(y - b).sum() > rules.tolerance * own.sum():
-        steps.append((y - b) / np.where(own > 0, own, np.inf))
-        y = totals(rows, len(domains), steps)
+    since, off = 0, np.abs(y - b).sum()
+    while len(steps) < rules.max_steps and off > rules.tolerance * own.sum():
+        m = since / (since + 3.0)
+        moved = y + m * (y - last)
+        steps.append((m, (moved - b) / np.where(own > 0, own, np.inf)))
+        last, y = y, totals(rows, len(domains), steps)
+        before, off = off, np.abs(y - b).sum()
+        since = 0 if off > before else since + 1
     return steps
 
 
