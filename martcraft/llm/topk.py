@@ -5,14 +5,15 @@ equal vectors are searched as one (their k + 1 smallest ids are kept, which is
 all that ties to the smaller id can need). The upper level of the index is a
 greedy cover of a bounded sample: every vector goes to its nearest centre's
 cell, whose covering radius is measured over all its vectors. Cells are cut
-into blocks of bounded size; queries are blocked by cell too.
+into blocks of bounded size; queries are blocked too, those of neighbouring cells
+together.
 
 A block of queries and a block of data meet in one task, which builds a cover
 tree over each and descends both together: a pair of nodes with centres a, b
 and covering radii p, q has no score above <a,b> + p|b| + q|a| + pq, and is
 pruned where that lies under the worst kth score of the query node's group.
-The first pass searches each query block's own cell; its kth scores prune
-whole cells by the same bound before the second pass sends anything there.
+The first pass searches a query block's own cells; its kth scores prune whole
+cells by the same bound before the second pass sends anything to them.
 
 Defined cases: rows whose id is null, or whose vector is null or holds a null
 or non-finite component, take no part; vectors of different lengths are never
@@ -40,8 +41,8 @@ class SearchRules:
     query_block: int = 2048   # queries of a query block
     cells: int = 64           # most centres of the upper level
     sample: int = 4096        # rows that the centres are chosen from
-    leaf: int = 64
-    branch: int = 32          # most children of a node
+    leaf: int = 256
+    branch: int = 16          # most children of a node
 
 
 class CoverTree:
@@ -53,26 +54,31 @@ class CoverTree:
 
     def __init__(self, x: np.ndarray, leaf: int, branch: int) -> None:
         self.x, self.leaf, self.branch = x, leaf, branch
+        self.square = np.einsum("ij,ij->i", x, x)
         middle = x.mean(axis=0)
-        first = int(((x - middle) ** 2).sum(axis=1).argmin())
-        self.root = self._node(np.arange(len(x)), first)
+        first = int((self.square - 2 * (x @ middle)).argmin())
+        self.root = self._node(np.arange(len(x)), x, first)
 
-    def _node(self, rows: np.ndarray, centre: int) -> tuple:
-        d = np.sqrt(((self.x[rows] - self.x[centre]) ** 2).sum(axis=1))
-        radius = float(d.max())
+    def _distance(self, rows: np.ndarray, x: np.ndarray, centre: int) -> np.ndarray:
+        d = self.square[rows] + self.square[centre] - 2 * (x @ self.x[centre])
+        return np.sqrt(np.maximum(d, 0))
+
+    def _node(self, rows: np.ndarray, x: np.ndarray, centre: int) -> tuple:
+        d = self._distance(rows, x, centre)
+        radius = float(d.max()) * (1 + 1e-9)
         if len(rows) <= self.leaf or radius == 0:
             return centre, radius, (), rows
         near, best, picked = d.copy(), np.zeros(len(rows), np.int64), [centre]
         while len(picked) < self.branch and near.max() > radius / self.BASE:
             new = int(rows[near.argmax()])
-            d = np.sqrt(((self.x[rows] - self.x[new]) ** 2).sum(axis=1))
+            d = self._distance(rows, x, new)
             closer = d < near
             near[closer], best[closer] = d[closer], len(picked)
             picked.append(new)
-        groups = [rows[best == i] for i in range(len(picked))]
+        groups = [np.flatnonzero(best == i) for i in range(len(picked))]
         if max(map(len, groups)) == len(rows):
             return centre, radius, (), rows
-        return centre, radius, tuple(self._node(g, c) for g, c in zip(groups, picked) if len(g)), rows
+        return centre, radius, tuple(self._node(rows[g], x[g], c) for g, c in zip(groups, picked) if len(g)), rows
 
 
 def dual_search(queries: np.ndarray, data: np.ndarray, ids: np.ndarray, k: int, floor: np.ndarray,
@@ -99,15 +105,23 @@ def dual_search(queries: np.ndarray, data: np.ndarray, ids: np.ndarray, k: int,
         rows, cols = a[3], b[3]
         s = (q[rows] @ r[cols].T) if exact else (queries[rows].astype(object) @ data[cols].astype(object).T).astype(np.float64)
         done += s.size
-        hit = np.flatnonzero((s >= worst[rows][:, None]).any(axis=1))
-        if not len(hit):
+        least = worst[rows]
+        if s.shape[1] > k:  # no score under the kth of these alone can stay
+            least = np.maximum(least, np.partition(s, s.shape[1] - k, axis=1)[:, s.shape[1] - k])
+        row, col = np.nonzero(s >= least[:, None])
+        if not len(row):
             return
-        rows = rows[hit]
-        score = np.concatenate([best[rows], s[hit]], axis=1)
-        name = np.concatenate([who[rows], np.broadcast_to(ids[cols], (len(hit), len(cols)))], axis=1)
-        order = np.lexsort((name, -score), axis=1)[:, :k]
-        best[rows], who[rows] = np.take_along_axis(score, order, 1), np.take_along_axis(name, order, 1)
-        worst[rows] = np.maximum(worst[rows], best[rows, k - 1])
+        hit = np.unique(row)
+        old = np.repeat(hit, k)
+        of = np.concatenate([old, row])
+        score = np.concatenate([best[rows[hit]].ravel(), s[row, col]])
+        name = np.concatenate([who[rows[hit]].ravel(), ids[cols[col]]])
+        order = np.lexsort((name, -score, of))
+        of, score, name = of[order], score[order], name[order]
+        place = np.arange(len(of)) - np.searchsorted(of, of)
+        keep = place < k
+        best[rows[of[keep]], place[keep]], who[rows[of[keep]], place[keep]] = score[keep], name[keep]
+        worst[rows[hit]] = np.maximum(worst[rows[hit]], best[rows[hit], k - 1])
 
     def descend(a: tuple, b: tuple) -> None:
         if bound(a, b) < worst[a[3]].min():
@@ -168,15 +182,29 @@ def _search(rules: SearchRules):
 
 
 def _meet(asked: DataFrame, data: DataFrame, pairs: DataFrame, rules: SearchRules) -> DataFrame:
-    """Search the pairs (dim, qcell, qblock, cell, block) of blocks."""
-    cols = ["dim", "qcell", "qblock", "cell", "block"]
-    left = asked.select("dim", F.col("cell").alias("qcell"), "qblock", "vid", "v", "floor").join(pairs, ["dim", "qcell", "qblock"]).select(
+    """Search the pairs (dim, qgroup, qblock, cell, block) of blocks."""
+    cols = ["dim", "qgroup", "qblock", "cell", "block"]
+    left = asked.join(pairs, ["dim", "qgroup", "qblock"]).select(
         *cols, "vid", "v", "floor", F.lit(True).alias("asked"))
     right = data.select("dim", "cell", "block", "vid", "v").join(pairs, ["dim", "cell", "block"]).select(
         *cols, "vid", "v", F.lit(0.0).alias("floor"), F.lit(False).alias("asked"))
     return left.union(right).groupBy(*cols).applyInPandas(_search(rules), "query long, score long, found long")
 
 
+def _query_groups(stats: list, rules: SearchRules) -> list[tuple[int, int, int, int, int]]:
+    """(dim, cell, data blocks, query group, its query blocks): neighbouring
+    cells share a query group while their queries fit one block."""
+    out, per_group = [], {}
+    group, dim, held = -1, None, 0
+    for r in sorted(stats, key=lambda r: (r.dim, r.cell)):
+        if r.dim != dim or (held and held + r.nq > rules.query_block):
+            group, dim, held = group + 1, r.dim, 0
+        held += r.nq
+        per_group[group] = held
+        out.append((r.dim, r.cell, -(-r.n // rules.block), group))
+    return [(*x, -(-per_group[x[3]] // rules.query_block)) for x in out]
+
+
 def top_k(vectors: DataFrame, is_query, rules: SearchRules = SearchRules()) -> DataFrame:
     """query_id, rank, vec_id, score of the k best rows for each row of
     ``vectors`` (vec_id, v) that meets the condition ``is_query``."""
@@ -215,17 +243,18 @@ def top_k(vectors: DataFrame, is_query, rules: SearchRules = SearchRules()) -> D
             yield b.assign(cell=cell, far=far)
 
     placed = stage(distinct.mapInPandas(nearest, "vid long, v array<bigint>, dim int, ids array<bigint>, asks boolean, cell int, far double"), "topk-cells")
-    cell_stats = placed.groupBy("dim", "cell").agg(F.count("*").alias("n"), F.sum(F.col("asks").cast("int")).alias("nq"), F.max("far").alias("radius"))
-    cell_stats = stage(cell_stats.withColumn("blocks", F.ceil(F.col("n") / rules.block).cast("int")).withColumn(
-        "qblocks", F.greatest(F.lit(1), F.ceil(F.col("nq") / rules.query_block)).cast("int")), "topk-stats")
+    stats = placed.groupBy("dim", "cell").agg(
+        F.count("*").alias("n"), F.sum(F.col("asks").cast("int")).alias("nq"), F.max("far").alias("radius")).collect()  # one row a cell
+    plan = spark.createDataFrame(_query_groups(stats, rules), "dim int, cell int, blocks int, qgroup int, qblocks int")
     split = lambda n: F.pmod(F.xxhash64("vid"), F.col(n)).cast("int")
-    placed = placed.join(cell_stats.select("dim", "cell", "blocks", "qblocks"), ["dim", "cell"])
+    placed = placed.join(F.broadcast(plan), ["dim", "cell"])
     data = placed.select("dim", "cell", split("blocks").alias("block"), "vid", "v")
-    asked = placed.where("asks").select("dim", "cell", split("qblocks").alias("qblock"), "vid", "v", F.lit(float("-inf")).alias("floor"))
-    blocks = cell_stats.select("dim", "cell", F.explode(F.expr("sequence(0, blocks - 1)")).alias("block"))
-    qblocks = cell_stats.where("nq > 0").select("dim", F.col("cell").alias("qcell"), F.explode(F.expr("sequence(0, qblocks - 1)")).alias("qblock"))
+    asked = placed.where("asks").select("dim", "qgroup", split("qblocks").alias("qblock"), "vid", "v", F.lit(float("-inf")).alias("floor"))
+    blocks = plan.select("dim", "cell", "qgroup", F.explode(F.expr("sequence(0, blocks - 1)")).alias("block"))
+    qblocks = plan.where("qblocks > 0").select("dim", "qgroup", "qblocks").distinct().select(
+        "dim", "qgroup", F.explode(F.expr("sequence(0, qblocks - 1)")).alias("qblock"))
 
-    own = stage(qblocks.join(blocks.withColumn("qcell", F.col("cell")), ["dim", "qcell"]).select("dim", "qcell", "qblock", "cell", "block"), "topk-own")
+    own = stage(qblocks.join(blocks, ["dim", "qgroup"]).select("dim", "qgroup", "qblock", "cell", "block"), "topk-own")
     one = stage(_meet(asked, data, own, rules), "topk-first")
     best = Window.partitionBy("query").orderBy(F.desc("score"), "found")
     kth = one.withColumn("r", F.row_number().over(best)).where(F.col("r") == k).select(F.col("query").alias("vid"), F.col("score").alias("kth"))
@@ -233,23 +262,24 @@ def top_k(vectors: DataFrame, is_query, rules: SearchRules = SearchRules()) -> D
         "floor", F.coalesce(F.col("kth").cast("double"), F.lit(float("-inf")))).drop("kth"), "topk-asked")
 
     # whole cells against query blocks: at most ``cells`` centres a length
-    known = {(r.dim, r.cell): float(r.radius) for r in cell_stats.collect()}
+    groups = {(r.dim, r.cell): r.qgroup for r in plan.collect()}
+    known = [(r.dim, r.cell, groups[r.dim, r.cell], float(r.radius)) for r in stats]
 
     def surviving(rows: pd.DataFrame) -> pd.DataFrame:
-        x, n, mine = _matrix(rows["v"]).astype(np.float64), int(rows["dim"].iloc[0]), int(rows["cell"].iloc[0])
+        x, n, mine = _matrix(rows["v"]).astype(np.float64), int(rows["dim"].iloc[0]), int(rows["qgroup"].iloc[0])
         middle = x.mean(axis=0)
         spread, low = np.sqrt(((x - middle) ** 2).sum(axis=1).max(initial=0)), rows["floor"].min()
         c = centres.get(n, np.zeros((1, n)))
         out = []
-        for (dim, cell), radius in known.items():
-            if dim == n and cell != mine:
+        for dim, cell, group, radius in known:
+            if dim == n and group != mine:
                 top = c[cell] @ middle + spread * np.linalg.norm(c[cell]) + radius * np.linalg.norm(middle) + spread * radius
                 if top + 1e-9 * abs(top) + 1e-6 >= low:
                     out.append((n, mine, int(rows["qblock"].iloc[0]), cell))
-        return pd.DataFrame(out, columns=["dim", "qcell", "qblock", "cell"]).astype("int32")
+        return pd.DataFrame(out, columns=["dim", "qgroup", "qblock", "cell"]).astype("int32")
 
-    live = asked.groupBy("dim", "cell", "qblock").applyInPandas(surviving, "dim int, qcell int, qblock int, cell int")
-    others = stage(live.join(blocks, ["dim", "cell"]).select("dim", "qcell", "qblock", "cell", "block"), "topk-others")
+    live = asked.groupBy("dim", "qgroup", "qblock").applyInPandas(surviving, "dim int, qgroup int, qblock int, cell int")
+    others = stage(live.join(blocks.drop("qgroup"), ["dim", "cell"]).select("dim", "qgroup", "qblock", "cell", "block"), "topk-others")
     every = stage(one.union(_meet(asked, data, others, rules)), "topk-found")
     top = every.withColumn("r", F.row_number().over(best)).where(F.col("r") <= k)
     # vectors back to rows: at most k + 1 ids a vector
