@@ -48,14 +48,17 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def bounded_sample(rows: DataFrame, key: str, most: int, by: list[str]) -> DataFrame:
-    """At most ``most`` rows of each ``by`` group, those with the least hash of
-    ``key``. A first cut by the hash against the group's size leaves about
-    twice as many, however many tasks read the table; the rest is ranked."""
+def bounded_sample(rows: DataFrame, key: str, most: int, by: tuple[str, ...] = ()) -> DataFrame:
+    """At most ``most`` rows of each ``by`` group (of all, without one), those
+    with the least hash of ``key``. A first cut by the hash against the group's
+    size leaves about twice as many, however many tasks read the table; the
+    rest is ranked."""
+    chance = F.shiftrightunsigned(F.xxhash64(key), 11).cast("double") / float(1 << 53)
+    if not by:
+        return rows.where(chance * float(rows.count()) < 2.0 * most).orderBy(F.xxhash64(key), key).limit(most)
     sizes = stage(rows.groupBy(*by).agg(F.count("*").alias("_n")), "sample-sizes")
     sizes = sizes.select("_n", *[F.col(c).alias(f"_by_{c}") for c in by])
     near = rows.join(sizes, F.expr(" and ".join(f"{c} <=> _by_{c}" for c in by)))
-    chance = F.shiftrightunsigned(F.xxhash64(key), 11).cast("double") / float(1 << 53)
     rank = F.row_number().over(Window.partitionBy(*by).orderBy(F.xxhash64(key), key))
     kept = near.where(chance * F.col("_n") < 2.0 * most).withColumn("_r", rank).where(F.col("_r") <= most)
     return kept.select(*rows.columns)

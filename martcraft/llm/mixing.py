@@ -129,7 +129,7 @@ def train(docs: DataFrame, labels: DataFrame, rules: MixRules) -> Classifier:
     if not names:
         return Classifier(["all"], np.zeros((1 << rules.bits, 1)), np.zeros((2, 1)), rules.bits)
     number = F.array_position(F.array(*[F.lit(n) for n in names]), F.col("domain")) - 1
-    picked = stage(bounded_sample(named.select("_id", number.cast("int").alias("_k")), "_id", rules.max_labelled, ["_k"]).withColumn(
+    picked = stage(bounded_sample(named.select("_id", number.cast("int").alias("_k")), "_id", rules.max_labelled, ("_k",)).withColumn(
         "_half", F.pmod(F.xxhash64(F.col("_id").cast("string")), F.lit(2)).cast("int")), "mixing-chosen")
     sample = docs.join(F.broadcast(picked), F.col("doc_id") == F.col("_id")).select("_k", "_half", F.col("text").cast("binary").alias("text"))
     sample = stage(sample, "mixing-sample")

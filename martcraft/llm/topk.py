@@ -220,7 +220,7 @@ def top_k(vectors: DataFrame, is_query, rules: SearchRules = SearchRules()) -> D
     distinct = stage(distinct.join(asked_v, "v", "left").select(
         "vid", "v", F.size("v").alias("dim"), "ids", F.coalesce("_asked", F.lit(False)).alias("asks")), "topk-distinct")
 
-    sample = bounded_sample(distinct.select("vid", "v", F.lit(1).alias("one")), "vid", rules.sample, ["one"]).select("v").collect()
+    sample = bounded_sample(distinct.select("vid", "v"), "vid", rules.sample).select("v").collect()
     total = distinct.count()
     by_dim: dict[int, list] = {}
     for r in sample:

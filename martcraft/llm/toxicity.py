@@ -254,7 +254,7 @@ def _labelled(docs: DataFrame, labels: DataFrame, rules: ToxicityRules) -> DataF
     """text and toxic of the sample: bounded by rows of each label."""
     rows = labels.select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("toxic")).where(
         ~held_out("_id") & F.col("_id").isNotNull())
-    chosen = stage(bounded_sample(rows.where("toxic in (0, 1)"), "_id", rules.max_labelled, ["toxic"]), "toxicity-chosen")
+    chosen = stage(bounded_sample(rows.where("toxic in (0, 1)"), "_id", rules.max_labelled, ("toxic",)), "toxicity-chosen")
     return docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("text", "toxic")
 
 
