@@ -7,7 +7,7 @@ token has its share of the corpus. A document's score is the sum over all its
 tokens of log P(class | both sides) + log P(token | class).
 
 The corpus statistics cover all documents: hashes of all words are counted by
-Spark; the ``vocabulary`` most frequent are tokens of their own, each rarer
+Spark; at most ``vocabulary`` most frequent are tokens of their own, each rarer
 word belongs to one of ``rare`` buckets, inside which the distinct words are
 alike. The network trains on all partitions: each runs Adam over every
 ``stride``-th window of all its documents from the same start, the parameters
@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, DoubleType, LongType, StructField, StructType
 
-from martcraft.llm.common import ship, stage
+from martcraft.llm.common import leading_bits, ship, stage
 from martcraft.llm.hashing import hashed_words, pieces
 
 WINDOW = 2
@@ -96,8 +96,18 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 
 def vocabulary(counts: DataFrame, rules: LmRules) -> Vocabulary:
-    """At most ``vocabulary`` rows and two numbers a rare bucket come to the driver."""
-    top = counts.orderBy(F.desc("n"), "h").limit(rules.vocabulary).collect()
+    """The words above the least count that leaves at most ``vocabulary`` of
+    them (to the width of a histogram's bin). These rows, the histogram and two
+    numbers a rare bucket come to the driver, whatever the corpus."""
+    bins = counts.groupBy(F.expr(leading_bits("n", 7)).alias("low")).agg(F.count("*").alias("words")).collect()
+    least, held = None, 0
+    for r in sorted(bins, key=lambda r: -r.low):
+        held += r.words
+        if held > rules.vocabulary:
+            break
+        least = r.low
+    top = [] if least is None else counts.where(F.col("n") >= least).collect()
+    top.sort(key=lambda r: (-r.n, r.h))
     h = np.array([r.h for r in top], np.int64).view(np.uint64)
     n = np.array([r.n for r in top], float)
     low = F.col("h").bitwiseAND(F.lit(rules.rare - 1))  # rare: a power of two
