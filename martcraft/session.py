@@ -97,17 +97,19 @@ def _session_folder(spark: SparkSession) -> str:
 
 
 @contextmanager
-def stage_run(spark: SparkSession, folder: str | None = None) -> Iterator[str]:
+def stage_run(spark: SparkSession, folder: str | None = None, keep: bool = False) -> Iterator[str]:
     """Stage tables written inside go to one run folder (``folder``, or a new
     one in the shared folder), which is removed at the end. Frames built
-    inside read those tables: write them before leaving."""
+    inside read those tables: write them before leaving, or ``keep`` the
+    folder and remove it (``remove_folder``) once they are written."""
     path = folder or shared_dir(spark, "stage", f"run-{uuid.uuid4().hex}")
     token = _RUN.set(path)
     try:
         yield path
     finally:
         _RUN.reset(token)
-        remove_folder(spark, path)
+        if not keep:
+            remove_folder(spark, path)
 
 
 def stage_path(spark: SparkSession, name: str) -> str:
