@@ -151,17 +151,17 @@ def links(fps: DataFrame, max_distance: int = 4, segments: int = 3, hot_bucket:
 
 
 def near_duplicates(docs: DataFrame, words: int = 4, max_distance: int = 4, segments: int = 3,
-                    hot_bucket: int = 64, keep_row: bool = False) -> DataFrame:
-    """Every row with its fp and component_id, the least doc_id reachable."""
+                    hot_bucket: int = 64) -> DataFrame:
+    """doc_id, fp and component_id (the least doc_id reachable) of every row."""
     ship(docs.sparkSession)
-    fps = stage(fingerprints(docs, words, keep_row), "simhash-fps")
+    fps = stage(fingerprints(docs, words), "simhash-fps")
     reps = stage(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash-distinct")
     nodes = components(links(reps.select("fp"), max_distance, segments, hot_bucket))
     rooted = reps.join(nodes, F.col("fp") == F.col("node"), "left").select(
         "fp", "rep", F.coalesce("root", "fp").alias("root"))
     least = stage(rooted.groupBy("root").agg(F.min("rep").alias("component_id")), "simhash-least")
     ids = stage(rooted.join(least, "root").select("fp", "component_id"), "simhash-components")
-    return fps.join(ids, "fp")
+    return fps.join(ids, "fp").select("doc_id", "fp", "component_id")
 
 
 def hex_digits(fp: str = "fp") -> Column:
@@ -171,12 +171,19 @@ def hex_digits(fp: str = "fp") -> Column:
 def deduplicate(docs: DataFrame, words: int = 4, max_distance: int = 4) -> DataFrame:
     """One row of each component: the one with the least doc_id; of repeated
     rows with that id one stays. Rows whose doc_id is null all stay. Columns
-    as in ``docs``."""
-    found = near_duplicates(docs, words, max_distance, keep_row=True)
-    kept = found.where("doc_id is null or doc_id = component_id")
-    # doc_ids are unique as a rule; only those that are not meet in a shuffle
-    kept = stage(kept.select(ROW, "doc_id"), "simhash-kept")
-    again = stage(kept.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "simhash-again")
-    once = kept.join(again, "doc_id", "left_anti").select(ROW)
-    one = kept.join(again, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(ROW).alias(ROW)).select(ROW)
-    return once.union(one).select(f"{ROW}.*")
+    as in ``docs``.
+
+    Texts move in one join at most, against the ids to drop; no stage table
+    holds them. Ids that several rows share are decided row by row."""
+    found = stage(near_duplicates(docs, words, max_distance).where("doc_id is not null"), "simhash-found")
+    shared = stage(found.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_id")), "simhash-shared")
+    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_id")).union(shared).distinct()
+    once = docs.join(stage(gone, "simhash-gone"), F.col("doc_id") == F.col("_id"), "left_anti")
+    if shared.isEmpty():
+        return once
+    rows = fingerprints(docs.join(shared, F.col("doc_id") == F.col("_id"), "left_semi"), words, keep_row=True)
+    decided = found.join(shared, F.col("doc_id") == F.col("_id"), "left_semi").select(
+        F.col("doc_id").alias("_id"), F.col("fp").alias("_fp"), "component_id").distinct()
+    one = (rows.join(decided, (F.col("doc_id") == F.col("_id")) & (F.col("fp") == F.col("_fp")) & (F.col("doc_id") == F.col("component_id")))
+           .groupBy("doc_id").agg(F.min(ROW).alias(ROW)))
+    return once.union(one.select(f"{ROW}.*"))

@@ -96,6 +96,15 @@ def test_deduplicate(spark):
     assert S.deduplicate(df.where("false")).count() == 0
 
 
+def test_shared_ids_are_decided_row_by_row(spark):
+    """Rows with one id: equal rows leave one, others go with their own group."""
+    long = " ".join(f"w{i}" for i in range(60))
+    data = [(1, long, "a", 1), (1, long, "a", 1), (2, long, "b", 2), (2, "quite another text " * 9, "c", 3), (5, "quite another text " * 9, "d", 4),
+            (7, "alone with words of its own here", "e", 5)]
+    got = sorted(tuple(r) for r in S.deduplicate(spark.createDataFrame(data, SCHEMA)).collect())
+    assert got == sorted({data[0], data[3], data[5]})
+
+
 def test_components_on_random_graphs(spark):
     rng = random.Random(5)
     edges = [(rng.randrange(120), rng.randrange(120)) for _ in range(70)] + [(i, i + 1) for i in range(200, 240)] + [(300, i) for i in range(301, 330)]
