@@ -21,9 +21,13 @@ The classifier learns from at most ``max_labelled`` documents of each domain
 (least hash of doc_id), a documented bound. Posteriors, totals and rates cover
 all documents.
 
+Domains and their shares are those of the labels whose documents are in
+``docs``: a domain that an earlier step has removed is none here.
+
 Defined cases: null and empty texts have no tokens and the rate of their
 posterior; with no labelled document there is one domain, ``all``; domains
-without a target keep their own share, scaled to what the targets leave;
+without a target keep their own share, scaled to what the targets leave; a
+target whose domain has no document in ``docs`` is left to the others;
 targets that no nonnegative rates meet are approached for ``max_steps``;
 repeated rows are rated each; null ids are rated (drawn as the empty text); an
 empty table gives an empty result; other columns are carried.
@@ -124,6 +128,8 @@ def _domain() -> Column:
 def train(docs: DataFrame, labels: DataFrame, rules: MixRules) -> Classifier:
     ship(docs.sparkSession)
     named = labels.select(F.col("doc_id").alias("_id"), _domain().alias("domain")).where("_id is not null and domain is not null")
+    here = docs.select(F.col("doc_id").alias("_here")).where("_here is not null").distinct()
+    named = stage(named.join(here, F.expr("_id = _here"), "left_semi"), "mixing-labels")
     share = {r.domain: r["count"] for r in named.groupBy("domain").count().collect()}  # as many as the labels have kinds
     names = sorted(share)
     if not names:
@@ -157,7 +163,8 @@ def train(docs: DataFrame, labels: DataFrame, rules: MixRules) -> Classifier:
         rest = (other + 0.5) / (docs_out + 1)
         pool = (counts.sum(axis=0) + 0.5) / (docs_in.sum() + 1)
         apart = np.abs(p - rest) / np.sqrt(pool * (1 - np.minimum(pool, 0.999)) * (1 / (docs_in + 1) + 1 / (docs_out + 1)))
-        table = np.where(apart >= rules.min_sign, np.log(p / rest), 0.0)
+        shown = np.where(p > rest, counts, other) > 0  # a sign speaks only for a side that has it
+        table = np.where((apart >= rules.min_sign) & shown, np.log(p / rest), 0.0)
         return Classifier(names, table.T.copy(), weights, bits)
 
     part = np.array([share[n] for n in names], float) / sum(share.values())

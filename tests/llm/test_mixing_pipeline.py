@@ -1,0 +1,63 @@
+"""The pipeline's mixing stage on its own input: totals and copies."""
+
+from collections import Counter
+
+import numpy as np
+from pyspark.sql import functions as F
+
+import corpus_pipeline as C
+from martcraft.llm import mixing as M
+from martcraft.llm import quality
+from martcraft.llm.common import read, stage
+
+SF = "/root/testdata/sf0.1"
+
+
+def test_stage_meets_targets(spark):
+    docs = stage(quality.filter_quality(read(spark, SF, "documents")), "test-mixing-docs")
+    labels = read(spark, SF, "labels")
+    kept = {r.doc_id for r in docs.select("doc_id").collect()}
+    present = sorted({f"quality={r.quality},toxic={r.toxic}" for r in labels.collect()
+                      if r.doc_id in kept and r.quality is not None and r.toxic is not None})
+    every = {f"quality={r.quality},toxic={r.toxic}" for r in labels.collect()}
+    assert set(present) < every  # the quality stage has removed whole domains
+    rules = M.MixRules()
+    rows = M.mix(docs, labels).withColumn("chance", F.expr(
+        "pmod(xxhash64(coalesce(cast(doc_id as string), ''), 'mix'), 1 << 30) / (1 << 30)")).collect()
+    assert {tuple(r.domains) for r in rows} == {tuple(present)}
+    p, tokens = np.array([r.p for r in rows]), np.array([r.tokens for r in rows], float)
+    own = tokens @ p
+    named = dict(rules.targets)
+    share = np.array([named.get(d, 0.0) for d in present])
+    free = np.array([0.0 if d in named else x for d, x in zip(present, own)])
+    want = tokens.sum() * (share + (1 - share.sum()) * free / free.sum())
+    # the steps in plain numpy, totals taken from the rates themselves
+    total = lambda x: (tokens * x) @ p
+    r = before = np.ones(len(p))
+    since, off = 0, np.inf
+    for _ in range(rules.max_steps):
+        worse, off = np.abs(total(r) - want).sum() > off, np.abs(total(r) - want).sum()
+        if off <= rules.tolerance * tokens.sum():
+            break
+        since = 0 if worse else since
+        v = r + since / (since + 3) * (r - before)
+        before, r = r, np.maximum(0, v - p @ ((total(v) - want) / own))
+        since += 1
+    assert np.abs(total(np.array([x.rate for x in rows])) - want).sum() <= rules.tolerance * tokens.sum()
+    assert np.abs(np.array([x.rate for x in rows]) - r).max() < 1e-6
+    copies = Counter({x.doc_id: int(np.floor(k + x.chance)) for x, k in zip(rows, r)})
+    out = Counter(x.doc_id for x in C.mixing_stage(spark, docs, SF).collect())
+    assert out == +copies
+    assert abs(sum(x.tokens * copies[x.doc_id] for x in rows) / tokens.sum() - 1) < 0.05
+
+
+def test_domain_of_few_documents_gets_no_noise(spark):
+    """Signs that a domain of one sampled document has not shown are no
+    evidence for it."""
+    docs = [(i, " ".join(f"w{(i * 7 + j * j) % 997}" for j in range(80))) for i in range(300)] + [(300, "odd words stand here")]
+    labels = [(i, 1, 0) for i in range(300)] + [(300, 0, 1), (301, 0, 0)]
+    model = M.train(spark.createDataFrame(docs, "doc_id long, text string"),
+                    spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), M.MixRules(bits=12))
+    assert model.domains == ["quality=0,toxic=1", "quality=1,toxic=0"]
+    fresh = [" ".join(f"new{i}x{j}" for j in range(60)).encode() for i in range(20)]
+    assert (model.posterior(model.logits(fresh)[1])[:, 0] < 0.05).all()
