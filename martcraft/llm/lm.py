@@ -1,10 +1,16 @@
 """Masked pseudo-likelihood scores of documents.
 
 A small window network, trained in numpy, predicts every token from the two
-tokens on each side of it: their embeddings (one table a position) are summed,
-squashed and mapped to a distribution over token classes; inside its class a
-token has its share of the corpus. A document's score is the sum over all its
-tokens of log P(class | both sides) + log P(token | class).
+tokens on each side of it: their embeddings (one table a position, a row for
+every token) are summed, squashed and mapped to an exact distribution over all
+tokens in two levels, both learned and both seeing the two sides: a softmax
+over the classes, then the turns of a binary tree whose leaves are the tokens
+of the class. The biases start at the corpus' shares. A document's score is the sum over all its tokens of
+log P(class | both sides) + log P(token | class, both sides).
+
+With ``own_class`` > 0 the model is a coarse one: only so many tokens are
+classes, the others fall into the rest by hash and have their corpus share
+inside it, whatever stands around them.
 
 The corpus statistics cover all documents: hashes of all words are counted by
 Spark; at most ``vocabulary`` most frequent are tokens of their own, each rarer
@@ -38,16 +44,17 @@ from martcraft.llm.hashing import hashed_words, pieces
 
 WINDOW = 2
 SIDES = (-2, -1, 1, 2)
-FAN = 32
+FAN = 8
+MODEL_WINDOWS = 16_000_000
 
 
 @dataclass(frozen=True)
 class LmRules:
     vocabulary: int = 32_768
     rare: int = 1024
-    own_class: int = 32      # the most frequent tokens are classes of their own
+    own_class: int = 0       # coarse model: the most frequent tokens are classes of their own
     classes: int = 64
-    own_input: int = 512     # the most frequent tokens have embeddings of their own
+    own_input: int = 32_768  # the most frequent tokens have embeddings of their own
     width: int = 16
     stride: int = 8
     rounds: int = 2
@@ -67,6 +74,8 @@ class Vocabulary:
     inputs: np.ndarray
     share: np.ndarray
     rare: int
+    member: np.ndarray      # number of each token inside its class
+    mass: np.ndarray | None # occurrences of each token; None: coarse model
 
     @property
     def boundary(self) -> int:
@@ -118,6 +127,8 @@ def vocabulary(counts: DataFrame, rules: LmRules) -> Vocabulary:
     own = (h % np.uint64(rules.rare)).astype(np.int64)
     types -= np.bincount(own, minlength=rules.rare)
     mass -= np.bincount(own, n, minlength=rules.rare)
+    if not rules.own_class:
+        return _every_token(h, n, types, mass, rules)
     shared = rules.classes - rules.own_class
     ranks = np.arange(len(h))
     mixed = ((h >> np.uint64(17)) % np.uint64(shared)).astype(np.int64)
@@ -129,16 +140,61 @@ def vocabulary(counts: DataFrame, rules: LmRules) -> Vocabulary:
     total = np.bincount(klass, each, minlength=rules.classes)
     share = np.log(each / total[klass]) - np.log(np.concatenate([np.ones(len(h)), np.maximum(types, 1)]))
     order = np.argsort(h)
-    return Vocabulary(h[order], ranks[order], klass.astype(np.int32), inputs.astype(np.int32), share, rules.rare)
+    return Vocabulary(h[order], ranks[order], klass.astype(np.int32), inputs.astype(np.int32), share, rules.rare,
+                      np.zeros(len(klass), np.int32), None)
+
+
+def _every_token(h: np.ndarray, n: np.ndarray, types: np.ndarray, mass: np.ndarray, rules: LmRules) -> Vocabulary:
+    """Every token is predicted itself; the most frequent ones lie in
+    different classes."""
+    each = np.concatenate([n, np.maximum(mass, 0.5)])
+    place = np.empty(len(each), np.int64)
+    place[np.argsort(-each, kind="stable")] = np.arange(len(each))
+    share = -np.log(np.concatenate([np.ones(len(h)), np.maximum(types, 1)]))
+    inputs = np.arange(len(each))
+    if rules.own_input < len(h):
+        inputs = np.where(inputs < rules.own_input, inputs, rules.own_input + inputs % rules.classes)
+    order = np.argsort(h)
+    return Vocabulary(h[order], order, (place % rules.classes).astype(np.int32), inputs.astype(np.int32), share, rules.rare,
+                      (place // rules.classes).astype(np.int32), each)
+
+
+def _turns(klass: np.ndarray, member: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes on the way to each token in its class' tree, and whether the way
+    turns right there."""
+    level = np.arange(depth)
+    node = (1 << level) - 1 + (member[:, None] >> (depth - level))
+    return klass[:, None].astype(np.int64) * ((1 << depth) - 1) + node, (member[:, None] >> (depth - 1 - level)) & 1
+
+
+def _by_row(index: np.ndarray, columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The rows that occur, and their sums of the columns."""
+    rows = np.flatnonzero(np.bincount(index))
+    number = np.empty(rows[-1] + 1, np.int64)
+    number[rows] = np.arange(len(rows))
+    at = number[index]
+    return rows, np.stack([np.bincount(at, c) for c in columns], axis=1).astype(np.float32)
 
 
 class Network:
-    """Parameters: embeddings by side, their bias, output weights and bias."""
+    """Parameters: embeddings by side, their bias, class weights and bias, and
+    (but in the coarse model) weights and bias of the nodes of each class' tree."""
 
-    def __init__(self, inputs: int, rules: LmRules) -> None:
+    def __init__(self, words: Vocabulary, rules: LmRules) -> None:
         rng = np.random.default_rng(rules.seed)
+        inputs, mass = words.boundary + 1, words.mass
         self.shapes = [(len(SIDES), inputs, rules.width), (rules.width,), (rules.width, rules.classes), (rules.classes,)]
-        self.parts = [(rng.normal(size=s) * (0.1 if len(s) > 1 else 0)).astype(np.float32) for s in self.shapes]
+        if mass is not None:
+            self.depth = int(words.member.max()).bit_length()
+            nodes = rules.classes * ((1 << self.depth) - 1)
+            self.shapes += [(nodes, rules.width), (nodes, 1)]
+        self.parts = [(rng.normal(size=s) * (0.1 if s[-1] > 1 and len(s) > 1 else 0)).astype(np.float32) for s in self.shapes]
+        if mass is not None:
+            total = np.bincount(words.klass, mass, minlength=rules.classes)
+            self.parts[3] = np.log(np.maximum(total, 1e-9) / total.sum()).astype(np.float32)
+            node, right = _turns(words.klass, words.member, self.depth)
+            sides = [np.bincount(node.ravel(), (mass[:, None] * (right == k)).ravel(), minlength=nodes) for k in (0, 1)]
+            self.parts[5][:, 0] = np.clip(np.log(np.maximum(sides[1], 1e-20)) - np.log(np.maximum(sides[0], 1e-20)), -30, 30)
 
     def flat(self) -> np.ndarray:
         return np.concatenate([p.ravel() for p in self.parts])
@@ -152,7 +208,7 @@ class Network:
         return self
 
     def hidden(self, sides: np.ndarray) -> np.ndarray:
-        e, b, _, _ = self.parts
+        e, b = self.parts[:2]
         z = e[0, sides[0]] + b
         for k in range(1, len(SIDES)):
             z += e[k, sides[k]]
@@ -163,33 +219,59 @@ class Network:
         z -= z.max(axis=1, keepdims=True)
         return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
 
-    def gradient(self, sides: np.ndarray, klass: np.ndarray) -> list[np.ndarray]:
-        e, _, w, _ = self.parts
+    def token_log_probs(self, sides: np.ndarray, klass: np.ndarray, member: np.ndarray) -> np.ndarray:
+        h = self.hidden(sides)
+        out = self.log_probs(h)[np.arange(len(klass)), klass]
+        if len(self.parts) > 4:
+            node, right = _turns(klass, member, self.depth)
+            u = (self.parts[4][node] @ h[:, :, None])[:, :, 0] + self.parts[5][node, 0]
+            out -= np.logaddexp(0, np.where(right, -u, u)).sum(axis=1)
+        return out
+
+    def gradient(self, sides: np.ndarray, klass: np.ndarray, member: np.ndarray) -> tuple[list, list[np.ndarray]]:
+        """Of each part the rows that the windows hold (None: all; the
+        embeddings of all sides are one list), and their gradients."""
+        e, _, w = self.parts[:3]
         h = self.hidden(sides)
+        n = len(klass)
         p = np.exp(self.log_probs(h))
-        p[np.arange(len(klass)), klass] -= 1
-        p /= len(klass)
-        dz = (p @ w.T) * (1 - h * h)
-        de = np.zeros_like(e)
-        for k in range(len(SIDES)):
-            for j in range(e.shape[2]):
-                de[k, :, j] = np.bincount(sides[k], dz[:, j], minlength=e.shape[1])
-        return [de, dz.sum(axis=0), h.T @ p, p.sum(axis=0)]
+        p[np.arange(n), klass] -= 1
+        p /= n
+        dh = p @ w.T
+        at, more = [], []
+        if len(self.parts) > 4:
+            node, right = _turns(klass, member, self.depth)
+            own = self.parts[4][node]
+            u = (own @ h[:, :, None])[:, :, 0] + self.parts[5][node, 0]
+            g = (1 / (1 + np.exp(np.clip(-u, -60, 60))) - right) / n
+            dh += (g[:, None, :].astype(np.float32) @ own)[:, 0]
+            rows, d = _by_row(node.ravel(), [*[(g * h[:, j:j + 1]).ravel() for j in range(h.shape[1])], g.ravel()])
+            at, more = [rows, rows], [d[:, :-1], d[:, -1:]]
+        dz = dh * (1 - h * h)
+        rows, de = _by_row((sides + np.arange(len(SIDES))[:, None] * e.shape[1]).ravel(), [np.tile(c, len(SIDES)) for c in dz.T])
+        return [rows, None, None, None, *at], [de, dz.sum(axis=0), h.T @ p, p.sum(axis=0), *more]
 
 
 class Adam:
+    """Steps on the rows given."""
+
     def __init__(self, net: Network, rate: float) -> None:
         self.net, self.rate, self.t = net, rate, 0
         self.m = [np.zeros_like(p) for p in net.parts]
         self.v = [np.zeros_like(p) for p in net.parts]
 
-    def step(self, grads: list[np.ndarray]) -> None:
+    def step(self, rows: list, grads: list[np.ndarray]) -> None:
         self.t += 1
-        for i, g in enumerate(grads):
-            self.m[i] = 0.9 * self.m[i] + 0.1 * g
-            self.v[i] = 0.99 * self.v[i] + 0.01 * g * g
-            scale = self.rate * np.sqrt(1 - 0.99 ** self.t) / (1 - 0.9 ** self.t)
-            self.net.parts[i] = (self.net.parts[i] - scale * self.m[i] / (np.sqrt(self.v[i]) + 1e-8)).astype(np.float32)
+        scale = np.float32(self.rate * np.sqrt(1 - 0.99 ** self.t) / (1 - 0.9 ** self.t))
+        for i, (at, g) in enumerate(zip(rows, grads)):
+            m, v, p = self.m[i], self.v[i], self.net.parts[i]
+            if at is None:
+                at = slice(None)
+            else:
+                m, v, p = (x.reshape(-1, x.shape[-1]) for x in (m, v, p))
+            m[at] = new = np.float32(0.9) * m[at] + np.float32(0.1) * g
+            v[at] = square = np.float32(0.99) * v[at] + np.float32(0.01) * g * g
+            p[at] -= scale * new / (np.sqrt(square) + np.float32(1e-8))
 
 
 def encode(docs: DataFrame, words: Vocabulary) -> DataFrame:
@@ -236,24 +318,29 @@ def _grouped(rows: list[bytes], most: int = 400_000) -> Iterator[list[bytes]]:
 
 
 def train(encoded: DataFrame, words: Vocabulary, rules: LmRules) -> Network:
-    net = Network(words.boundary + 1, rules)
+    net = Network(words, rules)
     sc = encoded.sparkSession.sparkContext
     out = StructType([StructField("part", LongType()), StructField("seen", LongType()), StructField("flat", BinaryType())])
+    # a model for each core or for each so many windows, whatever the table's files
+    parts = encoded if words.mass is None else encoded.coalesce(max(sc.defaultParallelism, int(words.mass.sum()) // MODEL_WINDOWS))
     for turn in range(rules.rounds):
         start = sc.broadcast((words, net.flat()))
 
         def run(batches: Iterator[pa.RecordBatch], turn: int = turn, start=start) -> Iterator[pa.RecordBatch]:
             own, flat = start.value
-            local = Network(own.boundary + 1, rules).load(flat)
+            local = Network(own, rules).load(flat)
             adam, seen = Adam(local, rules.rate / (1 + turn)), 0
             for b in batches:
                 for group in _grouped(b.column("ids").to_pylist()):
                     token, sides, _ = windows(group, own)
                     pick = np.arange((seen + 3 * turn) % rules.stride, len(token), rules.stride)
                     pick = pick[np.random.default_rng(rules.seed + turn).permutation(len(pick))]
-                    for i in range(0, len(pick), rules.batch):
-                        at = pick[i:i + rules.batch]
-                        adam.step(local.gradient(sides[:, at], own.klass[token[at]]))
+                    i = 0
+                    while i < len(pick):
+                        # small steps at first, so that small tables get enough of them
+                        at = pick[i:i + min(rules.batch, max(256, seen // 16))]
+                        i += len(at)
+                        adam.step(*local.gradient(sides[:, at], own.klass[token[at]], own.member[token[at]]))
                         seen += len(at)
             if seen:
                 yield pa.RecordBatch.from_arrays(
@@ -265,7 +352,7 @@ def train(encoded: DataFrame, words: Vocabulary, rules: LmRules) -> Network:
             flat = sum(np.frombuffer(f, "<f4") * (s / seen.sum()) for f, s in zip(rows["flat"], seen))
             return pd.DataFrame({"part": [int(rows["part"].iloc[0]) // FAN], "seen": [int(seen.sum())], "flat": [flat.astype("<f4").tobytes()]})
 
-        models = stage(encoded.select("ids").mapInArrow(run, out), "lm-models")
+        models = stage(parts.select("ids").mapInArrow(run, out), "lm-models")
         left = models.agg(F.max("part")).first()[0]
         while left:  # one more level of the tree
             models = stage(models.groupBy(F.floor(F.col("part") / FAN).alias("g")).applyInPandas(average, out), "lm-average")
@@ -279,10 +366,9 @@ def token_scores(net: Network, words: Vocabulary, batch: list[bytes]) -> tuple[n
     """Conditional log-probability of every token, and the lengths."""
     token, sides, lengths = windows(batch, words)
     out = np.empty(len(token))
-    for i in range(0, len(token), 65_536):
-        at = slice(i, i + 65_536)
-        z = net.log_probs(net.hidden(sides[:, at]))
-        out[at] = z[np.arange(len(z)), words.klass[token[at]]] + words.share[token[at]]
+    for i in range(0, len(token), 8192):
+        at = slice(i, i + 8192)
+        out[at] = net.token_log_probs(sides[:, at], words.klass[token[at]], words.member[token[at]]) + words.share[token[at]]
     return out, lengths
 
 
