@@ -15,9 +15,10 @@ inside it, whatever stands around them.
 The corpus statistics cover all documents: hashes of all words are counted by
 Spark; at most ``vocabulary`` most frequent are tokens of their own, each rarer
 word belongs to one of ``rare`` buckets, inside which the distinct words are
-alike. The network trains on all partitions: each runs Adam over every
-``stride``-th window of all its documents from the same start, the parameters
-are averaged by windows seen in a tree of Spark groups of ``FAN`` models, and
+alike. The network trains on all windows of all partitions: in a round each
+partition runs Adam over every ``stride``-th window of its documents from the
+same start, the next round takes the next ones, and there are at least
+``stride`` rounds, so none is left out. A round's parameters are averaged by windows seen in a tree of Spark groups of ``FAN`` models, and
 the next round starts from the average.
 
 Defined cases: null, empty and blank texts have no tokens, log-likelihood 0
@@ -56,7 +57,7 @@ class LmRules:
     classes: int = 64
     own_input: int = 32_768  # the most frequent tokens have embeddings of their own
     width: int = 16
-    stride: int = 8
+    stride: int = 2
     rounds: int = 2
     batch: int = 8192
     rate: float = 0.01
@@ -243,8 +244,8 @@ class Network:
             node, right = _turns(klass, member, self.depth)
             own = self.parts[4][node]
             u = (own @ h[:, :, None])[:, :, 0] + self.parts[5][node, 0]
-            g = (1 / (1 + np.exp(np.clip(-u, -60, 60))) - right) / n
-            dh += (g[:, None, :].astype(np.float32) @ own)[:, 0]
+            g = (1 / (1 + np.exp(np.clip(-u, -60, 60))) - right.astype(u.dtype)) / n
+            dh += (g[:, None, :] @ own)[:, 0]
             rows, d = _by_row(node.ravel(), [*[(g * h[:, j:j + 1]).ravel() for j in range(h.shape[1])], g.ravel()])
             at, more = [rows, rows], [d[:, :-1], d[:, -1:]]
         dz = dh * (1 - h * h)
@@ -305,6 +306,13 @@ def windows(batch: list[bytes], words: Vocabulary) -> tuple[np.ndarray, np.ndarr
     return token, np.stack([line[place + s] for s in SIDES]) if len(token) else np.empty((len(SIDES), 0), np.int32), lengths
 
 
+def turn_windows(lengths: np.ndarray, turn: int, stride: int) -> np.ndarray:
+    """The windows of a round: by their place in the document, so that
+    ``stride`` rounds take each once however the rows are dealt."""
+    place = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    return np.flatnonzero(place % stride == turn % stride)
+
+
 def _grouped(rows: list[bytes], most: int = 400_000) -> Iterator[list[bytes]]:
     part, held = [], 0
     for r in rows:
@@ -323,7 +331,7 @@ def train(encoded: DataFrame, words: Vocabulary, rules: LmRules) -> Network:
     out = StructType([StructField("part", LongType()), StructField("seen", LongType()), StructField("flat", BinaryType())])
     # a model for each core or for each so many windows, whatever the table's files
     parts = encoded if words.mass is None else encoded.coalesce(max(sc.defaultParallelism, int(words.mass.sum()) // MODEL_WINDOWS))
-    for turn in range(rules.rounds):
+    for turn in range(max(rules.rounds, rules.stride)):
         start = sc.broadcast((words, net.flat()))
 
         def run(batches: Iterator[pa.RecordBatch], turn: int = turn, start=start) -> Iterator[pa.RecordBatch]:
@@ -332,8 +340,8 @@ def train(encoded: DataFrame, words: Vocabulary, rules: LmRules) -> Network:
             adam, seen = Adam(local, rules.rate / (1 + turn)), 0
             for b in batches:
                 for group in _grouped(b.column("ids").to_pylist()):
-                    token, sides, _ = windows(group, own)
-                    pick = np.arange((seen + 3 * turn) % rules.stride, len(token), rules.stride)
+                    token, sides, lengths = windows(group, own)
+                    pick = turn_windows(lengths, turn, rules.stride)
                     pick = pick[np.random.default_rng(rules.seed + turn).permutation(len(pick))]
                     i = 0
                     while i < len(pick):

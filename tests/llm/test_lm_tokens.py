@@ -21,6 +21,23 @@ def ids(words, texts):
     return [words.tokens(hashing.hashed_words([t.encode()], [0])[1]).astype("<u4").tobytes() for t in texts]
 
 
+def test_shuffled_documents_score_lower(spark):
+    df = spark.createDataFrame(list(enumerate(corpus(1, 3000))), "doc_id long, text string").repartition(2)
+    words = L.vocabulary(L.word_counts(df), RULES)
+    # every vocabulary word has an input row and a class place of its own
+    assert len(set(words.inputs.tolist())) == len(words.inputs)
+    assert len(set(zip(words.klass.tolist(), words.member.tolist()))) == len(words.klass)
+    net = L.train(L.encode(df, words), words, RULES)
+    fresh, rng = corpus(99, 40), random.Random(0)
+    shuffled = [" ".join(rng.sample(t.split(), len(t.split()))) for t in fresh]
+    good, n = L.token_scores(net, words, ids(words, fresh))
+    bad, _ = L.token_scores(net, words, ids(words, shuffled))
+    ends = np.cumsum(n)[:-1]
+    each = [a.mean() - b.mean() for a, b in zip(np.split(good, ends), np.split(bad, ends))]
+    assert np.mean(each) > 1 and min(each) > 0
+    assert good.mean() > -np.log(600) + 1
+
+
 def test_probabilities_sum_to_one(spark):
     df = spark.createDataFrame([(0, "a b c a b d e"), (1, "b c a")], "doc_id long, text string")
     words = L.vocabulary(L.word_counts(df), RULES)
@@ -56,3 +73,23 @@ def test_gradient():
             down = loss()
             full[k] = was
             assert abs((up - down) / 2e-2 - g[at]) < 2e-4 + 2e-2 * abs(g[at]), (i, at)
+
+
+def test_rounds_cover_every_window(spark, monkeypatch):
+    lengths = np.array([0, 7, 1, 12, 0, 3])
+    for stride in (1, 2, 5):
+        taken = np.concatenate([L.turn_windows(lengths, turn, stride) for turn in range(stride)])
+        assert sorted(taken) == list(range(23))
+    # a partition's model reports the windows it has learned from
+    rounds, whole = [], L.stage
+
+    def seen(df, name):
+        out = whole(df, name)
+        if name == "lm-models":
+            rounds.append(sum(r.seen for r in out.collect()))
+        return out
+
+    monkeypatch.setattr(L, "stage", seen)
+    texts = corpus(2, 30)
+    L.score(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3), RULES)
+    assert sum(rounds) == sum(len(t.split()) for t in texts)
