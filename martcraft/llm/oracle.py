@@ -3,6 +3,10 @@ their queries."""
 
 from __future__ import annotations
 
+import re
+
+from martcraft.llm.chat import Template
+from martcraft.llm.negatives import MiningRules
 from martcraft.llm.quality import RATIOS, SKETCH_BITS, QualityRules
 from martcraft.llm.topk import SearchRules
 
@@ -81,3 +85,50 @@ WITH v AS (
     SELECT *, ROW_NUMBER() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
 )
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= {rules.k}"""
+
+
+def chat_sql(template: Template = Template()) -> str:
+    """The digests from the rows themselves; the formatted length from the
+    marks and one character an escape."""
+    by_role = lambda value, other: f"CASE role {' '.join(f'WHEN {r.name!r} THEN {value(r)}' for r in template.roles)} ELSE {other} END"
+    mark = "|".join(re.escape(m[0]) + r"\\*" + re.escape(m[1:]) for m in template.marks())
+    grown = lambda c: f"length({c}) + len(regexp_extract_all({c}, '{mark}'))"
+    marks = by_role(lambda r: len(r.open + r.close), f"{sum(map(len, template.other))} + {grown('role')}")
+    learned = f"({by_role(lambda r: 'TRUE' if r.loss else 'FALSE', 'FALSE')})"
+    legal = by_role(lambda r: f"before IN ({', '.join(map(repr, r.after))})", "FALSE")
+    return f"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')
+), seen AS (
+    SELECT *, coalesce(lag(role) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text), '') AS before FROM turns
+)
+SELECT conv_id, COUNT(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(coalesce(SUM(length(text)) FILTER (WHERE {learned}), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE {learned}), '')) AS loss_sha256,
+       CAST({len(template.begin)} + SUM({marks} + {grown('text')}) AS BIGINT) AS formatted_chars,
+       bool_and({legal}) AS in_order
+FROM seen GROUP BY conv_id"""
+
+
+def negatives_sql(step: int, rules: MiningRules = MiningRules()) -> str:
+    """Brute force; the test tables' vectors are all finite and of one length."""
+    return f"""
+WITH v AS (
+    SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+    FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+), scored AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_inner_product(a.e, b.e) AS BIGINT) AS score
+    FROM v a JOIN v b ON a.vec_id % {step} = 0 AND a.vec_id <> b.vec_id
+), positives AS (
+    SELECT * FROM scored WHERE same
+    QUALIFY ROW_NUMBER() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= {rules.positives}
+)
+SELECT p.anchor_id, p.vec_id AS positive_id,
+       CAST(ROW_NUMBER() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS rank,
+       n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN scored n ON p.anchor_id = n.anchor_id AND NOT n.same
+     AND 100 * n.score BETWEEN {rules.low} * p.score AND {rules.high} * p.score
+QUALIFY rank <= {rules.negatives}"""

@@ -15,15 +15,18 @@ COLUMNS = {
     "op6_packing": ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"],
     "op7_topk": ["query_id", "rank", "vec_id", "score"],
     "op10_quality": ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"],
+    "op11_chat": ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"],
+    "op12_periodic": ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"],
+    "op13_negatives": ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"],
 }
 #: One row a document.
-PER_DOCUMENT = {"op1_toxicity", "op2_simhash", "op3_secrets", "op4_lm", "op5_langid", "op8_mixing", "op9_sharding", "op10_quality"}
+PER_DOCUMENT = {"op1_toxicity", "op2_simhash", "op3_secrets", "op4_lm", "op5_langid", "op8_mixing", "op9_sharding", "op10_quality", "op12_periodic"}
 
 
 @pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
 def test_equals_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     df = registry.queries()[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]
@@ -36,7 +39,7 @@ def test_equals_sql(spark, name):
 def test_columns_and_rows(spark):
     ids = sorted(r.doc_id for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id").collect())
     queries = registry.queries()
-    assert {n.split("_")[0] for n in queries} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in queries} == {f"op{i}" for i in range(1, 14)}
     for name, query in queries.items():
         df = query(spark, SF)
         assert df.columns[:len(COLUMNS.get(name, []))] == COLUMNS.get(name, []), name
