@@ -20,6 +20,7 @@ from martcraft.operators import dedupe as D
 from martcraft.operators import match as MT
 from martcraft.operators import rollup as RU
 from martcraft.operators import sinks as SK
+from martcraft.operators.publish import location
 from martcraft.plans import marts as M
 from martcraft.plans.oracle import CHECK_TARGET_V1
 from martcraft.plans.run import run_marts
@@ -307,12 +308,20 @@ def _run_dir(spark: SparkSession, name: str) -> str:
     return stage_path(spark, name)
 
 
+def _of_dropped(spark: SparkSession, table: str) -> DataFrame:
+    """The rows of a table whose catalog entry goes (it is external: its files
+    stay)."""
+    folder = location(spark, table)
+    spark.sql(f"DROP TABLE {table}")
+    return spark.read.parquet(folder)
+
+
 @_q("sink_overwrite_roundtrip")
 def _(spark, inp):
-    path = _run_dir(spark, "balance")
-    SK.write_overwrite(M.balance_v1(inp, R), path)   # another mart first: it must be gone
-    SK.write_overwrite(M.balance_v2(inp, R), path)
-    return spark.read.parquet(path)
+    path, table = _run_dir(spark, "balance"), "balance_" + uuid.uuid4().hex[:12]
+    SK.replace_table(spark, table, M.balance_v1(inp, R), path)   # another mart first: it must be gone
+    SK.replace_table(spark, table, M.balance_v2(inp, R), path)
+    return _of_dropped(spark, table)
 
 
 @_q("sink_insert_overwrite_roundtrip")
@@ -323,17 +332,19 @@ def _(spark, inp):
     SK.create_table(spark, table, mart, path)
     SK.insert_overwrite(mart.where("month < '1997-01-01'"), table, M.RETAIL_V1_COLS)
     SK.insert_overwrite(mart, table, M.RETAIL_V1_COLS)   # a re-run replaces, never duplicates
-    spark.sql(f"DROP TABLE {table}")                      # external: its files stay
-    return spark.read.parquet(path)
+    return _of_dropped(spark, table)
 
 
 @_q("check_append_roundtrip")
 def _(spark, inp):
-    path = _run_dir(spark, "stage_checks")
+    path, table = _run_dir(spark, "stage_checks"), "stage_checks_" + uuid.uuid4().hex[:12]
     mart = materialize(M.kit_sales_v2(inp, R), "kit_sales_v2")
-    for target in (R.check_target, R.check_target + 1):
-        SK.append(_kit_check(mart, target), path, K.CHECK_COLUMNS)
-    return spark.read.parquet(path)
+    for run_id, target in (("a", R.check_target), ("b", R.check_target + 1), ("b", R.check_target + 2)):
+        row = _kit_check(mart, target)
+        SK.create_table(spark, table, row.withColumn("run_id", F.lit("")), path)  # each time by a new catalog entry
+        SK.append_once(row, table, K.CHECK_COLUMNS, run_id)                       # run b counts once
+        spark.sql(f"DROP TABLE {table}")
+    return spark.read.parquet(path).select(*K.CHECK_COLUMNS)
 
 
 @_q("run_marts_check")
@@ -344,7 +355,7 @@ def _(spark, inp):
     try:
         path = _run_dir(spark, "run")
         run_marts(spark, inp, R, path, "v2", checked_at=FIXTURE_CHECKED_AT, database=database)
-        return spark.read.parquet(f"{path}/stage_checks")
+        return spark.read.parquet(f"{path}/stage_checks").select(*K.CHECK_COLUMNS)
     finally:
         spark.sql(f"DROP DATABASE {database} CASCADE")
 
