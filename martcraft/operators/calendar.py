@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from martcraft.functions.dates import month_start, months_between_inclusive
 from martcraft.functions.nullsafe import nullsafe_on
+from martcraft.session import materialize
 
 
 def _date_col(d) -> Column:
@@ -61,10 +62,53 @@ def running_total(measure: str, partition_cols: Sequence[str], month_col: str =
     return F.sum(measure).over(w)
 
 
+def prefix_totals(rows: DataFrame, partition_cols: Sequence[str], measure: str, blocks: int,
+                  out: str = "cumulative_qty", month_col: str = "month") -> DataFrame:
+    """The same running total in two levels, for partitions too large for one
+    task: rows are range-partitioned by (partition, month) into ``blocks``
+    (rows of one month stay together, so peers keep equal totals), each block
+    sums for itself, the blocks' sums are summed up exclusively (one row a
+    block and partition), and a row's total is its block's running total plus
+    the blocks before. The blocks are a stage table: their bounds come from a
+    sample, so they must not be drawn twice."""
+    keys = list(partition_cols)
+    order = [F.col(c).asc_nulls_first() for c in [*keys, month_col]]
+    placed = materialize(rows.repartitionByRange(max(1, blocks), *order).withColumn("_block", F.spark_partition_id()), "range_blocks")
+    sums = placed.groupBy("_block", *keys).agg(F.sum(measure).alias("_sum"))
+    before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    carried = sums.select(F.col("_block").alias("_b"), *[F.col(c).alias(f"_p{i}") for i, c in enumerate(keys)],
+                          F.sum("_sum").over(before).alias("_before")).where(F.col("_before").isNotNull())
+    on = (F.col("_block") == F.col("_b")) & nullsafe_on(placed, carried, keys, [f"_p{i}" for i in range(len(keys))])
+    own = running_total(measure, ["_block", *keys], month_col)
+    both = placed.withColumn(out, own).join(carried, on, "left")
+    total = F.coalesce(F.col("_before") + F.col(out), F.col("_before"), F.col(out))
+    return both.withColumn(out, total.cast(sums.schema["_sum"].dataType)).select(*rows.columns, out)
+
+
 def cumulative_sparse(df: DataFrame, partition_cols: Sequence[str], measure: str,
-                      out: str = "cumulative_qty", month_col: str = "month") -> DataFrame:
-    """``SELECT *, running total`` over the rows as they are (M6)."""
-    return df.withColumn(out, running_total(measure, partition_cols, month_col))
+                      out: str = "cumulative_qty", month_col: str = "month",
+                      unit_rows: int | None = 100_000) -> DataFrame:
+    """``SELECT *, running total`` over the rows as they are (M6).
+
+    A partition of the window is one task, and where periods are not cut to
+    months its rows are bounded by nothing. So partitions of more than
+    ``unit_rows`` rows (counted in one aggregate over the staged rows) get
+    their totals from ``prefix_totals`` in blocks of about that size; all
+    others from one window. ``unit_rows=None`` is for input that is bounded
+    already, like one row a unit and month: a window alone, nothing staged."""
+    if unit_rows is None:
+        return df.withColumn(out, running_total(measure, partition_cols, month_col))
+    rows = materialize(df, "running_total_rows")
+    sizes = rows.groupBy(*partition_cols).agg(F.count("*").alias("_n")).where(F.col("_n") > unit_rows)
+    names = [f"_h{i}" for i in range(len(partition_cols))]
+    hot = materialize(sizes.select("_n", *[F.col(c).alias(n) for c, n in zip(partition_cols, names)]), "hot_partitions")
+    total = hot.agg(F.sum("_n")).first()[0]
+    if total is None:
+        return rows.withColumn(out, running_total(measure, partition_cols, month_col))
+    on = nullsafe_on(rows, hot, list(partition_cols), names)
+    light = rows.join(hot, on, "left_anti").withColumn(out, running_total(measure, partition_cols, month_col))
+    heavy = rows.join(hot, on, "left_semi")
+    return light.unionByName(prefix_totals(heavy, partition_cols, measure, -(-total // unit_rows), out, month_col))
 
 
 def in_calendar(month_col: str, start, as_of) -> Column:

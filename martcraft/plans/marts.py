@@ -103,7 +103,7 @@ def kit_sales_v2(inp: Inputs, rules: Rules, dropped: Observation | None = None)
 def retail_sales_v1(inp: Inputs, rules: Rules) -> DataFrame:
     agg = monthly_rollup(inp.retail, "period", ["division", "internal_code", "assembly_variant",
                                                 "sales_direction"], {"retail_qty": "retail_qty"})
-    return cumulative_sparse(agg, RETAIL_UNIT_V1, "retail_qty").select(*RETAIL_V1_COLS)
+    return cumulative_sparse(agg, RETAIL_UNIT_V1, "retail_qty", unit_rows=None).select(*RETAIL_V1_COLS)
 
 
 def _typed_retail(inp: Inputs, rules: Rules, with_direction_rule: bool) -> DataFrame:
@@ -115,14 +115,19 @@ STOCK = {"opening_stock": "opening_stock", "closing_stock": "closing_stock"}
 LINE_DIMS = ("division", "internal_code", "assembly_variant", "sales_direction")
 
 
-def retail_base(inp: Inputs, rules: Rules) -> DataFrame:
-    """One pass over the retail lines for both v2 marts: monthly sums of all
-    three measures by unit and by both product types (with and without the
-    direction rule). A stage table of monthly rows."""
-    typed = (inp.retail.withColumn("product_type", product_type(rules, with_direction_rule=True))
+def monthly_lines(lines: DataFrame, rules: Rules) -> DataFrame:
+    """Monthly sums of all three measures of the retail lines by unit and by
+    both product types (with and without the direction rule)."""
+    typed = (lines.withColumn("product_type", product_type(rules, with_direction_rule=True))
              .withColumn("basic_type", product_type(rules, with_direction_rule=False)))
-    return materialize(monthly_rollup(typed, "period", [*LINE_DIMS, "product_type", "basic_type"],
-                                      {"retail_qty": "retail_qty", **STOCK}), "retail_base")
+    return monthly_rollup(typed, "period", [*LINE_DIMS, "product_type", "basic_type"],
+                          {"retail_qty": "retail_qty", **STOCK})
+
+
+def retail_base(inp: Inputs, rules: Rules) -> DataFrame:
+    """One pass over the retail lines for both v2 marts of a run: a stage table
+    of ``monthly_lines``."""
+    return materialize(monthly_lines(inp.retail, rules), "retail_base")
 
 
 def retail_codes(inp: Inputs) -> DataFrame:
@@ -136,15 +141,25 @@ def _summed(base: DataFrame, codes: DataFrame, type_col: str, measures) -> DataF
     return lookup_code_by_name(agg, codes)
 
 
+def _rolled(inp: Inputs, rules: Rules, with_direction_rule: bool, measures: dict[str, str],
+            base: DataFrame | None, codes: DataFrame | None) -> DataFrame:
+    """Monthly sums by unit and one product type, with the code looked up by
+    name: from a run's shared ``base``, or, for a mart alone, straight from the
+    lines with that type and those measures only."""
+    codes = dedupe_guide_by_name(inp.guide) if codes is None else codes
+    if base is not None:
+        return _summed(base, codes, "product_type" if with_direction_rule else "basic_type", list(measures))
+    agg = monthly_rollup(_typed_retail(inp, rules, with_direction_rule), "period", [*LINE_DIMS, "product_type"], measures)
+    return lookup_code_by_name(agg, codes)
+
+
 def retail_rollup(inp: Inputs, rules: Rules, base: DataFrame | None = None,
                   codes: DataFrame | None = None) -> DataFrame:
     """v2 retail roll-up: SUM by month and unit of the classified lines, then
     look the code up by name. The lookup is unique per name, so it is done
     after the aggregation (on monthly rows, not lines) without changing the
     result."""
-    base = retail_base(inp, rules) if base is None else base
-    codes = dedupe_guide_by_name(inp.guide) if codes is None else codes
-    return _summed(base, codes, "product_type", ["retail_qty"]).select(*RETAIL_ROLLUP_COLS)
+    return _rolled(inp, rules, True, {"retail_qty": "retail_qty"}, base, codes).select(*RETAIL_ROLLUP_COLS)
 
 
 def _with_dealer_division(inp: Inputs, rules: Rules, with_direction_rule: bool,
@@ -163,7 +178,7 @@ def _with_dealer_division(inp: Inputs, rules: Rules, with_direction_rule: bool,
 
 def retail_sales_interim(inp: Inputs, rules: Rules) -> DataFrame:
     agg = _with_dealer_division(inp, rules, True, {"retail_qty": "retail_qty"})
-    return cumulative_sparse(agg, RETAIL_UNIT, "retail_qty").select(*RETAIL_INTERIM_COLS)
+    return cumulative_sparse(agg, RETAIL_UNIT, "retail_qty", unit_rows=None).select(*RETAIL_INTERIM_COLS)
 
 
 def retail_sales_v2(inp: Inputs, rules: Rules, base: DataFrame | None = None,
@@ -185,9 +200,7 @@ def balance_v1(inp: Inputs, rules: Rules) -> DataFrame:
 
 def balance_v2(inp: Inputs, rules: Rules, base: DataFrame | None = None,
                codes: DataFrame | None = None) -> DataFrame:
-    base = retail_base(inp, rules) if base is None else base
-    codes = dedupe_guide_by_name(inp.guide) if codes is None else codes
-    return _summed(base, codes, "basic_type", STOCK).select(*BALANCE_V2_COLS)
+    return _rolled(inp, rules, False, STOCK, base, codes).select(*BALANCE_V2_COLS)
 
 
 def balance_interim(inp: Inputs, rules: Rules) -> DataFrame:

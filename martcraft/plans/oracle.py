@@ -429,4 +429,10 @@ SELECT internal_code FROM kit_series WHERE NOT (sales_direction LIKE {lit(r.expo
     other = r.with_(check_target=r.check_target + 1)
     q["check_append_roundtrip"] = f"({q['check_target']})\nUNION ALL\n({check_row(kit_v2(r), 'kit_series', 'kit_sales_v2', other.check_target, other)})"
     q["run_marts_check"] = q["check_target"]
+    q["table_comment"] = f"SELECT 'Finished vehicle stock' AS comment, COUNT(*) AS n FROM ({q['balance_v2']})"
+    # kept marts equal those built anew
+    q["kit_sales_v2_carried"] = q["kit_sales_v2"]
+    q["retail_sales_v2_carried"] = q["retail_sales_v2"]
+    q["retail_rollup_kept"] = q["retail_rollup"]
+    q["balance_v2_kept"] = q["balance_v2"]
     return q

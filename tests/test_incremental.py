@@ -1,0 +1,202 @@
+"""Refreshes by month against full rebuilds, and two-level running totals."""
+
+import datetime as dt
+import os
+import random
+import re
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from martcraft.operators import calendar as C
+from martcraft.operators import incremental as I
+from martcraft.session import shared_dir
+from tests.helpers import bag
+
+SCHEMA = "unit string, kind string, month date, qty long"
+START, FIRST = dt.date(2020, 1, 1), 2020 * 12
+
+
+def day(n):
+    return dt.date((FIRST + n) // 12, (FIRST + n) % 12 + 1, 1)
+
+
+@pytest.fixture
+def place(spark):
+    return shared_dir(spark, "tests", uuid.uuid4().hex)
+
+
+def rows_of(df):
+    return bag([tuple(r) for r in df.collect()], df.columns)
+
+
+def some_rows(rng, months, n=60):
+    return [(rng.choice(["a", "b", "c", None]), rng.choice(["x", "y", None]), day(rng.randrange(-2, months + 2)),
+             rng.choice([None, 1, 2, 5])) for _ in range(n)] + [("late", "x", dt.date(2020, 2, 17), 4)]
+
+
+@pytest.mark.parametrize("parts,seed", [(["unit", "kind"], 1), (["unit"], 2)])
+def test_late_changes_equal_the_full_rebuild(spark, place, parts, seed):
+    rng = random.Random(seed)
+    rows, months, wholes = some_rows(rng, 8), 8, []
+    for step in range(5):
+        if step:
+            kind = rng.choice(["add", "drop", "value", "unit", "none", "gone"]) if step < 4 else "month"
+            if kind == "add":
+                rows = rows + some_rows(rng, months, 2)
+            elif kind == "drop":
+                rows = rows[:-3]
+            elif kind == "value":
+                i = rng.randrange(len(rows))
+                rows = rows[:i] + [(*rows[i][:3], 77)] + rows[i + 1:]
+            elif kind == "unit":
+                rows = rows + [(rng.choice(["a", "new"]), "z", day(rng.randrange(months)), rng.choice([None, 9]))]
+            elif kind == "gone":
+                rows = [r for r in rows if r[1] != "y"]
+            months += step % 2
+        df = spark.createDataFrame(rows, SCHEMA)
+        as_of = day(months - 1) + dt.timedelta(days=9)
+        got, done = I.refresh_dense(df, place, ["unit", "kind"], parts, "qty", START, as_of, files=2)
+        want = C.densify_cumulative(df, ["unit", "kind"], parts, "qty", START, as_of)
+        assert sorted(got.columns) == sorted(want.columns) and dict(got.dtypes) == dict(want.dtypes)
+        assert rows_of(got.select(*want.columns)) == rows_of(want), (step, done)
+        wholes.append(done.whole)
+    assert wholes[0] and not all(wholes)
+
+
+def files_below(path):
+    return {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns for d, _, fs in os.walk(path) for f in fs if f.endswith(".parquet")}
+
+
+def test_open_month_alone_is_rebuilt(spark, place):
+    df = spark.createDataFrame([("a", "x", day(m), m) for m in range(12)] + [("b", "x", day(3), 1)], SCHEMA)
+    args = ["unit", "kind"], ["unit", "kind"], "qty", START
+    I.refresh_dense(df.where(F.col("month") < F.lit(day(11))), place, *args, day(10))
+    before = files_below(place + "/rows")
+    got, done = I.refresh_dense(df, place, *args, day(11))
+    assert (done.changed, done.whole, done.first_month) == ([day(11)], False, day(11))
+    after = files_below(place + "/rows")
+    assert {f for f in after if f not in before} == {f for f in after if f"month={day(11)}" in f} and before.items() <= after.items()
+    assert rows_of(got) == rows_of(C.densify_cumulative(df, *args, day(11)).select(*got.columns))
+    assert I.refresh_dense(df, place, *args, day(11))[1] == I.Refresh([])
+    assert files_below(place + "/rows") == after
+
+
+def test_refresh_that_failed_is_taken_up(spark, place, monkeypatch):
+    args = ["unit", "kind"], ["unit", "kind"], "qty", START, day(5)
+    first = spark.createDataFrame([("a", "x", day(m), 1) for m in range(6)], SCHEMA)
+    late = spark.createDataFrame([("a", "x", day(m), 9 if m == 2 else 1) for m in range(6)], SCHEMA)
+    I.refresh_dense(first, place, *args)
+
+    def half(df, path, files):
+        write(df.where(F.col("month") == F.lit(day(2))), path, files)
+        raise RuntimeError("lost")
+
+    write = I._write_months
+    monkeypatch.setattr(I, "_write_months", half)
+    with pytest.raises(RuntimeError):
+        I.refresh_dense(late, place, *args)
+    monkeypatch.setattr(I, "_write_months", write)
+    # the source is as it was: by prints alone nothing has changed
+    got, done = I.refresh_dense(first, place, *args)
+    assert done.first_month == day(2)
+    assert rows_of(got) == rows_of(C.densify_cumulative(first, *args).select(*got.columns))
+
+
+def test_other_calendar_is_a_full_rebuild(spark, place):
+    df = spark.createDataFrame([("a", "x", day(m), m) for m in range(12)], SCHEMA)
+    args = ["unit", "kind"], ["unit", "kind"], "qty"
+    I.refresh_dense(df, place, *args, START, day(11))
+    for start, as_of in ((START, day(6)), (day(2), day(6))):
+        got, done = I.refresh_dense(df, place, *args, start, as_of)
+        assert done.whole and rows_of(got) == rows_of(C.densify_cumulative(df, *args, start, as_of).select(*got.columns))
+    empty, _ = I.refresh_dense(df.limit(0), place, *args, START, day(6))
+    assert empty.count() == 0
+
+
+def test_rollup_reads_changed_months_only(spark, place):
+    source, kept = place + "/source", place + "/kept"
+    lines = [(f"u{i % 5}", day(i % 9), i) for i in range(500)]
+    frame = lambda rows: spark.createDataFrame(rows, "unit string, month date, qty long")
+    frame(lines).repartition(1).write.partitionBy("month").parquet(source)
+    asked, read = [], []
+
+    def refresh():
+        def build(months):
+            df = spark.read.parquet(source).where(F.col("month").isin(months) if months else F.lit(False))
+            asked.append(months)
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            read.append(re.findall(r"PartitionFilters: \[month#\d+ IN \(([^)]*)\)", plan))
+            return df.groupBy("unit", "month").agg(F.sum("qty").alias("qty"))
+        return I.refresh_rollup(kept, I.listing_fingerprints(spark, source, "month"), build, files=1)
+
+    refresh()
+    assert len(asked[-1]) == 9
+    before = files_below(kept + "/rows")
+    other = [(u, m, q + 1) for u, m, q in lines if m in (day(2), day(7))]
+    frame(other).repartition(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(source)
+    got, done = refresh()
+    assert done.changed == asked[-1] == [day(2), day(7)] and read[-1] == [f"{day(2)},{day(7)}"]
+    want = spark.read.parquet(source).groupBy("unit", "month").agg(F.sum("qty").alias("qty"))
+    assert rows_of(got) == rows_of(want.select(*got.columns))
+    after = files_below(kept + "/rows")
+    assert {f for f, t in before.items() if after.get(f) != t} == {f for f in before if f"month={day(2)}" in f or f"month={day(7)}" in f}
+    assert refresh()[1].changed == []
+
+
+def test_rollup_with_rows_without_a_month_and_gone_months(spark, place):
+    def refresh(rows):
+        df = spark.createDataFrame(rows, "unit string, month date, qty long")
+
+        def build(months):
+            wanted = F.col("month").isin([m for m in months if m])
+            return df.where((wanted | F.col("month").isNull()) if None in months else wanted)
+        return I.refresh_rollup(place, I.row_fingerprints(df, F.col("month")), build)
+
+    refresh([("a", day(0), 1), ("a", day(1), 2), ("a", None, 3), (None, day(2), None)])
+    got, done = refresh([("a", day(0), 1), ("a", None, 4), (None, day(2), None)])
+    assert done.changed == [None, day(1)]
+    assert sorted(map(tuple, got.select("unit", "month", "qty").collect()), key=str) == sorted(
+        [("a", day(0), 1), ("a", None, 4), (None, day(2), None)], key=str)
+    got, done = refresh([("a", day(0), 1)])
+    assert done.changed == [None, day(2)] and got.count() == 1
+
+
+def test_fingerprints_see_nulls_order_free(spark):
+    def prints(rows):
+        return I.row_fingerprints(spark.createDataFrame(rows, "a string, b string"), F.lit(None).cast("date")).first().print
+
+    assert prints([(None, "a"), ("b", "c")]) == prints([("b", "c"), (None, "a")])
+    assert len({prints(r) for r in ([(None, "a")], [("a", None)], [("a", "a")], [("a", "a")] * 2, [("", "a")])}) == 5
+
+
+def test_totals_of_a_hot_unit_take_several_tasks(spark):
+    n = 1_000_000
+    hot = spark.range(n).select(F.lit("hot").alias("unit"), F.timestamp_micros(F.col("id") * 7919 % n).alias("month"), (F.col("id") % 5).alias("qty"))
+    few = spark.createDataFrame([("u", None, 2), ("u", None, None), (None, None, 1), (None, None, 5), ("v", None, None)], "unit string, month timestamp, qty long")
+    df = hot.unionByName(few)
+    got = C.cumulative_sparse(df, ["unit"], "qty", unit_rows=100_000)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and "_block" in plan  # the blocks are a stage table
+    want = df.withColumn("cumulative_qty", C.running_total("qty", ["unit"]))
+    sums = lambda d: d.groupBy("unit").agg(F.count("*").alias("n"), F.sum("cumulative_qty").alias("s"), F.sum(F.xxhash64("month", "cumulative_qty").cast("decimal(38,0)")).alias("h"))
+    assert rows_of(sums(got)) == rows_of(sums(want)) and got.columns == want.columns
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tasks = got.where("unit = 'hot'").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(tasks) > 1 and max(r[1] for r in tasks) < n
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_two_level_totals_equal_the_window(spark, seed):
+    rng = random.Random(seed)
+    rows = [(rng.choice(["a", "b", None]), rng.choice([None, day(rng.randrange(20))]), rng.choice([None, 1, 3])) for _ in range(300)]
+    df = spark.createDataFrame(rows, "unit string, month date, qty long")
+    want = df.withColumn("t", C.running_total("qty", ["unit"]))
+    for got in (C.prefix_totals(df, ["unit"], "qty", 7, "t"), C.cumulative_sparse(df, ["unit"], "qty", "t", unit_rows=90)):
+        assert rows_of(got) == rows_of(want)
+    money = df.withColumn("qty", F.col("qty").cast("decimal(10,2)"))
+    assert C.prefix_totals(money, ["unit"], "qty", 3, "t").schema["t"].dataType == money.withColumn("t", C.running_total("qty", ["unit"])).schema["t"].dataType
