@@ -3,12 +3,15 @@ carrying, shipping the package to the executors."""
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import shutil
 import tempfile
 import uuid
 import weakref
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -48,6 +51,36 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Tables that a Python worker keeps from task to task, by name.
+WORKER_TABLES: dict[str, dict] = {}
+
+
+def released(run, keep: str | None = None):
+    """``run`` (of mapInArrow) in a form that gives a worker's memory back when
+    its partition ends: tables kept by other operators, and what the allocators
+    hold. Workers live on, and what they hold counts against the executor in
+    every later stage. ``keep``: the table that ``run`` itself uses again."""
+    def whole(batches):
+        try:
+            yield from run(batches)
+        finally:
+            free_memory(keep)
+
+    return whole
+
+
+def free_memory(keep: str | None = None) -> None:
+    for name, table in WORKER_TABLES.items():
+        if name != keep:
+            table.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # another C library
+        pass
+
+
 def bounded_sample(rows: DataFrame, key: str, most: int, by: tuple[str, ...] = ()) -> DataFrame:
     """At most ``most`` rows of each ``by`` group (of all, without one), those
     with the least hash of ``key``. A first cut by the hash against the group's

@@ -8,15 +8,19 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _INVERSE = pow(_BASE, -1, 1 << 64)
+_KEPT = 1 << 21  # powers kept, 16 MB a base; a longer piece makes its own
 _POWERS: dict[int, np.ndarray] = {}
 
 
 def _powers(base: int, n: int) -> np.ndarray:
-    if base not in _POWERS or len(_POWERS[base]) < n:
+    have = _POWERS.get(base)
+    if have is None or len(have) < n:
         out = np.full(max(n, 1 << 16), base, np.uint64)
         out[0] = 1
-        _POWERS[base] = np.cumprod(out, dtype=np.uint64)
-    return _POWERS[base][:n]
+        have = np.cumprod(out, dtype=np.uint64)
+        if len(have) <= _KEPT:
+            _POWERS[base] = have
+    return have[:n]
 
 
 def word_spans(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

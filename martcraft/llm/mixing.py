@@ -44,7 +44,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
-from martcraft.llm.common import ROW, bounded_sample, carry, ship, stage
+from martcraft.llm.common import ROW, bounded_sample, carry, released, ship, stage
 from martcraft.llm.hashing import hashed_words_and_tails, pieces
 
 
@@ -155,7 +155,7 @@ def train(docs: DataFrame, labels: DataFrame, rules: MixRules) -> Classifier:
         for r in rows.groupBy("_k").count().collect():
             docs_in[r._k] = r["count"]
         counts = np.zeros(len(names) * size)
-        for r in rows.mapInArrow(count, out).groupBy("cell").agg(F.sum("n").alias("n")).collect():  # cells are bounded
+        for r in rows.mapInArrow(released(count), out).groupBy("cell").agg(F.sum("n").alias("n")).collect():  # cells are bounded
             counts[r.cell] = r.n
         counts = counts.reshape(len(names), size)
         other, docs_out = counts.sum(axis=0) - counts, docs_in.sum() - docs_in
@@ -191,7 +191,7 @@ def _scored(docs: DataFrame, model: Classifier, keep: list[str]) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [*[b.column(c) for c in keep], pa.array(n), pa.array(z.tolist(), t), pa.array(model.posterior(z).tolist(), t)], names=out.names)
 
-    return docs.select(*keep, "text").mapInArrow(run, out)
+    return docs.select(*keep, "text").mapInArrow(released(run), out)
 
 
 def _rates(p: np.ndarray, steps: list[tuple[float, np.ndarray]]) -> np.ndarray:
@@ -273,7 +273,7 @@ def mix(docs: DataFrame, labels: DataFrame, rules: MixRules = MixRules(), keep_r
 
     names = F.array(*[F.lit(d) for d in model.domains])
     chance = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("mix")), F.lit(1 << 30)) / (1 << 30)
-    return rows.mapInArrow(run, out).select(
+    return rows.mapInArrow(released(run), out).select(
         *keep, "tokens", F.element_at(names, F.array_position("p", F.array_max("p")).cast("int")).alias("domain"), "p",
         names.alias("domains"), "rate", F.floor(F.col("rate") + chance).cast("int").alias("copies"))
 

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType)
 
-from martcraft.llm.common import ship, stage
+from martcraft.llm.common import WORKER_TABLES, released, ship, stage
 
 
 @dataclass(frozen=True)
@@ -105,11 +105,12 @@ class WordIds(dict):
         return b"".join(map(self.__getitem__, text.split()))
 
 
-_ENCODERS: dict[str, WordIds] = {}
+_ENCODERS: dict[str, WordIds] = WORKER_TABLES.setdefault("packing", {})
 
 
 def encoder(path: str) -> WordIds:
-    """One table of runs for each Python worker."""
+    """One table of runs for each Python worker, until another operator runs
+    there."""
     if path not in _ENCODERS:
         _ENCODERS[path] = WordIds(path)
     return _ENCODERS[path]
@@ -155,7 +156,7 @@ def chunks(docs: DataFrame, rules: PackRules) -> DataFrame:
         if rows:
             yield emit()
 
-    return src.mapInArrow(run, out)
+    return src.mapInArrow(released(run, "packing"), out)
 
 
 def carried(chunk_rows: DataFrame, rules: PackRules) -> DataFrame:
@@ -273,4 +274,4 @@ def pack(docs: DataFrame, rules: PackRules = PackRules(), with_ids: bool = False
                     arrays.append(pa.array([ids[at[k] + s:at[k] + s + m].astype(np.int32) for k, s, m, *_ in pieces], pa.list_(pa.int32())))
                 yield pa.RecordBatch.from_arrays(arrays, names=out.names)
 
-    return src.mapInArrow(run, out)
+    return src.mapInArrow(released(run), out)

@@ -15,15 +15,17 @@ Spans are ``kind:start:end`` in code points, end exclusive, of the whole
 match. Defined cases: null text is scanned as empty; an empty text has no
 spans and the digest of the empty string; with no labelled sample the random
 model is uniform; repeated rows and null ids come back each; an empty table
-gives an empty result; ``redact`` carries other columns untouched.
+gives an empty result; ``redact`` leaves other columns untouched.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType)
 
-from martcraft.llm.common import ROW, carry, ship, stage
+from martcraft.llm.common import released, ship, stage
 from martcraft.llm.hashing import pieces
 
 ASSIGN = re.compile(rb"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE)
@@ -103,6 +105,15 @@ def _points(text: bytes, spots: list[int]) -> dict[int, int]:
     return out
 
 
+def _outside(tokens: list, base: list) -> list:
+    """The tokens that touch none of the (kind, start, end) spans."""
+    if not base or not tokens:
+        return tokens
+    spans = sorted((s, e) for _, s, e in base)
+    reach, starts = list(accumulate((e for _, e in spans), max)), [s for s, _ in spans]
+    return [t for t in tokens if not (i := bisect_left(starts, t[1])) or reach[i - 1] <= t[0]]
+
+
 def _scan_batch(texts: list[bytes], rules: SecretRules) -> tuple[list, list, np.ndarray]:
     """Base spans and candidates of each text; transition counts of the
     random (row 0) and the other tokens (row 1)."""
@@ -127,7 +138,7 @@ def _scan_batch(texts: list[bytes], rules: SecretRules) -> tuple[list, list, np.
     spans, candidates = [], []
     for d, text in enumerate(texts):
         base, values = base_spans(text, rules, per_hex.get(d, []))
-        found = [t for t in per_token.get(d, ()) if not any(t[0] < e and s < t[1] for _, s, e in base)]
+        found = _outside(per_token.get(d, []), base)
         if base or found:
             at = _points(text, [x for _, s, e in base for x in (s, e)] + [x for s, e, _ in found for x in (s, e)])
             base = sorted((at[s], k, at[e]) for k, s, e in base)
@@ -145,21 +156,26 @@ def _scan_batch(texts: list[bytes], rules: SecretRules) -> tuple[list, list, np.
     return spans, candidates, counts
 
 
-def scan(docs: DataFrame, rules: SecretRules, keep_row: bool) -> DataFrame:
-    """One row a document (base, candidates) and one a batch (counts, the
-    rest null)."""
+T_SPAN = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int64()), ("end", pa.int64())]))
+
+
+def _texts(docs: DataFrame) -> DataFrame:
     ship(docs.sparkSession)
-    first = [carry(docs)] if keep_row else []
-    src = docs.select(*first, "doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("_text"))
-    kept = [StructField(f.name, f.dataType) for f in src.schema.fields if f.name != "_text"]  # null in the counts' rows
-    out = StructType([*kept, StructField("base", ArrayType(SPAN)), StructField("candidates", ArrayType(CANDIDATE)),
+    return docs.select("doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("_text"))
+
+
+def scan(docs: DataFrame, rules: SecretRules) -> DataFrame:
+    """One row a document (base, candidates) and one a partition (counts, the
+    rest null)."""
+    src = _texts(docs)
+    id_field = StructField("doc_id", docs.schema["doc_id"].dataType)  # null in the counts' rows
+    out = StructType([id_field, StructField("base", ArrayType(SPAN)), StructField("candidates", ArrayType(CANDIDATE)),
                       StructField("counts", ArrayType(LongType()))])
-    t_base = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int64()), ("end", pa.int64())]))
     t_cand = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("token", pa.binary())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((2, CODES * CODES), np.int64)
-        schema = None
+        id_type = None
         for b in batches:
             texts, spans, cands = b.column("_text").to_pylist(), [], []
             for part in pieces(texts, 4_000_000):  # bounds the arrays over the bytes
@@ -167,17 +183,15 @@ def scan(docs: DataFrame, rules: SecretRules, keep_row: bool) -> DataFrame:
                 spans += found[0]
                 cands += found[1]
                 total += found[2]
-            cols = [b.column(f.name) for f in kept]
-            schema = schema or [c.type for c in cols]
+            id_type = b.column("doc_id").type
             yield pa.RecordBatch.from_arrays(
-                [*cols, pa.array(spans, t_base), pa.array(cands, t_cand), pa.nulls(len(b), pa.list_(pa.int64()))],
-                names=out.names)
-        if schema:
+                [b.column("doc_id"), pa.array(spans, T_SPAN), pa.array(cands, t_cand), pa.nulls(len(b), pa.list_(pa.int64()))], names=out.names)
+        if id_type is not None:
             yield pa.RecordBatch.from_arrays(
-                [*[pa.nulls(1, t) for t in schema], pa.nulls(1, t_base), pa.nulls(1, t_cand),
+                [pa.nulls(1, id_type), pa.nulls(1, T_SPAN), pa.nulls(1, t_cand),
                  pa.array([total.ravel().tolist()], pa.list_(pa.int64()))], names=out.names)
 
-    return src.mapInArrow(run, out)
+    return src.mapInArrow(released(run), out)
 
 
 def ratio_table(scanned: DataFrame) -> np.ndarray:
@@ -201,59 +215,76 @@ def score_token(token: bytes, table: np.ndarray) -> float:
     return float(table[np.concatenate([[0], code[:-1]]), code].sum())
 
 
-def find(docs: DataFrame, rules: SecretRules = SecretRules(), keep_row: bool = False) -> DataFrame:
-    """doc_id (or the carried row too), n_assign, n_access, n_hex, n_random,
-    base_sha256, spans (string) and found (array of spans)."""
-    scanned = stage(scan(docs, rules, keep_row), "secrets-scan")
+def _all_spans(base: list, candidates: list, table: np.ndarray, rules: SecretRules) -> list:
+    """Base spans and those of the candidates that look random, in order."""
+    more = [{"kind": 3, "start": c["start"], "end": c["end"]} for c in candidates if score_token(c["token"], table) >= rules.min_ratio]
+    return sorted(base + more, key=lambda s: (s["start"], s["kind"]))
+
+
+def find(docs: DataFrame, rules: SecretRules = SecretRules()) -> DataFrame:
+    """doc_id, n_assign, n_access, n_hex, n_random, base_sha256, spans (string)
+    and found (array of spans)."""
+    scanned = stage(scan(docs, rules), "secrets-scan")
     table = ratio_table(scanned)
     rows = scanned.where("counts is null").drop("counts")
-    kept = [f for f in rows.schema.fields if f.name not in ("base", "candidates")]
     longs = ("n_assign", "n_access", "n_hex", "n_random")
-    out = StructType([*kept, *[StructField(n, LongType()) for n in longs], StructField("base_sha256", StringType()),
-                      StructField("spans", StringType()), StructField("found", ArrayType(SPAN))])
-    t_found = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int64()), ("end", pa.int64())]))
+    out = StructType([StructField("doc_id", docs.schema["doc_id"].dataType), *[StructField(n, LongType()) for n in longs],
+                      StructField("base_sha256", StringType()), StructField("spans", StringType()), StructField("found", ArrayType(SPAN))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         text = lambda spans: ",".join(f"{KINDS[s['kind']]}:{s['start']}:{s['end']}" for s in spans)
         for b in batches:
             counts, digests, strings, found = [], [], [], []
             for base, cands in zip(b.column("base").to_pylist(), b.column("candidates").to_pylist()):
-                more = [{"kind": 3, "start": c["start"], "end": c["end"]} for c in cands
-                        if score_token(c["token"], table) >= rules.min_ratio]
-                every = sorted(base + more, key=lambda s: (s["start"], s["kind"]))
+                every = _all_spans(base, cands, table, rules)
                 counts.append([sum(s["kind"] == k for s in every) for k in range(4)])
                 digests.append(hashlib.sha256(text(base).encode()).hexdigest())
                 strings.append(text(every))
                 found.append(every)
             n = np.array(counts, np.int64).reshape(-1, 4)
             yield pa.RecordBatch.from_arrays(
-                [*[b.column(f.name) for f in kept], *[pa.array(n[:, i].copy()) for i in range(4)],
-                 pa.array(digests, pa.string()), pa.array(strings, pa.string()), pa.array(found, t_found)], names=out.names)
+                [b.column("doc_id"), *[pa.array(n[:, i].copy()) for i in range(4)],
+                 pa.array(digests, pa.string()), pa.array(strings, pa.string()), pa.array(found, T_SPAN)], names=out.names)
 
     return rows.mapInArrow(run, out)
 
 
+def _without(text: bytes, spans: list, mark: str) -> str:
+    """The text with every span replaced, overlapping or touching ones by one
+    mark. ``spans`` by start."""
+    whole, out, at, stop = text.decode("utf-8", "replace"), [], 0, -1
+    for s in spans:
+        if s["start"] > stop:
+            out += [whole[at:s["start"]], mark]
+        stop = at = max(stop, s["end"])
+    return "".join(out) + whole[at:]
+
+
 def redact(docs: DataFrame, rules: SecretRules = SecretRules(), mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with every span replaced by ``mark`` (overlapping spans by
-    one), ``n_chars`` set anew where the text changed."""
-    found = find(docs, rules, keep_row=True).select(ROW, "found")
-    # overlapping spans merged, then the pieces between them joined
-    merged = F.expr("""aggregate(found, cast(array() as array<struct<start:bigint,end:bigint>>), (m, s) ->
-        case when size(m) > 0 and s.start <= element_at(m, -1).end
-             then concat(slice(m, 1, size(m) - 1), array(struct(element_at(m, -1).start as start, greatest(element_at(m, -1).end, s.end) as end)))
-             else concat(m, array(struct(s.start as start, s.end as end))) end)""")
-    d = found.select(ROW, merged.alias("_m"))
-    text = F.expr(f"""concat(array_join(transform(_m, (s, i) ->
-        substring({ROW}.text, int(if(i = 0, 0L, get(_m, i - 1).end)) + 1, int(s.start - if(i = 0, 0L, get(_m, i - 1).end)))), '{mark}'),
-        '{mark}', substring({ROW}.text, int(element_at(_m, -1).end) + 1))""")
-    text = F.when(F.size("_m") == 0, F.col(f"{ROW}.text")).otherwise(text)
-    d = d.select(ROW, "_m", text.alias("_text"))
-    cols = []
-    for c in docs.columns:
-        own = F.col(f"{ROW}.`{c}`")
-        if c == "text":
-            own = F.col("_text")
-        elif c == "n_chars":
-            own = F.when(F.size("_m") == 0, own).otherwise(F.length("_text")).cast(docs.schema[c].dataType)
-        cols.append(own.alias(c))
-    return d.select(*cols)
+    one), ``n_chars`` set anew where the text changed. The texts are scanned
+    twice, once for the models and once to replace, so that no row is staged
+    and nothing but a row's id leaves the first scan beside its spans."""
+    table = ratio_table(stage(scan(docs, rules).where("counts is not null").select("counts"), "secrets-counts"))
+    counted = "n_chars" in docs.columns and docs.schema["n_chars"].dataType in (IntegerType(), LongType())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts, changed = b.column("text").cast(pa.binary()).to_pylist(), {}
+            for part in pieces(texts, 4_000_000):
+                base, candidates, _ = _scan_batch([texts[i] or b"" for i in part], rules)
+                for i, own, cands in zip(part, base, candidates):
+                    if spans := _all_spans(own, cands, table, rules):
+                        changed[i] = _without(texts[i], spans, mark)
+            del texts
+            if changed:
+                cols = {name: b.column(name) for name in b.schema.names}
+                cols["text"] = pa.array([changed.get(i, t) for i, t in enumerate(cols["text"].to_pylist())], b.column("text").type)
+                if counted:
+                    n = cols["n_chars"].to_pylist()
+                    cols["n_chars"] = pa.array([len(changed[i]) if i in changed else x for i, x in enumerate(n)], b.column("n_chars").type)
+                b = pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
+            yield b
+
+    ship(docs.sparkSession)
+    return docs.mapInArrow(released(run), docs.schema)

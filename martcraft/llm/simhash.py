@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from martcraft.llm.common import ROW, carry, ship, stage
+from martcraft.llm.common import ROW, carry, released, ship, stage
 from martcraft.llm.components import components
 
 BLOCK = 2048
@@ -71,7 +71,7 @@ def fingerprints(docs: DataFrame, words: int = 4, keep_row: bool = False) -> Dat
             yield pa.RecordBatch.from_arrays(
                 [b.column(f.name) for f in kept] + [pa.array(fps.view(np.int64))], names=[f.name for f in kept] + ["fp"])
 
-    return src.mapInArrow(run, StructType([*kept, StructField("fp", LongType())]))
+    return src.mapInArrow(released(run), StructType([*kept, StructField("fp", LongType())]))
 
 
 def _plan(max_distance: int, segments: int) -> list[tuple[int, int, int]]:
