@@ -22,8 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martcraft.functions.codes import code_variants, normalize_drawing, normalize_maker
+from martcraft.operators.hotjoin import HotRules, hot_join, key_counts
 from martcraft.rules import Rules
-from martcraft.session import materialize
 
 CP, DR = "counterparty", "drawing_no"
 GUIDE_COLS = ("name", "code65", "factory_model", "manufacturer", "division")
@@ -83,17 +83,22 @@ def _fallback_set(drawings: DataFrame, nom: DataFrame, rules: Rules) -> DataFram
             .distinct())
 
 
-def _distinct_keys(facts: DataFrame, cols: Sequence[str], staged: bool) -> DataFrame:
-    """The distinct match keys; as a stage table unless ``facts`` is one, so
-    that the plan of the result reads the fact chain once."""
-    keys = facts.select(*cols).distinct()
-    return keys if staged else materialize(keys, "match-keys")
+def _keys(facts: DataFrame, cols: Sequence[str], staged: bool) -> tuple[DataFrame, DataFrame | None]:
+    """The distinct match keys. Raw ``facts`` are counted by key on the way, as
+    a stage table, so that the plan of the result reads the fact chain once and
+    hot keys are known; ``staged`` facts are a reduction without hot keys."""
+    if staged:
+        return facts.select(*cols).distinct(), None
+    counts = key_counts(facts, cols)
+    return counts.select(*cols), counts
 
 
-def _join_facts(facts: DataFrame, matches: DataFrame) -> DataFrame:
+def _join_facts(facts: DataFrame, matches: DataFrame, counts: DataFrame | None, hot: HotRules) -> DataFrame:
     """Facts with the match set of their (counterparty, drawing_no); every
     key is in the set, NULL ones too."""
     m = matches.withColumnRenamed(CP, "_k_cp").withColumnRenamed(DR, "_k_dr")
+    if counts is not None:
+        return hot_join(facts, m, [CP, DR], ["_k_cp", "_k_dr"], counts, rules=hot)
     return facts.join(m, facts[CP].eqNullSafe(m["_k_cp"]) & facts[DR].eqNullSafe(m["_k_dr"])).drop("_k_cp", "_k_dr")
 
 
@@ -113,27 +118,27 @@ def match_set(keys: DataFrame, nom: DataFrame, rules: Rules) -> DataFrame:
 
 
 def match_guide(facts: DataFrame, nom: DataFrame, rules: Rules,
-                keys_materialized: bool = False) -> DataFrame:
+                keys_materialized: bool = False, hot: HotRules = HotRules()) -> DataFrame:
     """Facts with columns m_division, m_internal_code, m_code65 from the v2
     match, in one join with the match set of their keys.
 
-    The distinct keys are staged unless ``facts`` is itself a materialized
-    reduction (``keys_materialized``)."""
-    keys = _distinct_keys(facts, [CP, DR], keys_materialized)
-    return _join_facts(facts, match_set(keys, nom, rules))
+    The distinct keys are counted and staged unless ``facts`` is itself a
+    materialized reduction (``keys_materialized``)."""
+    keys, counts = _keys(facts, [CP, DR], keys_materialized)
+    return _join_facts(facts, match_set(keys, nom, rules), counts, hot)
 
 
-def match_primary(facts: DataFrame, nom: DataFrame, rules: Rules) -> DataFrame:
+def match_primary(facts: DataFrame, nom: DataFrame, rules: Rules, hot: HotRules = HotRules()) -> DataFrame:
     """First attempt only, as a left join: facts plus n_name, n_code65,
     n_factory_model, n_division (NULL when unmatched)."""
-    keys = _distinct_keys(facts, [CP, DR], False)
+    keys, counts = _keys(facts, [CP, DR], False)
     primary = _primary_set(keys, nom, rules).drop("n_manufacturer")
     j = keys.join(primary, (keys[CP] == primary["_p_cp"]) & (keys[DR] == primary["_p_dr"]), "left")
-    return _join_facts(facts, j.drop("_p_cp", "_p_dr"))
+    return _join_facts(facts, j.drop("_p_cp", "_p_dr"), counts, hot)
 
 
 def match_v1(facts: DataFrame, guide: DataFrame, rules: Rules,
-             keys_materialized: bool = False) -> DataFrame:
+             keys_materialized: bool = False, hot: HotRules = HotRules()) -> DataFrame:
     """v1 match against the raw guide (no de-duplication, no maker key).
 
     One maker, compared after stripping blanks and upper-casing, without the
@@ -148,7 +153,7 @@ def match_v1(facts: DataFrame, guide: DataFrame, rules: Rules,
     g_alt = _prefixed(
         _guide_alternatives(g, rules, keep, last_variant_guard=F.col("factory_model") != F.lit("")),
         "g_", keep + ["kind", "key"])
-    fact_keys = _distinct_keys(facts, [DR], keys_materialized)
+    fact_keys, counts = _keys(facts, [DR], keys_materialized)
     fk_alt = _fact_alternatives(fact_keys, rules, [DR])
     md = (fk_alt.join(g_alt, (F.col("kind") == F.col("g_kind")) & (F.col("key") == F.col("g_key")))
           .select(DR, "g_guide_id", F.col("g_division").alias("m_division"),
@@ -156,4 +161,6 @@ def match_v1(facts: DataFrame, guide: DataFrame, rules: Rules,
           .distinct().drop("g_guide_id"))
     # A NULL drawing matches nothing, so plain equality is exact here.
     md = md.withColumnRenamed(DR, "_mk_dr")
+    if counts is not None:
+        return hot_join(facts, md, [DR], ["_mk_dr"], counts, "left", null_safe=False, rules=hot)
     return facts.join(md, facts[DR] == md["_mk_dr"], "left").drop("_mk_dr")

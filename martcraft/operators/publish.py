@@ -83,16 +83,19 @@ def read_published(spark: SparkSession, path: str) -> DataFrame:
 
 
 def publish(df: DataFrame, path: str, run_id: str | None = None, check: Check | None = None,
-            info: Callable[[], Mapping] | None = None, partition_by: tuple[str, ...] = ()) -> Version:
+            info: Callable[[], Mapping] | None = None, sort_by: tuple[str, ...] = ()) -> Version:
     """Write ``df`` as the next version at ``path``. ``check`` reads the written
-    rows and raises to reject them; ``info`` is asked after the write."""
+    rows and raises to reject them; ``info`` is asked after the write.
+    ``sort_by`` sorts the rows inside each task's files (no shuffle), so that a
+    range of those columns is found by the statistics of row groups and pages
+    and the rest is skipped."""
     spark = df.sparkSession
     if run_id is not None and (done := published(spark, path, run_id)):
         return done
     number = 1 + max([n for n, _ in _folders(spark, path)], default=0)
     folder = f"{path}/v{number:08d}-{uuid.uuid4().hex[:12]}"
     try:
-        df.write.partitionBy(*partition_by).parquet(folder)
+        (df.sortWithinPartitions(*sort_by) if sort_by else df).write.parquet(folder)
         if check is not None:
             check(spark.read.schema(df.schema).parquet(folder))
         facts = dict(info()) if info else {}

@@ -61,25 +61,40 @@ def kit_rollup_v1(kit_sales: DataFrame, guide: DataFrame, rules: Rules) -> DataF
             .select(*KIT_ROLLUP_COLS))
 
 
+def matching_lines(lines: DataFrame, wanted: Mapping[str, DataFrame], most: int = 1_000_000) -> DataFrame:
+    """The rows of ``lines`` whose ids are wanted: column -> frame with one
+    column of ids. An id list is counted; up to ``most`` ids (8 MB) it is
+    broadcast into a semi-join right above the scan, so unwanted rows never
+    reach a shuffle. A longer list rejects little and is left to the joins that
+    follow."""
+    for column, ids in wanted.items():
+        few = materialize(ids.toDF("_wanted").where(F.col("_wanted").isNotNull()).distinct(), "wanted-ids")
+        if few.limit(most + 1).count() <= most:
+            lines = lines.join(F.broadcast(few), lines[column] == few["_wanted"], "left_semi")
+    return lines
+
+
 def realization_patch(realization: DataFrame, product: DataFrame, direction: DataFrame,
                       division: DataFrame, rules: Rules) -> DataFrame:
     """Supplement from the realization system for the listed months (M8).
 
     The period filter is a set of half-open ranges on the raw column (pushed
     into the scan). The division and direction filters reject NULLs, so the
-    original left joins are inner joins; the fact is reduced per (period,
-    product, direction) before meeting the dimensions. ``period`` is kept
+    original left joins are inner joins; only lines of a wanted product and
+    direction are summed (``matching_lines``), per (period, product,
+    direction), before they meet the dimensions. ``period`` is kept
     untruncated, as in the original (a mid-month period stays a separate
     row)."""
     r = realization.where(month_in("period", rules.patch_months, dtype_of(realization, "period")))
-    pre = r.groupBy("period", "product_id", "direction_id").agg(F.sum("qty").alias("qty"))
     d = direction.where(F.col("sales_direction") == F.lit(rules.patch_direction)).select(
         F.col("id").alias("_d_id"), "sales_direction")
     div = division.where(F.col("name") == F.lit(rules.patch_division)).select(
         F.col("id").alias("_div_id"), F.col("name").alias("division"))
-    p = product.join(div, product["division_id"] == div["_div_id"]).select(
+    p = materialize(product.join(div, product["division_id"] == div["_div_id"]).select(
         F.col("id").alias("_p_id"), F.col("product_name").alias("internal_code"),
-        "code65", "assembly_variant", "division")
+        "code65", "assembly_variant", "division"), "patch-products")
+    r = matching_lines(r, {"product_id": p.select("_p_id"), "direction_id": d.select("_d_id")})
+    pre = r.groupBy("period", "product_id", "direction_id").agg(F.sum("qty").alias("qty"))
     j = pre.join(d, pre["direction_id"] == d["_d_id"]).join(p, F.col("product_id") == F.col("_p_id"))
     return (j.groupBy(F.col("period").alias("month"), "division", "internal_code", "code65",
                       "assembly_variant", "sales_direction")

@@ -50,19 +50,21 @@ def create_table(spark: SparkSession, table: str, df: DataFrame, path: str) -> N
 
 
 def replace_table(spark: SparkSession, table: str, df: DataFrame, path: str, run_id: str | None = None,
-                  check: Check | None = None, info: Callable[[], Mapping] | None = None) -> Version:
+                  check: Check | None = None, info: Callable[[], Mapping] | None = None,
+                  sort_by: Sequence[str] = ()) -> Version:
     """Full refresh of a catalog table (``DROP`` + ``CREATE TABLE AS``): its
     rows and columns become those of ``df``, published as a new version below
     ``path``. Until then, and if the write fails or ``check`` rejects the rows,
     the table reads what it read before."""
-    version = publish(df, path, run_id, check, info)
+    version = publish(df, path, run_id, check, info, tuple(sort_by))
     point(spark, table, version.path, spark.read.parquet(version.path).schema)
     remove_old(spark, path)
     return version
 
 
 def insert_overwrite(df: DataFrame, table: str, columns: Sequence[str], run_id: str | None = None,
-                     check: Check | None = None, info: Callable[[], Mapping] | None = None) -> Version:
+                     check: Check | None = None, info: Callable[[], Mapping] | None = None,
+                  sort_by: Sequence[str] = ()) -> Version:
     """Full refresh keeping the table (``DELETE`` all + ``INSERT ... SELECT``):
     columns are taken by position, in the given order, and get the table's
     names and types. The rows are published like those of ``replace_table``."""
@@ -72,7 +74,7 @@ def insert_overwrite(df: DataFrame, table: str, columns: Sequence[str], run_id:
         raise ValueError(f"{table} has {len(fields)} columns, not {len(columns)}")
     rows = df.select(*[F.col(c).cast(f.dataType).alias(f.name) for c, f in zip(columns, fields)])
     path = base_path(spark, table)
-    version = publish(rows, path, run_id, check, info)
+    version = publish(rows, path, run_id, check, info, tuple(sort_by))
     spark.sql(f"ALTER TABLE {table} SET LOCATION '{version.path}'")
     spark.catalog.refreshTable(table)
     remove_old(spark, path)
