@@ -59,9 +59,10 @@ def count(docs: DataFrame, rules: LanguageRules) -> list[tuple[str, int, int, in
     """(language, order, packed context and byte, count) of the sample."""
     ship(docs.sparkSession)
     rows = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
-    chosen = stage(bounded_sample(rows.select(F.col("lang").alias("_lang"), F.col("doc_id").alias("_id")), "_id", rules.max_documents, ("_lang",))
+    chosen = stage(bounded_sample(rows.select(F.col("lang").alias("__llm_lang"), F.col("doc_id").alias("__llm_id")), "__llm_id", rules.max_documents,
+                                  ("__llm_lang",))
                    .distinct(), "langid-chosen")
-    sample = docs.join(F.broadcast(chosen), (F.col("lang") == F.col("_lang")) & (F.col("doc_id") == F.col("_id")))
+    sample = docs.join(F.broadcast(chosen), (F.col("lang") == F.col("__llm_lang")) & (F.col("doc_id") == F.col("__llm_id")))
     sample = sample.where("text is not null").select("lang", F.col("text").cast("binary").alias("text"))
     out = StructType([StructField("lang", StringType()), StructField("order", LongType()),
                       StructField("gram", LongType()), StructField("n", LongType())])

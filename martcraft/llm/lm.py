@@ -18,8 +18,10 @@ word belongs to one of ``rare`` buckets, inside which the distinct words are
 alike. The network trains on all windows of all partitions: in a round each
 partition runs Adam over every ``stride``-th window of its documents from the
 same start, the next round takes the next ones, and there are at least
-``stride`` rounds, so none is left out. A round's parameters are averaged by windows seen in a tree of Spark groups of ``FAN`` models, and
-the next round starts from the average.
+``stride`` rounds, so none is left out. There is a model for every
+``model_windows`` windows of the corpus. A round's changes are averaged in a
+tree of Spark groups of ``FAN`` models, each row of the tables by the steps
+that met it, and the next round starts from the average.
 
 Defined cases: null, empty and blank texts have no tokens, log-likelihood 0
 and a null mean; one word alone is predicted from the boundary marks; repeated
@@ -40,13 +42,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, DoubleType, LongType, StructField, StructType
 
-from martcraft.llm.common import leading_bits, ship, stage
+from martcraft.llm.common import leading_bits, released, ship, stage
 from martcraft.llm.hashing import hashed_words, pieces
 
 WINDOW = 2
 SIDES = (-2, -1, 1, 2)
 FAN = 8
-MODEL_WINDOWS = 16_000_000
 
 
 @dataclass(frozen=True)
@@ -62,6 +63,7 @@ class LmRules:
     batch: int = 8192
     rate: float = 0.01
     seed: int = 7
+    model_windows: int = 4_000_000  # windows that one task's model learns from in all rounds
 
 
 @dataclass
@@ -161,11 +163,12 @@ def _every_token(h: np.ndarray, n: np.ndarray, types: np.ndarray, mass: np.ndarr
 
 
 def _turns(klass: np.ndarray, member: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Nodes on the way to each token in its class' tree, and whether the way
+    """Nodes on the way to each token in its class' tree, and 1 where the way
     turns right there."""
     level = np.arange(depth)
     node = (1 << level) - 1 + (member[:, None] >> (depth - level))
-    return klass[:, None].astype(np.int64) * ((1 << depth) - 1) + node, (member[:, None] >> (depth - 1 - level)) & 1
+    node = klass[:, None].astype(np.int64) * ((1 << depth) - 1) + node
+    return node.astype(np.int32), ((member[:, None] >> (depth - 1 - level)) & 1).astype(np.float32)
 
 
 def _by_row(index: np.ndarray, columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -193,7 +196,7 @@ class Network:
         if mass is not None:
             total = np.bincount(words.klass, mass, minlength=rules.classes)
             self.parts[3] = np.log(np.maximum(total, 1e-9) / total.sum()).astype(np.float32)
-            node, right = _turns(words.klass, words.member, self.depth)
+            self.node, self.right = node, right = _turns(words.klass, words.member, self.depth)  # of every token
             sides = [np.bincount(node.ravel(), (mass[:, None] * (right == k)).ravel(), minlength=nodes) for k in (0, 1)]
             self.parts[5][:, 0] = np.clip(np.log(np.maximum(sides[1], 1e-20)) - np.log(np.maximum(sides[0], 1e-20)), -30, 30)
 
@@ -208,6 +211,10 @@ class Network:
             at += n
         return self
 
+    def sparse_rows(self, i: int) -> int:
+        """Rows of a part of which a step meets some only; 0 for the others."""
+        return int(np.prod(self.shapes[i][:-1])) if i == 0 or i > 3 else 0
+
     def hidden(self, sides: np.ndarray) -> np.ndarray:
         e, b = self.parts[:2]
         z = e[0, sides[0]] + b
@@ -215,36 +222,53 @@ class Network:
             z += e[k, sides[k]]
         return np.tanh(z, out=z)
 
-    def log_probs(self, hidden: np.ndarray) -> np.ndarray:
-        z = hidden @ self.parts[2] + self.parts[3]
+    def weights(self, hidden: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Logits of the classes less their greatest, their exponentials and
+        the sums of these."""
+        z = hidden @ self.parts[2]
+        z += self.parts[3]
         z -= z.max(axis=1, keepdims=True)
-        return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
+        x = np.exp(z)
+        return z, x, x.sum(axis=1)
+
+    def log_probs(self, hidden: np.ndarray) -> np.ndarray:
+        z, _, total = self.weights(hidden)
+        return z - np.log(total)[:, None]
 
-    def token_log_probs(self, sides: np.ndarray, klass: np.ndarray, member: np.ndarray) -> np.ndarray:
+    def token_log_probs(self, sides: np.ndarray, klass: np.ndarray, token: np.ndarray) -> np.ndarray:
         h = self.hidden(sides)
-        out = self.log_probs(h)[np.arange(len(klass)), klass]
+        z, _, total = self.weights(h)
+        out = (z[np.arange(len(klass)), klass] - np.log(total)).astype(np.float64)
         if len(self.parts) > 4:
-            node, right = _turns(klass, member, self.depth)
+            node = self.node[token]
             u = (self.parts[4][node] @ h[:, :, None])[:, :, 0] + self.parts[5][node, 0]
-            out -= np.logaddexp(0, np.where(right, -u, u)).sum(axis=1)
+            # one logarithm of the product of 1 + exp(+-u); past 60 the 1 is lost anyway
+            u = (u * (1 - 2 * self.right[token])).astype(np.float64)
+            far = np.maximum(u - 60, 0)
+            out -= np.log((1 + np.exp(u - far)).prod(axis=1)) + far.sum(axis=1)
         return out
 
-    def gradient(self, sides: np.ndarray, klass: np.ndarray, member: np.ndarray) -> tuple[list, list[np.ndarray]]:
+    def gradient(self, sides: np.ndarray, klass: np.ndarray, token: np.ndarray) -> tuple[list, list[np.ndarray]]:
         """Of each part the rows that the windows hold (None: all; the
         embeddings of all sides are one list), and their gradients."""
         e, _, w = self.parts[:3]
         h = self.hidden(sides)
         n = len(klass)
-        p = np.exp(self.log_probs(h))
-        p[np.arange(n), klass] -= 1
-        p /= n
+        _, p, total = self.weights(h)
+        p *= (1 / (n * total))[:, None]
+        p[np.arange(n), klass] -= np.float32(1 / n)
         dh = p @ w.T
         at, more = [], []
         if len(self.parts) > 4:
-            node, right = _turns(klass, member, self.depth)
+            node = self.node[token]
             own = self.parts[4][node]
             u = (own @ h[:, :, None])[:, :, 0] + self.parts[5][node, 0]
-            g = (1 / (1 + np.exp(np.clip(-u, -60, 60))) - right.astype(u.dtype)) / n
+            np.clip(u, -60, 60, out=u)
+            np.exp(np.negative(u, out=u), out=u)
+            u += 1
+            g = np.reciprocal(u, out=u)
+            g -= self.right[token]
+            g /= n
             dh += (g[:, None, :] @ own)[:, 0]
             rows, d = _by_row(node.ravel(), [*[(g * h[:, j:j + 1]).ravel() for j in range(h.shape[1])], g.ravel()])
             at, more = [rows, rows], [d[:, :-1], d[:, -1:]]
@@ -325,18 +349,72 @@ def _grouped(rows: list[bytes], most: int = 400_000) -> Iterator[list[bytes]]:
         yield part
 
 
+def changes(net: Network, before: list[np.ndarray], touched: list[np.ndarray], seen: int) -> tuple[bytes, bytes]:
+    """What a task sends: the change of every parameter (16-bit floats, with a
+    scale for each part) and how many steps met each row of the sparse parts;
+    all steps count for the others."""
+    out, scales = [], []
+    for p, b in zip(net.parts, before):
+        d = p - b
+        scales.append(max(float(np.abs(d).max(initial=0)), 1e-30))
+        out.append((d / np.float32(scales[-1])).astype("<f2").ravel())
+    return np.array(scales, "<f8").tobytes() + np.concatenate(out).tobytes(), np.concatenate(
+        [t.astype("<f4") for t in touched] + [np.array([seen], "<f4")]).tobytes()
+
+
+def _unpacked(net: Network, data: bytes, counts: bytes) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Change and weight (of each row, or of all) by part."""
+    k = len(net.shapes)
+    scales, flat = np.frombuffer(data[:8 * k], "<f8"), np.frombuffer(data[8 * k:], "<f2")
+    weight, parts, weights, at, w = np.frombuffer(counts, "<f4").astype(np.float64), [], [], 0, 0
+    for i, (s, scale) in enumerate(zip(net.shapes, scales)):
+        n = int(np.prod(s))
+        parts.append(flat[at:at + n].reshape(s).astype(np.float32) * np.float32(scale))
+        at += n
+        rows = net.sparse_rows(i)
+        weights.append(weight[w:w + rows].reshape(*s[:-1], 1) if rows else weight[-1])
+        w += rows
+    return parts, weights
+
+
+def merged(net: Network, rows: list[tuple[bytes, bytes]]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """The mean change of each row, weighted by the steps that met it, and the
+    weights' sums: a row that one task alone has met keeps its whole change."""
+    total, weight = [np.zeros(s) for s in net.shapes], [0.0] * len(net.shapes)
+    for data, counts in rows:
+        for i, (d, w) in enumerate(zip(*_unpacked(net, data, counts))):
+            total[i] += d * w
+            weight[i] = weight[i] + w
+    return [(t / np.maximum(w, 1e-9)).astype(np.float32) for t, w in zip(total, weight)], weight
+
+
+def _averager(start, rules: LmRules):
+    def average(rows: pd.DataFrame) -> pd.DataFrame:
+        like = Network(start.value[0], rules)
+        mean, weight = merged(like, list(zip(rows["change"], rows["counts"])))
+        like.parts = mean
+        sparse = [np.asarray(w).ravel() for i, w in enumerate(weight) if like.sparse_rows(i)]
+        steps = next(w for i, w in enumerate(weight) if not like.sparse_rows(i))
+        change, counts = changes(like, [np.zeros_like(p) for p in mean], sparse, steps)
+        return pd.DataFrame({"part": [int(rows["part"].iloc[0]) // FAN], "seen": [int(rows["seen"].sum())], "change": [change], "counts": [counts]})
+
+    return average
+
+
 def train(encoded: DataFrame, words: Vocabulary, rules: LmRules) -> Network:
     net = Network(words, rules)
     sc = encoded.sparkSession.sparkContext
-    out = StructType([StructField("part", LongType()), StructField("seen", LongType()), StructField("flat", BinaryType())])
-    # a model for each core or for each so many windows, whatever the table's files
-    parts = encoded if words.mass is None else encoded.coalesce(max(sc.defaultParallelism, int(words.mass.sum()) // MODEL_WINDOWS))
+    out = StructType([StructField("part", LongType()), StructField("seen", LongType()), StructField("change", BinaryType()), StructField("counts", BinaryType())])
+    # a model for each so many windows, whatever the table's files and the cluster's cores
+    parts = encoded if words.mass is None else encoded.coalesce(max(1, int(words.mass.sum()) // rules.model_windows))
     for turn in range(max(rules.rounds, rules.stride)):
         start = sc.broadcast((words, net.flat()))
 
         def run(batches: Iterator[pa.RecordBatch], turn: int = turn, start=start) -> Iterator[pa.RecordBatch]:
             own, flat = start.value
             local = Network(own, rules).load(flat)
+            before = [p.copy() for p in local.parts]
+            touched = [np.zeros(local.sparse_rows(i), np.int64) for i in range(len(local.parts))]
             adam, seen = Adam(local, rules.rate / (1 + turn)), 0
             for b in batches:
                 for group in _grouped(b.column("ids").to_pylist()):
@@ -348,25 +426,26 @@ def train(encoded: DataFrame, words: Vocabulary, rules: LmRules) -> Network:
                         # small steps at first, so that small tables get enough of them
                         at = pick[i:i + min(rules.batch, max(256, seen // 16))]
                         i += len(at)
-                        adam.step(*local.gradient(sides[:, at], own.klass[token[at]], own.member[token[at]]))
+                        rows, grads = local.gradient(sides[:, at], own.klass[token[at]], token[at])
+                        adam.step(rows, grads)
+                        for k, r in enumerate(rows):
+                            if r is not None:
+                                touched[k][r] += 1
                         seen += len(at)
             if seen:
+                change, counts = changes(local, before, touched, adam.t)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([seen], pa.int64()),
-                     pa.array([local.flat().astype("<f4").tobytes()], pa.binary())], names=out.names)
-
-        def average(rows: pd.DataFrame) -> pd.DataFrame:
-            seen = rows["seen"].to_numpy(float)
-            flat = sum(np.frombuffer(f, "<f4") * (s / seen.sum()) for f, s in zip(rows["flat"], seen))
-            return pd.DataFrame({"part": [int(rows["part"].iloc[0]) // FAN], "seen": [int(seen.sum())], "flat": [flat.astype("<f4").tobytes()]})
+                    [pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([seen], pa.int64()), pa.array([change], pa.binary()),
+                     pa.array([counts], pa.binary())], names=out.names)
 
-        models = stage(parts.select("ids").mapInArrow(run, out), "lm-models")
+        models = stage(parts.select("ids").mapInArrow(released(run), out), "lm-models")
         left = models.agg(F.max("part")).first()[0]
         while left:  # one more level of the tree
-            models = stage(models.groupBy(F.floor(F.col("part") / FAN).alias("g")).applyInPandas(average, out), "lm-average")
+            models = stage(models.groupBy(F.floor(F.col("part") / FAN).alias("g")).applyInPandas(_averager(start, rules), out), "lm-average")
             left = models.agg(F.max("part")).first()[0]
         for r in models.collect():  # one row
-            net.load(np.frombuffer(r.flat, "<f4"))
+            mean, _ = merged(net, [(r.change, r.counts)])
+            net.parts = [p + d for p, d in zip(net.parts, mean)]
     return net
 
 
@@ -376,7 +455,7 @@ def token_scores(net: Network, words: Vocabulary, batch: list[bytes]) -> tuple[n
     out = np.empty(len(token))
     for i in range(0, len(token), 8192):
         at = slice(i, i + 8192)
-        out[at] = net.token_log_probs(sides[:, at], words.klass[token[at]], words.member[token[at]]) + words.share[token[at]]
+        out[at] = net.token_log_probs(sides[:, at], words.klass[token[at]], token[at]) + words.share[token[at]]
     return out, lengths
 
 

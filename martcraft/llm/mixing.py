@@ -4,18 +4,25 @@ The labelled table names domains (its combinations of ``quality`` and
 ``toxic``). A naive Bayes classifier over the hashed signs that a text has
 (its words, their last two bytes, how many of its words are distinct; each
 once), kept where a sign's rate in a domain differs clearly from its rate
-elsewhere, calibrated by a softmax regression on the half of the sample it did
-not count, gives every document a posterior over the domains. Nonnegative rates r
-are then fitted so that the expected domain totals y_k = sum of tokens * r *
-p_k meet the targets b_k: accelerated projected gradient on the least squares
-``sum_k (y_k - b_k)**2 / (2 T T_k)`` (T_k: domain k's expected total at rate
-1, T: all tokens), started at r = 1. In the metric that weighs a document by
-its tokens a step from v is ``r <- max(0, v - sum_k p_k (y_k(v) - b_k) / T_k)``;
-its length is safe because sum_k p_k = 1, and v is r moved on along its last
-change (momentum, restarted when the residual grows). A step needs only the K
-totals of the rates before, so every iteration is one pass over (tokens,
-posterior) rows with K sums; a document's rate follows from the list of past
-steps and is never shuffled.
+elsewhere, gives every document a posterior over the domains. What counts as
+clear is learned: the sample is cut into two halves, each half's signs score
+the other one at several levels, and the level whose calibrated posteriors
+predict the held-out labels best is taken; the calibration (a softmax
+regression on those held-out scores, weighted by tokens as totals are) makes
+the domains' expected totals those of the labels.
+
+Nonnegative rates r are then fitted so that the expected domain totals
+y_k = sum of tokens * r * p_k meet the targets b_k: accelerated projected
+gradient on the least squares ``(y - b)' W (y - b)`` (W: the inverse of the
+sums over all rows of tokens * p p'), started at r = 1. In the metric that
+weighs a document by its tokens a step from v is
+``r <- max(0, v - p' W (y(v) - b))``; its length is safe, as the curvature of
+that objective is 1 at most, and where no rate falls to zero one step is exact.
+v is r moved on along its last change (momentum, restarted when the residual
+grows). A step needs only the K totals of the rates before, so every iteration
+is one pass over (tokens, posterior) rows with K sums; a document's rate
+follows from the list of past steps and is never shuffled. What the totals are
+off their targets by in the end is returned, and warned of above ``tolerance``.
 
 The classifier learns from at most ``max_labelled`` documents of each domain
 (least hash of doc_id), a documented bound. Posteriors, totals and rates cover
@@ -35,6 +42,7 @@ empty table gives an empty result; other columns are carried.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -42,7 +50,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructField, StructType
 
 from martcraft.llm.common import ROW, bounded_sample, carry, released, ship, stage
 from martcraft.llm.hashing import hashed_words_and_tails, pieces
@@ -52,7 +60,7 @@ from martcraft.llm.hashing import hashed_words_and_tails, pieces
 class MixRules:
     max_labelled: int = 2000
     bits: int = 17
-    min_sign: float = 6.0    # standard deviations by which a sign's rate must differ
+    levels: tuple[float, ...] = (1.5, 2.0, 2.5, 3.0, 4.0, 6.0)  # standard deviations by which a sign's rate must differ
     #: target share of tokens by domain name
     targets: tuple[tuple[str, float], ...] = (("quality=1,toxic=1", 0.02), ("quality=0,toxic=0", 0.01), ("quality=0,toxic=1", 0.01))
     max_steps: int = 60
@@ -105,13 +113,14 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return p / p.sum(axis=1, keepdims=True)
 
 
-def _calibrate(logits: np.ndarray, domain: np.ndarray, share: np.ndarray, steps: int = 3000) -> np.ndarray:
-    """Softmax regression by accelerated gradient steps; rows are weighted so
-    that the domains have their shares of the label table."""
+def _calibrate(logits: np.ndarray, domain: np.ndarray, share: np.ndarray, tokens: np.ndarray, steps: int = 1500) -> np.ndarray:
+    """Softmax regression by accelerated gradient steps; rows are weighted by
+    their tokens, and so that the domains have their shares of the label
+    table."""
     x, k = _inputs(logits), len(share)
     y = np.eye(k)[domain]
-    w = (share / np.maximum(y.sum(axis=0), 1))[domain]
-    w /= w.sum()
+    w = (share / np.maximum(y.sum(axis=0), 1))[domain] * np.maximum(tokens, 1)
+    w /= max(w.sum(), 1e-300)
     size = np.linalg.eigvalsh((x * w[:, None]).T @ x)[-1] / 2 + 1e-3
     now = before = np.zeros((x.shape[1], k))
     for t in range(steps):
@@ -127,54 +136,74 @@ def _domain() -> Column:
 
 def train(docs: DataFrame, labels: DataFrame, rules: MixRules) -> Classifier:
     ship(docs.sparkSession)
-    named = labels.select(F.col("doc_id").alias("_id"), _domain().alias("domain")).where("_id is not null and domain is not null")
-    here = docs.select(F.col("doc_id").alias("_here")).where("_here is not null").distinct()
-    named = stage(named.join(here, F.expr("_id = _here"), "left_semi"), "mixing-labels")
+    named = labels.select(F.col("doc_id").alias("__llm_id"), _domain().alias("domain")).where("__llm_id is not null and domain is not null")
+    here = docs.select(F.col("doc_id").alias("__llm_here")).where("__llm_here is not null").distinct()
+    named = stage(named.join(here, F.expr("__llm_id = __llm_here"), "left_semi"), "mixing-labels")
     share = {r.domain: r["count"] for r in named.groupBy("domain").count().collect()}  # as many as the labels have kinds
     names = sorted(share)
     if not names:
         return Classifier(["all"], np.zeros((1 << rules.bits, 1)), np.zeros((2, 1)), rules.bits)
     number = F.array_position(F.array(*[F.lit(n) for n in names]), F.col("domain")) - 1
-    picked = stage(bounded_sample(named.select("_id", number.cast("int").alias("_k")), "_id", rules.max_labelled, ("_k",)).withColumn(
-        "_half", F.pmod(F.xxhash64(F.col("_id").cast("string")), F.lit(2)).cast("int")), "mixing-chosen")
-    sample = docs.join(F.broadcast(picked), F.col("doc_id") == F.col("_id")).select("_k", "_half", F.col("text").cast("binary").alias("text"))
-    sample = stage(sample, "mixing-sample")
+    picked = stage(bounded_sample(named.select("__llm_id", number.cast("int").alias("__llm_k")), "__llm_id", rules.max_labelled, ("__llm_k",)).withColumn(
+        "__llm_half", F.pmod(F.xxhash64(F.col("__llm_id").cast("string")), F.lit(2)).cast("int")), "mixing-chosen")
+    sample = docs.join(F.broadcast(picked), F.col("doc_id") == F.col("__llm_id")).select(
+        "__llm_k", "__llm_half", F.col("text").cast("binary").alias("text"))
+    sample = stage(sample.toDF("k", "half", "text"), "mixing-sample")
     size, bits = 1 << rules.bits, rules.bits
-    out = StructType([StructField("cell", LongType()), StructField("n", LongType())])
+    out = StructType([StructField("half", IntegerType()), StructField("cell", LongType()), StructField("n", LongType())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts, k = b.column("text").to_pylist(), np.array(b.column("_k").to_pylist(), np.int64)
+            texts, k, half = b.column("text").to_pylist(), np.array(b.column("k").to_pylist(), np.int64), np.array(b.column("half").to_pylist(), np.int64)
             for part in pieces(texts):
                 at, cell, _ = signs(texts, part, bits)
-                cell, n = np.unique(k[part][at] * size + cell, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(n.astype(np.int64))], names=out.names)
-
-    def fitted(rows: DataFrame, weights: np.ndarray) -> Classifier:
-        docs_in = np.zeros((len(names), 1))
-        for r in rows.groupBy("_k").count().collect():
-            docs_in[r._k] = r["count"]
-        counts = np.zeros(len(names) * size)
-        for r in rows.mapInArrow(released(count), out).groupBy("cell").agg(F.sum("n").alias("n")).collect():  # cells are bounded
-            counts[r.cell] = r.n
-        counts = counts.reshape(len(names), size)
-        other, docs_out = counts.sum(axis=0) - counts, docs_in.sum() - docs_in
-        p = (counts + 0.5) / (docs_in + 1)
-        rest = (other + 0.5) / (docs_out + 1)
-        pool = (counts.sum(axis=0) + 0.5) / (docs_in.sum() + 1)
-        apart = np.abs(p - rest) / np.sqrt(pool * (1 - np.minimum(pool, 0.999)) * (1 / (docs_in + 1) + 1 / (docs_out + 1)))
-        shown = np.where(p > rest, counts, other) > 0  # a sign speaks only for a side that has it
-        table = np.where((apart >= rules.min_sign) & shown, np.log(p / rest), 0.0)
-        return Classifier(names, table.T.copy(), weights, bits)
+                both, n = np.unique((half[part][at] * len(names) + k[part][at]) * size + cell, return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array((both // (size * len(names))).astype(np.int32)), pa.array(both % (size * len(names))), pa.array(n.astype(np.int64))],
+                    names=out.names)
+
+    docs_in, counts = np.zeros((2, len(names))), np.zeros((2, len(names) * size))
+    for r in sample.groupBy("half", "k").count().collect():
+        docs_in[r.half, r.k] = r["count"]
+    for r in sample.mapInArrow(released(count), out).groupBy("half", "cell").agg(F.sum("n").alias("n")).collect():  # cells are bounded
+        counts[r.half, r.cell] = r.n
+    counts = counts.reshape(2, len(names), size)
+
+    def tables(half: int | None) -> list[np.ndarray]:
+        """Log ratios of the signs of one half (None: all) at each level."""
+        c = counts.sum(axis=0) if half is None else counts[half]
+        n = (docs_in.sum(axis=0) if half is None else docs_in[half])[:, None]
+        other, n_out = c.sum(axis=0) - c, n.sum() - n
+        p, rest = (c + 0.5) / (n + 1), (other + 0.5) / (n_out + 1)
+        pool = (c.sum(axis=0) + 0.5) / (n.sum() + 1)
+        apart = np.abs(p - rest) / np.sqrt(pool * (1 - np.minimum(pool, 0.999)) * (1 / (n + 1) + 1 / (n_out + 1)))
+        shown = np.where(p > rest, c, other) > 0  # a sign speaks only for a side that has it
+        return [np.where((apart >= z) & shown, np.log(p / rest), 0.0).T.copy() for z in rules.levels]
 
     part = np.array([share[n] for n in names], float) / sum(share.values())
+    halves = [np.concatenate(tables(half), axis=1) for half in (0, 1)]  # all levels side by side
+    held = []
+    for half in (0, 1):
+        both = Classifier([f"{i}" for i in range(halves[half].shape[1])], halves[half], np.zeros((halves[half].shape[1] + 1, 1)), bits)
+        held += _scored(sample.where(f"half = {1 - half}"), both, ["k", "half"]).collect()  # bounded by the sample
+    z, k = np.array([r.logits for r in held]).reshape(len(held), len(rules.levels), len(names)), np.array([r.k for r in held], np.int64)
+    tokens = np.array([r.tokens for r in held], float)
+    # one fold calibrates, the other judges the level
+    fold = np.arange(len(held)) % 2
+    losses = []
+    for i in range(len(rules.levels)):
+        lost = 0.0
+        for f in (0, 1):
+            own = _calibrate(z[fold != f, i], k[fold != f], part, tokens[fold != f], steps=400)
+            q = _softmax(_inputs(z[fold == f, i]) @ own)[np.arange((fold == f).sum()), k[fold == f]]
+            lost -= (tokens[fold == f] * np.log(np.maximum(q, 1e-12))).sum()
+        losses.append(lost)
+    best = int(np.argmin(losses))
     weights = np.zeros((len(names) + 1, len(names)))
     weights[-1] = np.log(part)
-    half = fitted(sample.where("_half = 0"), weights)
-    rest = _scored(sample.where("_half = 1"), half, ["_k"]).collect()  # bounded by the sample
-    if rest:
-        weights = _calibrate(np.array([r.logits for r in rest]), np.array([r._k for r in rest]), part)
-    return fitted(sample, weights)
+    if len(held) > len(names):
+        weights = _calibrate(z[:, best], k, part, tokens)
+    return Classifier(names, tables(None)[best], weights, bits)
 
 
 def _scored(docs: DataFrame, model: Classifier, keep: list[str]) -> DataFrame:
@@ -206,18 +235,22 @@ def _matrix(column: pa.Array, k: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, k)
 
 
-def totals(rows: DataFrame, k: int, steps: list[tuple[float, np.ndarray]]) -> np.ndarray:
-    """Expected tokens of each domain at the rates after ``steps``."""
+def totals(rows: DataFrame, k: int, steps: list[tuple[float, np.ndarray]], squares: bool = False) -> np.ndarray:
+    """Expected tokens of each domain at the rates after ``steps``; with
+    ``squares`` followed by the k x k sums of tokens * p p'."""
     out = StructType([StructField("y", ArrayType(DoubleType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        y = np.zeros(k)
+        y, h = np.zeros(k), np.zeros((k, k))
         for b in batches:
-            p = _matrix(b.column("p"), k)
-            y += (b.column("tokens").to_numpy() * _rates(p, steps)) @ p
-        yield pa.RecordBatch.from_arrays([pa.array([y.tolist()], pa.list_(pa.float64()))], names=["y"])
-
-    sums = rows.select("tokens", "p").mapInArrow(run, out).agg(*[F.sum(F.col("y")[i]).alias(f"y{i}") for i in range(k)]).first()
+            p, tokens = _matrix(b.column("p"), k), b.column("tokens").to_numpy()
+            y += (tokens * _rates(p, steps)) @ p
+            if squares:
+                h += (p * tokens[:, None]).T @ p
+        yield pa.RecordBatch.from_arrays([pa.array([y.tolist() + (h.ravel().tolist() if squares else [])], pa.list_(pa.float64()))], names=["y"])
+
+    n = k + k * k * squares
+    sums = rows.select("tokens", "p").mapInArrow(run, out).agg(*[F.sum(F.col("y")[i]).alias(f"y{i}") for i in range(n)]).first()
     return np.array([v or 0.0 for v in sums])
 
 
@@ -234,36 +267,49 @@ def goals(domains: list[str], own: np.ndarray, targets: tuple[tuple[str, float],
     return own.sum() * (share / share.sum() if share.sum() > 0 else own / max(own.sum(), 1e-300))
 
 
-def fit_rates(rows: DataFrame, domains: list[str], rules: MixRules) -> list[tuple[float, np.ndarray]]:
+@dataclass
+class Fit:
+    steps: list[tuple[float, np.ndarray]]
+    residual: float  # share of all tokens by which the totals miss the targets
+
+
+def fit_rates(rows: DataFrame, domains: list[str], rules: MixRules) -> Fit:
     """The projected-gradient steps. Totals are linear in the rates, so those
     at the moved point follow from the last two."""
     steps: list[tuple[float, np.ndarray]] = []
-    own = y = last = totals(rows, len(domains), steps)
+    k = len(domains)
+    first = totals(rows, k, steps, squares=True)
+    own = y = last = first[:k]
     if not own.sum():
-        return steps
+        return Fit(steps, 0.0)
     b = goals(domains, own, rules.targets)
+    inverse = np.linalg.pinv(first[k:].reshape(k, k), rcond=1e-10, hermitian=True)
     since, off = 0, np.abs(y - b).sum()
     while len(steps) < rules.max_steps and off > rules.tolerance * own.sum():
         m = since / (since + 3.0)
         moved = y + m * (y - last)
-        steps.append((m, (moved - b) / np.where(own > 0, own, np.inf)))
-        last, y = y, totals(rows, len(domains), steps)
+        steps.append((m, inverse @ (moved - b)))
+        last, y = y, totals(rows, k, steps)
         before, off = off, np.abs(y - b).sum()
         since = 0 if off > before else since + 1
-    return steps
+    if off > rules.tolerance * own.sum():
+        warnings.warn(f"mixing: the totals are {off / own.sum():.4f} of all tokens off their targets", stacklevel=2)
+    return Fit(steps, float(off / own.sum()))
 
 
 def mix(docs: DataFrame, labels: DataFrame, rules: MixRules = MixRules(), keep_row: bool = False) -> DataFrame:
     """doc_id (or the carried row), tokens, domain (likeliest), p (posterior
-    over ``domains``), domains, rate, and copies: the rate rounded up or down
-    at random by a hash of doc_id."""
+    over ``domains``), domains, rate, copies: the rate rounded up or down at
+    random by a hash of doc_id, and residual: the share of all tokens by which
+    the expected totals miss the targets."""
     model = train(docs, labels, rules)
     first = [carry(docs)] if keep_row else []
     src = docs.select(*first, "doc_id", F.col("text").cast("binary").alias("text"))
     keep = [f.name for f in src.schema.fields if f.name != "text"]
     rows = stage(_scored(src, model, keep).drop("logits"), "mixing-posteriors")
     k = len(model.domains)
-    steps = fit_rates(rows, model.domains, rules)
+    fit = fit_rates(rows, model.domains, rules)
+    steps = fit.steps
     out = StructType([*rows.schema.fields, StructField("rate", DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -275,7 +321,7 @@ def mix(docs: DataFrame, labels: DataFrame, rules: MixRules = MixRules(), keep_r
     chance = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("mix")), F.lit(1 << 30)) / (1 << 30)
     return rows.mapInArrow(released(run), out).select(
         *keep, "tokens", F.element_at(names, F.array_position("p", F.array_max("p")).cast("int")).alias("domain"), "p",
-        names.alias("domains"), "rate", F.floor(F.col("rate") + chance).cast("int").alias("copies"))
+        names.alias("domains"), "rate", F.floor(F.col("rate") + chance).cast("int").alias("copies"), F.lit(fit.residual).alias("residual"))
 
 
 def resample(docs: DataFrame, labels: DataFrame, rules: MixRules = MixRules()) -> DataFrame:

@@ -150,9 +150,9 @@ def links(fps: DataFrame, max_distance: int = 4, segments: int = 3, hot_bucket:
     return pairs.union(hooks)
 
 
-def near_duplicates(docs: DataFrame, words: int = 4, max_distance: int = 4, segments: int = 3,
-                    hot_bucket: int = 64) -> DataFrame:
-    """doc_id, fp and component_id (the least doc_id reachable) of every row."""
+def _rooted(docs: DataFrame, words: int, max_distance: int, segments: int = 3, hot_bucket: int = 64) -> DataFrame:
+    """doc_id, fp, component_id (the least doc_id reachable) and root (the
+    component's least fingerprint) of every row."""
     ship(docs.sparkSession)
     fps = stage(fingerprints(docs, words), "simhash-fps")
     reps = stage(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash-distinct")
@@ -160,8 +160,14 @@ def near_duplicates(docs: DataFrame, words: int = 4, max_distance: int = 4, segm
     rooted = reps.join(nodes, F.col("fp") == F.col("node"), "left").select(
         "fp", "rep", F.coalesce("root", "fp").alias("root"))
     least = stage(rooted.groupBy("root").agg(F.min("rep").alias("component_id")), "simhash-least")
-    ids = stage(rooted.join(least, "root").select("fp", "component_id"), "simhash-components")
-    return fps.join(ids, "fp").select("doc_id", "fp", "component_id")
+    ids = stage(rooted.join(least, "root").select("fp", "component_id", "root"), "simhash-components")
+    return fps.join(ids, "fp").select("doc_id", "fp", "component_id", "root")
+
+
+def near_duplicates(docs: DataFrame, words: int = 4, max_distance: int = 4, segments: int = 3,
+                    hot_bucket: int = 64) -> DataFrame:
+    """doc_id, fp and component_id (the least doc_id reachable) of every row."""
+    return _rooted(docs, words, max_distance, segments, hot_bucket).drop("root")
 
 
 def hex_digits(fp: str = "fp") -> Column:
@@ -170,20 +176,24 @@ def hex_digits(fp: str = "fp") -> Column:
 
 def deduplicate(docs: DataFrame, words: int = 4, max_distance: int = 4) -> DataFrame:
     """One row of each component: the one with the least doc_id; of repeated
-    rows with that id one stays. Rows whose doc_id is null all stay. Columns
-    as in ``docs``.
+    rows with that id one stays. Components are told apart by their
+    fingerprints, so groups that share their least id keep a row each. Rows
+    whose doc_id is null all stay. Columns as in ``docs``, of any type.
 
     Texts move in one join at most, against the ids to drop; no stage table
     holds them. Ids that several rows share are decided row by row."""
-    found = stage(near_duplicates(docs, words, max_distance).where("doc_id is not null"), "simhash-found")
-    shared = stage(found.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_id")), "simhash-shared")
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_id")).union(shared).distinct()
-    once = docs.join(stage(gone, "simhash-gone"), F.col("doc_id") == F.col("_id"), "left_anti")
+    one_id, one_fp = "__llm_id", "__llm_fp"
+    found = stage(_rooted(docs, words, max_distance).where("doc_id is not null"), "simhash-found")
+    shared = stage(found.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias(one_id)), "simhash-shared")
+    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias(one_id)).union(shared).distinct()
+    once = docs.join(stage(gone, "simhash-gone"), F.col("doc_id") == F.col(one_id), "left_anti")
     if shared.isEmpty():
         return once
-    rows = fingerprints(docs.join(shared, F.col("doc_id") == F.col("_id"), "left_semi"), words, keep_row=True)
-    decided = found.join(shared, F.col("doc_id") == F.col("_id"), "left_semi").select(
-        F.col("doc_id").alias("_id"), F.col("fp").alias("_fp"), "component_id").distinct()
-    one = (rows.join(decided, (F.col("doc_id") == F.col("_id")) & (F.col("fp") == F.col("_fp")) & (F.col("doc_id") == F.col("component_id")))
-           .groupBy("doc_id").agg(F.min(ROW).alias(ROW)))
+    rows = fingerprints(docs.join(shared, F.col("doc_id") == F.col(one_id), "left_semi"), words, keep_row=True)
+    decided = found.join(shared, F.col("doc_id") == F.col(one_id), "left_semi").where("doc_id = component_id").select(
+        F.col("doc_id").alias(one_id), F.col("fp").alias(one_fp), "root").distinct()
+    # maps have no order: they do not choose among rows that share id and group
+    order = [F.col(f"{ROW}.`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    one = (rows.join(decided, (F.col(f"{ROW}.doc_id") == F.col(one_id)) & (F.col("fp") == F.col(one_fp)))
+           .groupBy(F.col(one_id), F.col("root")).agg(F.min_by(ROW, F.struct(*order)).alias(ROW)))
     return once.union(one.select(f"{ROW}.*"))

@@ -46,7 +46,7 @@ def test_probabilities_sum_to_one(spark):
         net.parts[i] += np.random.default_rng(3).normal(size=net.parts[i].shape).astype(np.float32)
     sides = np.array([[0, 1], [3, 2], [1, 4], [2, 2]], np.int32)
     every = np.arange(len(words.klass))
-    both = [net.token_log_probs(np.repeat(sides[:, i:i + 1], len(every), axis=1), words.klass, words.member) for i in (0, 1)]
+    both = [net.token_log_probs(np.repeat(sides[:, i:i + 1], len(every), axis=1), words.klass, np.arange(len(words.klass))) for i in (0, 1)]
     assert all(abs(np.exp(p).sum() - 1) < 1e-3 for p in both)
     # the sides change the tokens' shares inside a class
     inside = [p[words.klass == 3] - np.log(np.exp(p[words.klass == 3]).sum()) for p in both]
@@ -59,9 +59,9 @@ def test_gradient():
     rules = L.LmRules(rare=8, classes=5, width=3)
     net, rng = L.Network(words, rules), np.random.default_rng(0)
     sides, x = rng.integers(0, 47, (4, 50)), rng.integers(0, 47, 50)
-    loss = lambda: -float(net.token_log_probs(sides, words.klass[x], words.member[x]).astype(float).mean())
+    loss = lambda: -float(net.token_log_probs(sides, words.klass[x], x).astype(float).mean())
     net.parts = [p.astype(float) for p in net.parts]
-    rows, grads = net.gradient(sides, words.klass[x], words.member[x])
+    rows, grads = net.gradient(sides, words.klass[x], x)
     for i, g in enumerate(grads):
         full = net.parts[i] if rows[i] is None else net.parts[i].reshape(-1, net.parts[i].shape[-1])
         for at in [tuple(rng.integers(0, d) for d in g.shape) for _ in range(5)]:

@@ -31,6 +31,7 @@ def test_stage_meets_targets(spark):
     share = np.array([named.get(d, 0.0) for d in present])
     free = np.array([0.0 if d in named else x for d, x in zip(present, own)])
     want = tokens.sum() * (share + (1 - share.sum()) * free / free.sum())
+    inverse = np.linalg.inv((p * tokens[:, None]).T @ p)
     # the steps in plain numpy, totals taken from the rates themselves
     total = lambda x: (tokens * x) @ p
     r = before = np.ones(len(p))
@@ -41,7 +42,7 @@ def test_stage_meets_targets(spark):
             break
         since = 0 if worse else since
         v = r + since / (since + 3) * (r - before)
-        before, r = r, np.maximum(0, v - p @ ((total(v) - want) / own))
+        before, r = r, np.maximum(0, v - p @ (inverse @ (total(v) - want)))
         since += 1
     assert np.abs(total(np.array([x.rate for x in rows])) - want).sum() <= rules.tolerance * tokens.sum()
     assert np.abs(np.array([x.rate for x in rows]) - r).max() < 1e-6

@@ -105,6 +105,15 @@ def test_shared_ids_are_decided_row_by_row(spark):
     assert got == sorted({data[0], data[3], data[5]})
 
 
+def test_groups_with_one_least_id_keep_a_row_each(spark):
+    a, b = " ".join(f"w{i}" for i in range(60)), " ".join(f"v{i}" for i in range(60))
+    data = [(1, a, {"k": 1}, "x"), (1, b, {"k": 2}, "y"), (2, a, None, "x"), (3, b, {}, "y"), (1, b, {"k": 3}, "a")]
+    df = spark.createDataFrame(data, "doc_id long, text string, extra map<string,int>, _id string")
+    out = S.deduplicate(df)
+    assert out.columns == df.columns
+    assert sorted(map(tuple, out.collect()), key=lambda r: r[1]) == [data[4], data[0]]
+
+
 def test_components_on_random_graphs(spark):
     rng = random.Random(5)
     edges = [(rng.randrange(120), rng.randrange(120)) for _ in range(70)] + [(i, i + 1) for i in range(200, 240)] + [(300, i) for i in range(301, 330)]
