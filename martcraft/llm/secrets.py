@@ -4,36 +4,43 @@ Three patterns give the base spans (``assign``, ``access``, ``hex``). Two
 first-order character models, one of random strings and one of ordinary
 identifiers, are trained on labelled samples, all of them from the scanned
 table: the values of the base spans are the random strings, every other token
-is an ordinary one. Tokens of ``min_length`` or more characters that hold a
-letter and a digit and touch no base span are compared by the log-likelihood
-ratio of the two models; those at ``min_ratio`` nats or more become spans of
-kind ``random``. The scan reads the texts once: it writes base spans,
-candidates and transition counts of each batch as a stage table; the counts
-are summed by Spark over all documents.
+is an ordinary one. Every token of ``min_length`` or more characters that
+touches no base span, whatever it is made of, is compared by the
+log-likelihood ratio of the two models; those at the limit of their length or
+above become spans of kind ``random``.
+
+Short strings carry less evidence, so the limits go by classes of length and
+are learned from the samples too: the ratio that at most ``false_rate`` of the
+class' ordinary tokens reach, but no more than 0.3 of what a labelled random
+string of that length scores (the ordinary tokens may hold unlabelled secrets),
+and ``min_ratio`` at least.
+
+The texts are scanned three times, for transition counts, for a histogram of
+ratios and for the spans. A scan sends one row a partition or a document's
+spans; the counts are summed by Spark over all documents.
 
 Spans are ``kind:start:end`` in code points, end exclusive, of the whole
 match. Defined cases: null text is scanned as empty; an empty text has no
 spans and the digest of the empty string; with no labelled sample the random
-model is uniform; repeated rows and null ids come back each; an empty table
-gives an empty result; ``redact`` leaves other columns untouched.
+model is uniform; texts are scanned whole, in pieces of 4 MB or one text;
+repeated rows and null ids come back each; an empty table gives an empty
+result; ``redact`` leaves other columns untouched.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType)
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from martcraft.llm.common import released, ship, stage
+from martcraft.llm.common import released, ship
 from martcraft.llm.hashing import pieces
 
 ASSIGN = re.compile(rb"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE)
@@ -54,24 +61,28 @@ _IS_HEX[np.frombuffer(b"0123456789abcdef", np.uint8)] = True
 SMOOTH = 200.0
 
 SPAN = StructType([StructField("kind", IntegerType()), StructField("start", LongType()), StructField("end", LongType())])
-CANDIDATE = StructType([StructField("start", LongType()), StructField("end", LongType()), StructField("token", BinaryType())])
-
 
 @dataclass(frozen=True)
 class SecretRules:
     min_assign: int = 8
     min_access: int = 16
     min_hex: int = 32
-    min_length: int = 20
-    min_ratio: float = 8.0
+    min_length: int = 8
+    min_ratio: float = 2.0
+    false_rate: float = 1e-4
+
 
+#: First length of each class, and the histogram's bins: whole nats.
+LENGTHS = np.array([1, 8, 10, 12, 14, 16, 20, 24, 32, 48])
+LOW, BINS = -128, 384
 
-def _runs(flag: np.ndarray, least: int) -> list[tuple[int, int]]:
-    """Maximal runs of True of ``least`` or more, as (start, end)."""
+
+def _runs(flag: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the maximal runs of True of ``least`` or more."""
     edge = np.flatnonzero(np.diff(np.concatenate([[0], flag.view(np.int8), [0]])))
     starts, ends = edge[::2], edge[1::2]
     long = ends - starts >= least
-    return list(zip(starts[long].tolist(), ends[long].tolist()))
+    return starts[long], ends[long]
 
 
 def base_spans(text: bytes, rules: SecretRules, hex_runs: list[tuple[int, int]] | None = None) -> tuple[list, list]:
@@ -105,55 +116,86 @@ def _points(text: bytes, spots: list[int]) -> dict[int, int]:
     return out
 
 
-def _outside(tokens: list, base: list) -> list:
-    """The tokens that touch none of the (kind, start, end) spans."""
-    if not base or not tokens:
-        return tokens
-    spans = sorted((s, e) for _, s, e in base)
-    reach, starts = list(accumulate((e for _, e in spans), max)), [s for s, _ in spans]
-    return [t for t in tokens if not (i := bisect_left(starts, t[1])) or reach[i - 1] <= t[0]]
-
-
-def _scan_batch(texts: list[bytes], rules: SecretRules) -> tuple[list, list, np.ndarray]:
-    """Base spans and candidates of each text; transition counts of the
-    random (row 0) and the other tokens (row 1)."""
-    buf = b"\n".join(texts) + b"\n"
-    raw = np.frombuffer(buf, np.uint8)
-    starts = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])]).astype(np.int64)
-    code = _CODE[raw]
-    cell = np.concatenate([[0], code[:-1]]).astype(np.int32) * CODES + code
-    inside = code > 0
-    counts = np.zeros((2, CODES * CODES), np.int64)
-    counts[1] = np.bincount(cell[inside], minlength=CODES * CODES)
-    per_hex: dict[int, list] = {}
-    for a, b in _runs(_IS_HEX[raw], rules.min_hex):
-        d = int(np.searchsorted(starts, a, "right")) - 1
-        per_hex.setdefault(d, []).append((a - int(starts[d]), b - int(starts[d])))
-    per_token: dict[int, list] = {}
-    for a, b in _runs(inside, rules.min_length):
-        token = buf[a:b]
-        if re.search(rb"[0-9]", token) and re.search(rb"[A-Za-z]", token):
-            d = int(np.searchsorted(starts, a, "right")) - 1
-            per_token.setdefault(d, []).append((a - int(starts[d]), b - int(starts[d]), token))
-    spans, candidates = [], []
-    for d, text in enumerate(texts):
-        base, values = base_spans(text, rules, per_hex.get(d, []))
-        found = _outside(per_token.get(d, []), base)
-        if base or found:
-            at = _points(text, [x for _, s, e in base for x in (s, e)] + [x for s, e, _ in found for x in (s, e)])
-            base = sorted((at[s], k, at[e]) for k, s, e in base)
-            done = np.zeros(len(text), bool)
+def _outside(starts: np.ndarray, ends: np.ndarray, base: list) -> np.ndarray:
+    """Which of the tokens touch none of the (kind, start, end) spans."""
+    spans = np.array(sorted((s, e) for _, s, e in base)).reshape(-1, 2)
+    reach = np.concatenate([[-1], np.maximum.accumulate(spans[:, 1])])
+    return reach[np.searchsorted(spans[:, 0], ends)] <= starts
+
+
+class Scan:
+    """A batch of texts, each with a line feed behind it: base spans, tokens
+    and the transitions into each byte."""
+
+    def __init__(self, texts: list[bytes], rules: SecretRules) -> None:
+        self.texts, self.rules = texts, rules
+        raw = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
+        self.first = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])]).astype(np.int64)
+        code = _CODE[raw]
+        self.cell = np.concatenate([[0], code[:-1]]).astype(np.int32) * CODES + code
+        self.inside = code > 0
+        per_hex: dict[int, list] = {}
+        for a, b in zip(*(x.tolist() for x in _runs(_IS_HEX[raw], rules.min_hex))):
+            d = int(np.searchsorted(self.first, a, "right")) - 1
+            per_hex.setdefault(d, []).append((a - int(self.first[d]), b - int(self.first[d])))
+        self.base, self.values = {}, {}
+        for d, text in enumerate(texts):
+            base, values = base_spans(text, rules, per_hex.get(d, []))
+            if base:
+                self.base[d], self.values[d] = base, values
+
+    def counts(self) -> np.ndarray:
+        """Transitions of the random (row 0) and the other tokens (row 1)."""
+        counts = np.zeros((2, CODES * CODES), np.int64)
+        counts[1] = np.bincount(self.cell[self.inside], minlength=CODES * CODES)
+        for d, values in self.values.items():
+            here = slice(int(self.first[d]), int(self.first[d]) + len(self.texts[d]))
+            done = np.zeros(len(self.texts[d]), bool)
             for s, e in values:
                 done[s:e] = True
-            if values:
-                own = cell[starts[d]:starts[d] + len(text)][done & inside[starts[d]:starts[d] + len(text)]]
-                moved = np.bincount(own, minlength=CODES * CODES)
-                counts[0] += moved
-                counts[1] -= moved
-            found = [(at[s], at[e], t) for s, e, t in found]
-        spans.append([{"kind": k, "start": s, "end": e} for s, k, e in base])
-        candidates.append([{"start": s, "end": e, "token": t} for s, e, t in found])
-    return spans, candidates, counts
+            moved = np.bincount(self.cell[here][done & self.inside[here]], minlength=CODES * CODES)
+            counts[0] += moved
+            counts[1] -= moved
+        return counts
+
+    def scored(self, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Starts, ends and ratios of the tokens that touch no base span."""
+        starts, ends = _runs(self.inside, self.rules.min_length)
+        for d, base in self.base.items():
+            lo, hi = np.searchsorted(starts, self.first[d:d + 2])
+            free = np.ones(len(starts), bool)
+            free[lo:hi] = _outside(starts[lo:hi] - self.first[d], ends[lo:hi] - self.first[d], base)
+            starts, ends = starts[free], ends[free]
+        ratio = np.concatenate([[0.0], np.cumsum(table.ravel()[self.cell])])  # 0 at other characters
+        return starts, ends, ratio[ends] - ratio[starts]
+
+    def histogram(self, table: np.ndarray) -> np.ndarray:
+        """Of ordinary tokens, by class of length and whole nats; then, in one
+        more row, of the base values' nats for each 100 characters."""
+        out = np.zeros((len(LENGTHS) + 1, BINS), np.int64)
+        starts, ends, ratio = self.scored(table)
+        klass = np.searchsorted(LENGTHS, ends - starts, "right") - 1
+        nats = np.clip(np.floor(ratio).astype(np.int64) - LOW, 0, BINS - 1)
+        out[:-1] = np.bincount(klass * BINS + nats, minlength=len(LENGTHS) * BINS).reshape(len(LENGTHS), BINS)
+        for d, values in self.values.items():
+            for s, e in values:
+                each = 100 * score_token(self.texts[d][s:e], table) / (e - s)
+                out[-1, int(np.clip(each - LOW, 0, BINS - 1))] += 1
+        return out
+
+    def spans(self, table: np.ndarray, limits: np.ndarray) -> list[list[dict]]:
+        """Base and random spans of each text, in code points, by start."""
+        starts, ends, ratio = self.scored(table)
+        hit = ratio >= limits[np.searchsorted(LENGTHS, ends - starts, "right") - 1]
+        starts, ends = starts[hit], ends[hit]
+        cut = np.searchsorted(starts, self.first)
+        out = []
+        for d, text in enumerate(self.texts):
+            own = self.base.get(d, []) + [(3, a, b) for a, b in zip(
+                (starts[cut[d]:cut[d + 1]] - self.first[d]).tolist(), (ends[cut[d]:cut[d + 1]] - self.first[d]).tolist())]
+            at = _points(text, [x for _, s, e in own for x in (s, e)])
+            out.append([{"kind": k, "start": s, "end": e} for s, k, e in sorted((at[s], k, at[e]) for k, s, e in own)])
+        return out
 
 
 T_SPAN = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int64()), ("end", pa.int64())]))
@@ -164,45 +206,30 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("_text"))
 
 
-def scan(docs: DataFrame, rules: SecretRules) -> DataFrame:
-    """One row a document (base, candidates) and one a partition (counts, the
-    rest null)."""
-    src = _texts(docs)
-    id_field = StructField("doc_id", docs.schema["doc_id"].dataType)  # null in the counts' rows
-    out = StructType([id_field, StructField("base", ArrayType(SPAN)), StructField("candidates", ArrayType(CANDIDATE)),
-                      StructField("counts", ArrayType(LongType()))])
-    t_cand = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("token", pa.binary())]))
+def _summed(docs: DataFrame, rules: SecretRules, of, size: int) -> np.ndarray:
+    """The sum over all texts of ``of(scan)``, ``size`` numbers: a row a
+    partition, summed by Spark."""
+    out = StructType([StructField("counts", ArrayType(LongType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((2, CODES * CODES), np.int64)
-        id_type = None
+        total = np.zeros(size, np.int64)
         for b in batches:
-            texts, spans, cands = b.column("_text").to_pylist(), [], []
+            texts = b.column("_text").to_pylist()
             for part in pieces(texts, 4_000_000):  # bounds the arrays over the bytes
-                found = _scan_batch([texts[i] for i in part], rules)
-                spans += found[0]
-                cands += found[1]
-                total += found[2]
-            id_type = b.column("doc_id").type
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(spans, T_SPAN), pa.array(cands, t_cand), pa.nulls(len(b), pa.list_(pa.int64()))], names=out.names)
-        if id_type is not None:
-            yield pa.RecordBatch.from_arrays(
-                [pa.nulls(1, id_type), pa.nulls(1, T_SPAN), pa.nulls(1, t_cand),
-                 pa.array([total.ravel().tolist()], pa.list_(pa.int64()))], names=out.names)
+                total += of(Scan([texts[i] for i in part], rules)).ravel()
+        yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], pa.list_(pa.int64()))], names=out.names)
 
-    return src.mapInArrow(released(run), out)
+    rows = _texts(docs).select("_text").mapInArrow(released(run), out)
+    sums = rows.select(F.posexplode("counts").alias("i", "n")).groupBy("i").agg(F.sum("n").alias("n")).where("n > 0").collect()
+    counts = np.zeros(size)
+    for r in sums:  # one number a cell
+        counts[r.i] = r.n
+    return counts
 
 
-def ratio_table(scanned: DataFrame) -> np.ndarray:
-    """Log-likelihood ratio of each transition, random over ordinary. The sum
-    over all batches is Spark's; what comes to the driver is one number a cell."""
-    rows = (scanned.where("counts is not null").select(F.posexplode("counts").alias("i", "n"))
-            .groupBy("i").agg(F.sum("n").alias("n")).where("n > 0").collect())
-    counts = np.zeros(2 * CODES * CODES)
-    for r in rows:
-        counts[r.i] = r.n
-    counts = counts.reshape(2, CODES, CODES)[:, :, 1:]
+def ratio_table(docs: DataFrame, rules: SecretRules) -> np.ndarray:
+    """Log-likelihood ratio of each transition, random over ordinary."""
+    counts = _summed(docs, rules, Scan.counts, 2 * CODES * CODES).reshape(2, CODES, CODES)[:, :, 1:]
     # each transition is smoothed by the character's own rate in its model
     single = counts.sum(axis=1, keepdims=True) + 0.5
     single /= single.sum(axis=2, keepdims=True)
@@ -215,38 +242,46 @@ def score_token(token: bytes, table: np.ndarray) -> float:
     return float(table[np.concatenate([[0], code[:-1]]), code].sum())
 
 
-def _all_spans(base: list, candidates: list, table: np.ndarray, rules: SecretRules) -> list:
-    """Base spans and those of the candidates that look random, in order."""
-    more = [{"kind": 3, "start": c["start"], "end": c["end"]} for c in candidates if score_token(c["token"], table) >= rules.min_ratio]
-    return sorted(base + more, key=lambda s: (s["start"], s["kind"]))
+def limits_of(histogram: np.ndarray, rules: SecretRules) -> np.ndarray:
+    """Least ratio of each class of lengths."""
+    ordinary, labelled = histogram[:-1], histogram[-1]
+    over = np.cumsum(ordinary[:, ::-1], axis=1)[:, ::-1]  # tokens at this many nats or more
+    few = over <= rules.false_rate * ordinary.sum(axis=1, keepdims=True)
+    tail = np.where(few.any(axis=1), few.argmax(axis=1), BINS) + LOW
+    if labelled.sum():
+        each = (np.searchsorted(np.cumsum(labelled), labelled.sum() / 2) + LOW) / 100
+        tail = np.minimum(tail, 0.3 * each * LENGTHS)
+    return np.maximum(tail, rules.min_ratio).astype(float)
+
+
+def learn(docs: DataFrame, rules: SecretRules) -> tuple[np.ndarray, np.ndarray]:
+    """The ratio of each transition, and the limits."""
+    table = ratio_table(docs, rules)
+    found = _summed(docs, rules, lambda scan: scan.histogram(table), (len(LENGTHS) + 1) * BINS)
+    return table, limits_of(found.reshape(-1, BINS), rules)
 
 
 def find(docs: DataFrame, rules: SecretRules = SecretRules()) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, n_random, base_sha256, spans (string)
     and found (array of spans)."""
-    scanned = stage(scan(docs, rules), "secrets-scan")
-    table = ratio_table(scanned)
-    rows = scanned.where("counts is null").drop("counts")
+    table, limits = learn(docs, rules)
     longs = ("n_assign", "n_access", "n_hex", "n_random")
     out = StructType([StructField("doc_id", docs.schema["doc_id"].dataType), *[StructField(n, LongType()) for n in longs],
                       StructField("base_sha256", StringType()), StructField("spans", StringType()), StructField("found", ArrayType(SPAN))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        text = lambda spans: ",".join(f"{KINDS[s['kind']]}:{s['start']}:{s['end']}" for s in spans)
+        line = lambda spans: ",".join(f"{KINDS[s['kind']]}:{s['start']}:{s['end']}" for s in spans)
         for b in batches:
-            counts, digests, strings, found = [], [], [], []
-            for base, cands in zip(b.column("base").to_pylist(), b.column("candidates").to_pylist()):
-                every = _all_spans(base, cands, table, rules)
-                counts.append([sum(s["kind"] == k for s in every) for k in range(4)])
-                digests.append(hashlib.sha256(text(base).encode()).hexdigest())
-                strings.append(text(every))
-                found.append(every)
-            n = np.array(counts, np.int64).reshape(-1, 4)
+            texts, found = b.column("_text").to_pylist(), []
+            for part in pieces(texts, 4_000_000):
+                found += Scan([texts[i] for i in part], rules).spans(table, limits)
+            n = np.array([[sum(s["kind"] == k for s in every) for k in range(4)] for every in found], np.int64).reshape(-1, 4)
+            digests = [hashlib.sha256(line([s for s in every if s["kind"] < 3]).encode()).hexdigest() for every in found]
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), *[pa.array(n[:, i].copy()) for i in range(4)],
-                 pa.array(digests, pa.string()), pa.array(strings, pa.string()), pa.array(found, T_SPAN)], names=out.names)
+                [b.column("doc_id"), *[pa.array(n[:, i].copy()) for i in range(4)], pa.array(digests, pa.string()),
+                 pa.array([line(every) for every in found], pa.string()), pa.array(found, T_SPAN)], names=out.names)
 
-    return rows.mapInArrow(run, out)
+    return _texts(docs).mapInArrow(released(run), out)
 
 
 def _without(text: bytes, spans: list, mark: str) -> str:
@@ -262,19 +297,17 @@ def _without(text: bytes, spans: list, mark: str) -> str:
 
 def redact(docs: DataFrame, rules: SecretRules = SecretRules(), mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with every span replaced by ``mark`` (overlapping spans by
-    one), ``n_chars`` set anew where the text changed. The texts are scanned
-    twice, once for the models and once to replace, so that no row is staged
-    and nothing but a row's id leaves the first scan beside its spans."""
-    table = ratio_table(stage(scan(docs, rules).where("counts is not null").select("counts"), "secrets-counts"))
+    one), ``n_chars`` set anew where the text changed. No row is staged, and
+    the last scan replaces as it finds."""
+    table, limits = learn(docs, rules)
     counted = "n_chars" in docs.columns and docs.schema["n_chars"].dataType in (IntegerType(), LongType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts, changed = b.column("text").cast(pa.binary()).to_pylist(), {}
             for part in pieces(texts, 4_000_000):
-                base, candidates, _ = _scan_batch([texts[i] or b"" for i in part], rules)
-                for i, own, cands in zip(part, base, candidates):
-                    if spans := _all_spans(own, cands, table, rules):
+                for i, spans in zip(part, Scan([texts[i] or b"" for i in part], rules).spans(table, limits)):
+                    if spans:
                         changed[i] = _without(texts[i], spans, mark)
             del texts
             if changed:
@@ -286,5 +319,4 @@ def redact(docs: DataFrame, rules: SecretRules = SecretRules(), mark: str = "[SE
                 b = pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
             yield b
 
-    ship(docs.sparkSession)
     return docs.mapInArrow(released(run), docs.schema)

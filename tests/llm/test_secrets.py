@@ -4,6 +4,8 @@ import hashlib
 import random
 import re
 
+import numpy as np
+
 from martcraft.llm import secrets as S
 
 SCHEMA = "doc_id long, text string, spans string, n_chars long"
@@ -67,3 +69,60 @@ def test_redact(spark):
             assert got[i].text == text
     assert S.redact(df.where("false")).count() == 0
     assert S.find(df.where("false")).count() == 0
+
+
+def test_short_and_one_kind_strings_go_by_the_ratio(spark):
+    """12- and 16-character keys and letters-only keys among ordinary words, at
+    a false rate of at most 2 in 1,000 other words of that length."""
+    rng = random.Random(4)
+    alnum, letters = "ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz0123456789", "ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz"
+    key = lambda n, chars=alnum: "".join(rng.choice(chars) for _ in range(n))
+    ends = ["ation", "ingness", "ership", "ability", "ement"]
+    word = lambda: rng.choice(["the", "inter", "over", "under", "counter"]) + rng.choice(["nation", "stand", "form", "place", "port"]) + rng.choice(ends)
+    docs, planted = [], {}
+    for i in range(300):
+        words = [word() for _ in range(80)]
+        if i % 3 == 0:
+            words[7] = f"token={key(40)}"
+        if i % 3 == 1:
+            planted[i] = key(12) if i % 2 else key(16) if i % 4 else key(24, letters)
+            words[9] = planted[i]
+        docs.append((i, " ".join(words), "x", 1))
+    got = {r.doc_id: (t, [s.split(":") for s in r.spans.split(",") if s.startswith("random")]) for r in S.find(spark.createDataFrame(docs, SCHEMA)).collect()
+           for t in [docs[r.doc_id][1]]}
+    hits = {i: {t[int(a):int(b)] for _, a, b in spans} for i, (t, spans) in got.items()}
+    found = {n: [p in hits[i] for i, p in planted.items() if len(p) == n] for n in (12, 16, 24)}
+    assert all(len(f) >= 20 and sum(f) / len(f) >= 0.9 for f in found.values()), {n: sum(f) / len(f) for n, f in found.items()}
+    wrong = sum(len(h - {planted.get(i)}) for i, h in hits.items())
+    assert wrong <= 0.002 * 300 * 80
+
+
+def test_scores_and_limits_equal_plain_ones():
+    texts = [t.encode() for _, t, *_ in rows() if t] * 2
+    rules = S.SecretRules()
+    table = np.random.default_rng(0).normal(size=(S.CODES, S.CODES))
+    table[:, 0] = 0
+    scan = S.Scan(texts, rules)
+    want = []
+    for d, t in enumerate(texts):
+        base, _ = S.base_spans(t, rules)
+        for m in re.finditer(rb"[A-Za-z0-9+/_=-]{8,}", t):
+            if not any(m.start() < e and s < m.end() for _, s, e in base):
+                want.append((scan.first[d] + m.start(), scan.first[d] + m.end(), S.score_token(m[0], table)))
+    starts, ends, ratio = scan.scored(table)
+    assert list(zip(starts, ends)) == [w[:2] for w in want] and np.allclose(ratio, [w[2] for w in want])
+    histogram = scan.histogram(table)
+    assert histogram[:-1].sum() == len(want)
+    limits = S.limits_of(histogram, S.SecretRules(false_rate=0.2, min_ratio=-999.0))
+    labelled = sorted(100 * S.score_token(t[s:e], table) / (e - s) for t in texts for s, e in S.base_spans(t, rules)[1])
+    cap = np.floor(labelled[(len(labelled) - 1) // 2]) / 100 * 0.3
+    for k, low in enumerate(S.LENGTHS):
+        own = [w[2] for w in want if np.searchsorted(S.LENGTHS, w[1] - w[0], "right") - 1 == k]
+        tail = min(x for x in range(S.LOW, S.LOW + S.BINS + 1) if sum(np.floor(o) >= x for o in own) <= 0.2 * len(own))
+        assert abs(limits[k] - min(tail, cap * low)) < 1e-9
+
+
+def test_many_spans_in_one_text(spark):
+    text = " ".join(f"token=abcdefgh{i}" for i in range(20_000))
+    r = S.find(spark.createDataFrame([(1, text, "", 0)], SCHEMA)).first()
+    assert r.n_assign == 20_000 and r.n_random == 0
