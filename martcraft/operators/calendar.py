@@ -100,11 +100,11 @@ def cumulative_sparse(df: DataFrame, partition_cols: Sequence[str], measure: str
         return df.withColumn(out, running_total(measure, partition_cols, month_col))
     rows = materialize(df, "running_total_rows")
     sizes = rows.groupBy(*partition_cols).agg(F.count("*").alias("_n")).where(F.col("_n") > unit_rows)
-    names = [f"_h{i}" for i in range(len(partition_cols))]
-    hot = materialize(sizes.select("_n", *[F.col(c).alias(n) for c, n in zip(partition_cols, names)]), "hot_partitions")
-    total = hot.agg(F.sum("_n")).first()[0]
+    total = sizes.agg(F.sum("_n")).first()[0]
     if total is None:
         return rows.withColumn(out, running_total(measure, partition_cols, month_col))
+    names = [f"_h{i}" for i in range(len(partition_cols))]
+    hot = materialize(sizes.select(*[F.col(c).alias(n) for c, n in zip(partition_cols, names)]), "hot_partitions")
     on = nullsafe_on(rows, hot, list(partition_cols), names)
     light = rows.join(hot, on, "left_anti").withColumn(out, running_total(measure, partition_cols, month_col))
     heavy = rows.join(hot, on, "left_semi")

@@ -38,14 +38,14 @@ def hot_join(facts: DataFrame, other: DataFrame, cols: Sequence[str], other_cols
     are dropped. ``counts``: the facts' ``key_counts`` on the same columns."""
     cols, other_cols = list(cols), list(other_cols)
     on = [(facts[a].eqNullSafe(other[b]) if null_safe else facts[a] == other[b]) for a, b in zip(cols, other_cols)]
-    total = counts.agg(F.sum("_n")).first()[0] or 0  # one number
-    limit = max(rules.least, int(total * rules.share))
+    total, most = counts.agg(F.sum("_n"), F.max("_n")).first()  # two numbers
+    limit = max(rules.least, int((total or 0) * rules.share))
+    if (most or 0) <= limit:
+        return facts.join(other, on, how).drop(*other_cols)
     names = [f"_hk{i}" for i in range(len(cols))]
     hot = counts.where(F.col("_n") > limit).select(
         *[F.col(c).alias(n) for c, n in zip(cols, names)], F.ceil(F.col("_n") / limit).cast("int").alias("_salts"))
     hot = materialize(hot, "hot-keys")
-    if hot.isEmpty():
-        return facts.join(other, on, how).drop(*other_cols)
     few = F.broadcast(hot)  # under total / limit rows
     # the partition tells equal rows apart; scans and exchanges repeat it on a retry
     spot = F.xxhash64(*[F.col(f"`{c}`") for c in facts.columns], F.spark_partition_id())

@@ -68,7 +68,7 @@ def matching_lines(lines: DataFrame, wanted: Mapping[str, DataFrame], most: int
     reach a shuffle. A longer list rejects little and is left to the joins that
     follow."""
     for column, ids in wanted.items():
-        few = materialize(ids.toDF("_wanted").where(F.col("_wanted").isNotNull()).distinct(), "wanted-ids")
+        few = ids.toDF("_wanted").where(F.col("_wanted").isNotNull()).distinct()
         if few.limit(most + 1).count() <= most:
             lines = lines.join(F.broadcast(few), lines[column] == few["_wanted"], "left_semi")
     return lines
