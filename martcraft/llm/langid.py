@@ -11,14 +11,17 @@ statistics are frozen, the code lengths of each (context, byte) are tabulated
 once and a text is scored by table look-ups.
 
 The trees learn from at most ``max_documents`` documents of each language
-(least hash of doc_id, held-out rows and null languages never) and keep at
-most ``max_contexts`` contexts of the full order (the most frequent; others
-fall back to shorter ones), both documented bounds of the model's size.
+(least hash of doc_id, held-out rows and null languages never), the documented
+bound, and keep every context counted there. The ``max_contexts`` most frequent
+of the full order are tabulated for all bytes; the others hold the bytes they
+have seen and their escape, and a text meets them by search, with the same code
+lengths.
 
 Defined cases: null text and text without any letter is ``und`` with score 0,
-and so is every text where nothing could be learned; repeated rows and null
-ids come back each (null ids are not learned from); an empty table gives an
-empty result.
+and so is every text where nothing could be learned; equal code lengths go to
+the first language by name; texts are scored whole, in pieces of 1 MB or one
+text; repeated rows and null ids come back each (null ids are not learned
+from); an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -33,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
-from martcraft.llm.common import bounded_sample, held_out, ship, stage
+from martcraft.llm.common import WORKER_TABLES, bounded_sample, held_out, released, ship, stage
 
 ORDER = 3
 START = b"\n" * ORDER  # what stands before a text
@@ -107,7 +110,7 @@ class Tables:
 
         below = np.full((1, size, langs), 1 / 256)  # order -1
         parent = np.zeros(1, np.int64)
-        tables, self.node, base = [], np.zeros(size ** ORDER, np.int32), 0
+        tables, self.node, base, self.rare = [], np.zeros(size ** ORDER, np.int32), 0, None
         for k in range(ORDER + 1):
             mine = order == k
             context, symbol = packed(gram[mine] >> 8, k), self.klass[gram[mine] & 255]
@@ -116,7 +119,9 @@ class Tables:
                 weight = np.bincount(total, n[mine])
                 top = np.sort(np.argsort(-weight, kind="stable")[:max_contexts])
                 inside = np.isin(context, keep[top])
-                mine = np.flatnonzero(mine)[inside]
+                mine = np.flatnonzero(mine)
+                self._sparse(context[~inside], symbol[~inside], lang[mine[~inside]], n[mine[~inside]], below)
+                mine = mine[inside]
                 context, symbol, keep = context[inside], symbol[inside], keep[top]
             at = np.searchsorted(keep, context)
             seen = np.zeros((len(keep), size, langs))
@@ -139,6 +144,25 @@ class Tables:
             base += len(keep)
         self.cost = np.concatenate(tables)
 
+    def _sparse(self, context: np.ndarray, symbol: np.ndarray, lang: np.ndarray, n: np.ndarray, below: np.ndarray) -> None:
+        """Contexts kept by their seen bytes: number of each triple's context
+        (-1: none), escape costs, and the costs of seen (context, byte)s (NaN
+        where a language has not seen it)."""
+        keep, at = np.unique(context, return_inverse=True)
+        shape = len(keep), len(self.langs)
+        prior = below[np.searchsorted(self._keys, keep % self.size ** (ORDER - 1))[at], symbol, lang]
+        total, kinds, met = np.zeros(shape), np.zeros(shape), np.zeros(shape)
+        for into, value in ((total, n), (kinds, 1.0), (met, prior)):
+            np.add.at(into, (at, lang), value)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            escape = np.where(kinds > 0, kinds / (total + kinds) / np.maximum(1 - met, 1e-300), 1.0)
+            self.escape = -np.log2(escape).astype(np.float32)
+        self.rare = np.full(self.size ** ORDER, -1, np.int32)
+        self.rare[keep] = np.arange(len(keep))
+        self.seen, place = np.unique(at * self.size + symbol, return_inverse=True)
+        self.seen_cost = np.full((len(self.seen), shape[1]), np.nan, np.float32)
+        self.seen_cost[place, lang] = -np.log2(n / (total + kinds)[at, lang])
+
     def bits(self, texts: list[bytes]) -> np.ndarray:
         """Code length of each text under each language."""
         out = np.zeros((len(texts), len(self.langs)))
@@ -159,6 +183,13 @@ class Tables:
         size = self.size
         context = (code[:-3] * size + code[1:-2]) * size + code[2:-1]
         cost = self.cost[self.node[context].astype(np.int64) * size + code[3:]]
+        if self.rare is not None:
+            at = np.flatnonzero(self.rare[context] >= 0)
+            own = self.rare[context[at]].astype(np.int64)
+            key = own * size + code[3:][at]
+            place = np.minimum(np.searchsorted(self.seen, key), len(self.seen) - 1)
+            seen = np.where((self.seen[place] == key)[:, None], self.seen_cost[place], np.nan)
+            cost[at] = np.where(np.isnan(seen), cost[at] + self.escape[own], seen)
         lengths = np.array([len(texts[i]) for i in part])
         starts = np.concatenate([[0], np.cumsum(lengths + ORDER)[:-1]])
         edges = np.stack([starts, starts + lengths], axis=1).ravel()[:-1]
@@ -201,14 +232,14 @@ def identify(docs: DataFrame, rules: LanguageRules = LanguageRules()) -> DataFra
                 [b.column("doc_id"), b.column("held_out"), pa.array(pred, pa.string()), pa.array(score),
                  pa.array(best, pa.float64())], names=out.names)
 
-    return src.mapInArrow(run, out)
+    return src.mapInArrow(released(run, "langid"), out)
 
 
-_LAST: list = []
+_LAST: dict = WORKER_TABLES.setdefault("langid", {})
 
 
 def _tables(counts: list, max_contexts: int) -> Tables:
     """The tables of these counts, built once in a worker."""
-    if not _LAST or _LAST[0] is not counts or _LAST[1] != max_contexts:
-        _LAST[:] = [counts, max_contexts, Tables(counts, max_contexts)]
-    return _LAST[2]
+    if _LAST.get("of") is not counts or _LAST["most"] != max_contexts:
+        _LAST.update(of=counts, most=max_contexts, tables=Tables(counts, max_contexts))
+    return _LAST["tables"]

@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from martcraft.llm.common import bounded_sample, ship, stage
+from martcraft.llm.negatives import products
 
 
 @dataclass(frozen=True)
@@ -45,6 +46,9 @@ class SearchRules:
     branch: int = 16          # most children of a node
 
 
+NONE = np.int64(1 - 2 ** 63)  # no score
+
+
 class CoverTree:
     """Nodes as (centre, covering radius, children, rows). A node's children
     are centred by a greedy cover of its rows at ``1 / BASE`` of its radius
@@ -84,12 +88,13 @@ class CoverTree:
 def dual_search(queries: np.ndarray, data: np.ndarray, ids: np.ndarray, k: int, floor: np.ndarray,
                 leaf: int = 64, branch: int = 32) -> tuple[np.ndarray, np.ndarray, int]:
     """For each query its k best (score, id), ties to the smaller id, of the
-    scores at or above ``floor``; -inf where there are fewer. Also the number
-    of products computed."""
+    scores at or above ``floor``; ``NONE`` where there are fewer. Also the
+    number of products computed. Scores stay integers; only pruning bounds,
+    which leave room for it, are rounded."""
     q, r = queries.astype(np.float64), data.astype(np.float64)
     big = max(np.abs(q).max(initial=0), 1) * max(np.abs(r).max(initial=0), 1) * max(q.shape[1], 1)
     exact = big < 2 ** 53
-    best = np.full((len(q), k), -np.inf)
+    best = np.full((len(q), k), NONE)
     who = np.full((len(q), k), np.iinfo(np.int64).max)
     worst = floor.astype(np.float64).copy()
     tq, tr = CoverTree(q, leaf, branch), CoverTree(r, leaf, branch)
@@ -103,7 +108,7 @@ def dual_search(queries: np.ndarray, data: np.ndarray, ids: np.ndarray, k: int,
     def meet(a: tuple, b: tuple) -> None:
         nonlocal done
         rows, cols = a[3], b[3]
-        s = (q[rows] @ r[cols].T) if exact else (queries[rows].astype(object) @ data[cols].astype(object).T).astype(np.float64)
+        s = (q[rows] @ r[cols].T) if exact else products(queries[rows], data[cols])
         done += s.size
         least = worst[rows]
         if s.shape[1] > k:  # no score under the kth of these alone can stay
@@ -114,7 +119,7 @@ def dual_search(queries: np.ndarray, data: np.ndarray, ids: np.ndarray, k: int,
         hit = np.unique(row)
         old = np.repeat(hit, k)
         of = np.concatenate([old, row])
-        score = np.concatenate([best[rows[hit]].ravel(), s[row, col]])
+        score = np.concatenate([best[rows[hit]].ravel(), s[row, col].astype(np.int64)])
         name = np.concatenate([who[rows[hit]].ravel(), ids[cols[col]]])
         order = np.lexsort((name, -score, of))
         of, score, name = of[order], score[order], name[order]
@@ -174,9 +179,9 @@ def _search(rules: SearchRules):
             return pd.DataFrame({"query": np.empty(0, np.int64), "score": np.empty(0, np.int64), "found": np.empty(0, np.int64)})
         floor = q["floor"].to_numpy(np.float64)
         best, who, _ = dual_search(_matrix(q["v"]), _matrix(d["v"]), d["vid"].to_numpy(np.int64), k, floor, rules.leaf, rules.branch)
-        real = best > -np.inf
+        real = best > NONE
         name = np.broadcast_to(q["vid"].to_numpy(np.int64)[:, None], best.shape)
-        return pd.DataFrame({"query": name[real], "score": best[real].astype(np.int64), "found": who[real]})
+        return pd.DataFrame({"query": name[real], "score": best[real], "found": who[real]})
 
     return run
 

@@ -59,6 +59,9 @@ def test_code_lengths(spark):
     for t, row in zip(tries, bits):
         for lang, got in zip(tables.langs, row):
             assert abs(got - plain_bits(counts, tables.langs, lang, t)) < 1e-3 * max(1, got)
+    # the same lengths when most full contexts are kept by their seen bytes only
+    assert np.allclose(bits, G.Tables(counts, 10).bits(tries), rtol=1e-4, atol=1e-2)
+    assert np.allclose(bits, G.Tables(counts, 100).bits(tries), rtol=1e-4, atol=1e-2)
     # pruned to few full contexts, still a distribution over bytes in every context
     small = G.Tables(counts, 10)
     p = np.exp2(-small.cost.astype(float)).reshape(-1, small.size, 3)
@@ -82,6 +85,14 @@ def test_identify_and_edges(spark):
     assert G.identify(df.where("false")).count() == 0
 
 
+def test_clashing_columns(spark):
+    rows = [(i, t, lang, None, 0) for i, (lang, t) in enumerate(texts())]
+    df = spark.createDataFrame(rows, SCHEMA)
+    plain = {r.doc_id: r.lang_pred for r in G.identify(df).collect()}
+    more = df.withColumn("_id", F.lit(1)).withColumn("_lang", F.lit("aa")).withColumn("_n", F.lit(0)).withColumn("_r", F.lit(0))
+    assert {r.doc_id: r.lang_pred for r in G.identify(more).collect()} == plain
+
+
 def test_held_out_rows_teach_nothing(spark):
     rows = [(i, t, lang, None, 0) for i, (lang, t) in enumerate(texts())]
     df = spark.createDataFrame(rows, SCHEMA).withColumn("h", G.held_out())

@@ -93,3 +93,53 @@ def test_rounds_cover_every_window(spark, monkeypatch):
     texts = corpus(2, 30)
     L.score(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3), RULES)
     assert sum(rounds) == sum(len(t.split()) for t in texts)
+
+
+def test_scores_are_plain_sums(spark, monkeypatch):
+    """Every document's score from the parameters, token by token."""
+    nets, train = [], L.train
+    monkeypatch.setattr(L, "train", lambda *a: nets.append((train(*a), a[1])) or nets[-1][0])
+    texts = [*corpus(4, 40), "", "one", None, "new words that nobody wrote"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r for r in L.score(df, RULES).collect()}
+    net, words = nets[0]
+    e, bias, w, b, tree, turn = [p.astype(float) for p in net.parts]
+    for i, t in enumerate(texts):
+        tok = words.tokens(hashing.hashed_words([(t or "").encode()], [0])[1])
+        line = [words.boundary] * 2 + words.inputs[tok].tolist() + [words.boundary] * 2
+        total = 0.0
+        for j, x in enumerate(tok):
+            h = np.tanh(bias + sum(e[k, line[j + 2 + s]] for k, s in enumerate(L.SIDES)))
+            z = h @ w + b
+            total += z[words.klass[x]] - np.log(np.exp(z - z.max()).sum()) - z.max() + words.share[x]
+            node, place = 0, int(words.member[x])
+            for level in reversed(range(net.depth)):
+                right = place >> level & 1
+                row = int(words.klass[x]) * ((1 << net.depth) - 1) + node
+                u = float(tree[row] @ h + turn[row, 0])
+                total -= np.logaddexp(0, -u if right else u)
+                node = 2 * node + 1 + right
+        assert got[i].n_tokens == len(tok)
+        assert abs(got[i].log_likelihood - total) < 1e-2 + 1e-3 * abs(total), i
+
+
+def test_changes_are_averaged_by_the_steps_that_met_a_row():
+    h = np.arange(1, 20, dtype=np.uint64)
+    rules = L.LmRules(rare=8, classes=3, width=2)
+    words = L._every_token(h, np.ones(19), np.zeros(8), np.zeros(8), rules)
+    sent, nets = [], []
+    for k, met in enumerate((0, 1)):
+        net = L.Network(words, rules)
+        before = [p.copy() for p in net.parts]
+        touched = [np.zeros(net.sparse_rows(i), int) for i in range(len(net.parts))]
+        net.parts[0][0, met] += k + 1.0          # a row of its own each
+        net.parts[0][1, 5] += 4.0 * (k + 1)      # one that both have met
+        touched[0][met] = 3
+        touched[0][net.shapes[0][1] + 5] = 1 + 2 * k
+        net.parts[1] += k
+        sent.append(L.changes(net, before, touched, 10 * (k + 1)))
+        nets.append(net)
+    mean, weight = L.merged(nets[0], sent)
+    assert np.allclose(mean[0][0, 0], 1) and np.allclose(mean[0][0, 1], 2)
+    assert np.allclose(mean[0][1, 5], (4 + 3 * 8) / 4, atol=1e-2)
+    assert np.allclose(mean[1], 20 / 30, atol=1e-3) and not mean[0][2].any() and weight[1] == 30

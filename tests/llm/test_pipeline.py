@@ -48,3 +48,27 @@ def test_stages(spark):
 def test_run_equals_stages(spark):
     assert C.run(spark, SF).count() > 0
     assert C.ORACLE_SQL is None and len(C.STAGES) == 5
+
+
+def test_stages_on_odd_rows(spark, tmp_path):
+    """Nulls in any column, empty and repeated rows, clashing extra columns and
+    an empty table pass through every stage."""
+    words = [f"w{i}" for i in range(300)]
+    long = lambda k: " ".join(words[(j * (k + 3)) % 300] for j in range(90))
+    rows = [(i, long(i), "en" if i % 3 else None, "s" if i % 2 else None, 9) for i in range(24)]
+    rows += [(None, long(99), None, None, None), (3, long(3), "en", "s", 9), (30, None, "en", "s", None), (31, "", "en", None, 0), (None, None, None, None, None)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame(rows, schema)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    labels = spark.createDataFrame([(i, i % 4 and 1, int(i % 5 == 0)) for i in range(24)] + [(None, 1, 0), (7, None, None)],
+                                   "doc_id long, quality int, toxic int")
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    extra = docs.withColumns({c: F.lit("x") for c in ("_id", "_k", "fp", "ids", "rate", "spans", "kept", "component_id", "tokens", "p")})
+    for table in (docs, extra, docs.limit(0)):
+        out = table
+        for _, stage in C.STAGES[:-1]:
+            out = stage(spark, out, str(tmp_path))
+            assert out.columns == table.columns
+        last = C.STAGES[-1][1](spark, out, str(tmp_path))
+        assert last.columns[:2] == ["doc_id", "start"]
+        assert (last.count() > 0) == (not table.isEmpty())

@@ -76,3 +76,16 @@ def test_trees_prune_and_cover():
             visit(c)
 
     visit(T.CoverTree(data.astype(float), 16, 8).root)
+
+
+def test_scores_beyond_floats_stay_exact(spark):
+    big = 2 ** 27
+    rows = [(i, [big + i % 7, 3 * i, i % 5]) for i in range(0, 120)]
+    df = spark.createDataFrame(rows, "vec_id long, v array<bigint>").repartition(2)
+    got = sorted(tuple(r) for r in T.top_k(df, F.col("vec_id") % 50 == 0, T.SearchRules(k=3, block=30, query_block=2, cells=3, leaf=4, branch=3)).collect())
+    dot = lambda a, b: sum(x * y for x, y in zip(a, b))
+    want = []
+    for i, v in rows[::50]:
+        best = sorted((-dot(v, w), j) for j, w in rows if j != i)[:3]
+        want += [(i, r + 1, j, -s) for r, (s, j) in enumerate(best)]
+    assert got == sorted(want) and got[0][3] > 2 ** 54 and any(r[3] % 2 for r in got)
