@@ -101,3 +101,66 @@ def test_targets_and_empty(spark, tokenizer):
     df = spark.createDataFrame(rows, SCHEMA)
     check(rows, P.pack(df, P.PackRules(targets=(("a", 0.2), ("b", 0.8))), with_ids=True).collect(), tokenizer)
     assert P.pack(df.where("false")).count() == 0
+
+
+def shares(out, names):
+    """Tokens of each source in every full window."""
+    size = {}
+    for p in out:
+        size[p.sequence_id] = size.get(p.sequence_id, 0) + p.length
+    full = sorted(i for i, n in size.items() if n == 4096)
+    row = {i: k for k, i in enumerate(full)}
+    got = np.zeros((len(full), len(names)))
+    for p in out:
+        if p.sequence_id in row:
+            got[row[p.sequence_id], names.index(p.source)] += p.length
+    return got
+
+
+def clustered(spark, counts, words=700):
+    """Rows sorted by source, over as many partitions."""
+    rows = [(i, " ".join(f"w{(i * 31 + j) % 400}" for j in range(words)), s) for i, s in enumerate(s for s, n in counts.items() for _ in range(n))]
+    return spark.createDataFrame(rows, "doc_id long, text string, source string").coalesce(1).repartitionByRange(len(counts), "source")
+
+
+def test_sources_in_long_runs_are_mixed(spark):
+    names = ["a", "b", "c"]
+    df = clustered(spark, {"a": 300, "b": 200, "c": 100})
+    got = shares(P.pack(df, P.PackRules(span_tokens=1 << 17, chunk_tokens=1 << 16)).collect(), names)
+    assert len(got) > 200
+    kept = got[: int(0.97 * len(got))]
+    # every run of windows holds the sources' shares, to a few pieces
+    for k in range(0, len(kept) - 8, 4):
+        assert np.abs(kept[k:k + 8].sum(axis=0) / (8 * 4096) - [1 / 2, 1 / 3, 1 / 6]).max() < 0.06, k
+    assert (kept[:, 0] > 0).all()
+
+
+def test_targets_other_than_the_supply_hold_until_a_source_runs_out(spark):
+    names = ["a", "b", "c"]
+    df = clustered(spark, {"a": 300, "b": 100, "c": 50})
+    rules = P.PackRules(targets=(("a", 0.25), ("b", 0.75)), span_tokens=1 << 17)
+    got = shares(P.pack(df, rules).collect(), names)
+    per = got.sum() / 450
+    until = int(100 * per / 0.75 / 4096)      # b runs out
+    assert np.abs(got[: until - 4].mean(axis=0) / 4096 - [0.25, 0.75, 0]).max() < 0.02
+    for k in range(0, until - 12, 4):
+        assert np.abs(got[k:k + 8].sum(axis=0) / (8 * 4096) - [0.25, 0.75, 0]).max() < 0.06, k
+    then = got[until + 4: int((400 * per) / 4096) - 40]
+    assert len(then) > 50 and (then[:, 0] == 4096).all() and got[-20:, 2].sum() > 0.9 * 20 * 4096
+
+
+def test_phases():
+    got = P.phases({"a": 100, "b": 300, "z": 9}, {"a": 1.0, "b": 1.0, "z": 0.0})
+    assert got == [{"a": (0.0, 100.0), "b": (0.0, 100.0)}, {"b": (100.0, 300.0)}]
+
+
+@pytest.mark.parametrize("span", [1 << 12, 3000, 1 << 16])
+def test_many_small_sources_round_trip(spark, tokenizer, span):
+    rng = random.Random(span)
+    rows = [(i, " ".join(rng.choice(["the", "quick", "zz9", "été"]) for _ in range(rng.choice([0, 3, 90, 900]))), rng.choice(["hot"] * 40 + [f"s{k}" for k in range(40)] + [None]),
+             "s", 1) for i in range(300)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    out = P.pack(df, P.PackRules(span_tokens=span, chunk_tokens=7000, min_piece=64), with_ids=True).collect()
+    check(rows, out, tokenizer)
+    targets = P.PackRules(span_tokens=span, chunk_tokens=7000, targets=(("hot", 0.5), ("s1", 0.5), ("none", 0.3)))
+    check(rows, P.pack(df, targets, with_ids=True).collect(), tokenizer)
