@@ -273,28 +273,43 @@ class Fit:
     residual: float  # share of all tokens by which the totals miss the targets
 
 
-def fit_rates(rows: DataFrame, domains: list[str], rules: MixRules) -> Fit:
-    """The projected-gradient steps. Totals are linear in the rates, so those
-    at the moved point follow from the last two."""
+def _descend(rows: DataFrame, own: np.ndarray, b: np.ndarray, metric: np.ndarray, rules: MixRules) -> Fit:
+    """Steps up to the one with the least residual."""
     steps: list[tuple[float, np.ndarray]] = []
-    k = len(domains)
-    first = totals(rows, k, steps, squares=True)
-    own = y = last = first[:k]
-    if not own.sum():
-        return Fit(steps, 0.0)
-    b = goals(domains, own, rules.targets)
-    inverse = np.linalg.pinv(first[k:].reshape(k, k), rcond=1e-10, hermitian=True)
+    y = last = own
     since, off = 0, np.abs(y - b).sum()
+    best, taken = off, 0
     while len(steps) < rules.max_steps and off > rules.tolerance * own.sum():
         m = since / (since + 3.0)
         moved = y + m * (y - last)
-        steps.append((m, inverse @ (moved - b)))
-        last, y = y, totals(rows, k, steps)
+        steps.append((m, metric @ (moved - b)))
+        last, y = y, totals(rows, len(own), steps)
         before, off = off, np.abs(y - b).sum()
         since = 0 if off > before else since + 1
-    if off > rules.tolerance * own.sum():
-        warnings.warn(f"mixing: the totals are {off / own.sum():.4f} of all tokens off their targets", stacklevel=2)
-    return Fit(steps, float(off / own.sum()))
+        if off < best:
+            best, taken = off, len(steps)
+    return Fit(steps[:taken], float(best / own.sum()))
+
+
+def fit_rates(rows: DataFrame, domains: list[str], rules: MixRules) -> Fit:
+    """The projected-gradient steps. Totals are linear in the rates, so those
+    at the moved point follow from the last two. Where the posteriors' metric
+    does not get there (no nonnegative rates meet the targets, or domains are
+    hardly told apart), the steps ``(y_k - b_k) / T_k`` (T: totals at rate 1)
+    are tried too, and the smaller residual counts."""
+    k = len(domains)
+    first = totals(rows, k, [], squares=True)
+    own = first[:k]
+    if not own.sum():
+        return Fit([], 0.0)
+    b = goals(domains, own, rules.targets)
+    fit = _descend(rows, own, b, np.linalg.pinv(first[k:].reshape(k, k), rcond=1e-10, hermitian=True), rules)
+    if fit.residual > rules.tolerance:
+        plain = _descend(rows, own, b, np.diag(1 / np.where(own > 0, own, np.inf)), rules)
+        fit = min(fit, plain, key=lambda f: f.residual)
+    if fit.residual > rules.tolerance:
+        warnings.warn(f"mixing: the totals are {fit.residual:.4f} of all tokens off their targets", stacklevel=2)
+    return fit
 
 
 def mix(docs: DataFrame, labels: DataFrame, rules: MixRules = MixRules(), keep_row: bool = False) -> DataFrame:
