@@ -15,15 +15,17 @@ WORD = r"[^\x20\x09-\x0D]"
 
 def quality_sql(rules: QualityRules = QualityRules()) -> str:
     ratio = {n: f"(CASE WHEN {d} = 0 THEN 0 ELSE {s} * {u} // {d} END)" for n, (u, d, s) in RATIOS.items()}
+    base = "(n_words < 50 OR 100 * n_repeat_words > 50 * n_words)"
     drop = f"greatest(0, length(bin(v)) - {SKETCH_BITS})"
-    entries = "\n    UNION ALL ".join(f"SELECT lang, source, '{n}' AS ratio, {r} AS v FROM counted WHERE n_words > 0" for n, r in ratio.items())
+    entries = "\n    UNION ALL ".join(f"SELECT lang, source, '{n}' AS ratio, {r} AS v FROM counted WHERE NOT {base}" for n, r in ratio.items())
     levels = "\n    UNION ALL ".join(
         f"SELECT {i} AS level, {lang} AS lang, {source} AS source, ratio, bin, COUNT(*) AS n FROM binned GROUP BY ALL"
         for i, (lang, source) in enumerate((("lang", "source"), ("lang", "NULL"), ("NULL", "NULL"))))
-    at = lambda q: f"MIN(bin) FILTER (WHERE c >= ceil(total * {q}::DOUBLE))"
-    slack = " ".join(f"WHEN '{k}' THEN {v}" for k, v in rules.slack)
-    chosen = ",\n           ".join(
-        f"CASE WHEN a.n >= {rules.min_group} THEN a.\"{n}\" WHEN b.n >= {rules.min_group} THEN b.\"{n}\" ELSE c.\"{n}\" END AS max_{n}" for n in RATIOS)
+    of = lambda k: f"CAST(CASE ratio {' '.join(f'WHEN {f[0]!r} THEN {f[k]}' for f in rules.fences)} END AS DOUBLE)"
+    at = lambda k: f"MIN(bin) FILTER (WHERE c >= ceil(total * {of(k)}))"
+    prior = f"{rules.prior}::DOUBLE"
+    blend = lambda t, own, above: f"(({t}.n::DOUBLE * {own} + {prior} * {above}) / ({t}.n::DOUBLE + {prior}))"
+    chosen = ",\n           ".join(blend("a", f'a."{n}"', blend("b", f'b."{n}"', f'c."{n}"')) + f" AS max_{n}" for n in RATIOS)
     per_level = ", ".join(f"MAX(top) FILTER (WHERE ratio = '{n}') AS \"{n}\"" for n in RATIOS)
     over = " OR ".join(f"coalesce({ratio[n]} > max_{n}, FALSE)" for n in RATIOS)
     return rf"""
@@ -54,9 +56,9 @@ WITH texts AS (
     SELECT *, SUM(n) OVER (PARTITION BY level, lang, source, ratio ORDER BY bin) AS c,
            SUM(n) OVER (PARTITION BY level, lang, source, ratio) AS total FROM sketches
 ), cuts AS (
-    SELECT level, lang, source, ratio, MAX(total) AS n, {at(rules.q_mid)} AS mid, {at(rules.q_high)} AS high FROM summed GROUP BY ALL
+    SELECT level, lang, source, ratio, MAX(total) AS n, {at(1)} AS mid, {at(2)} AS high FROM summed GROUP BY ALL
 ), tops AS (
-    SELECT *, high + {rules.spread}::DOUBLE * (high - mid) + CASE ratio {slack} ELSE 0 END AS top FROM cuts
+    SELECT *, high + {of(3)} * (high - mid) + {of(4)} AS top FROM cuts
 ), limits AS (
     SELECT level, lang, source, MAX(n) AS n, {per_level} FROM tops GROUP BY level, lang, source
 ), fences AS (
@@ -66,8 +68,7 @@ WITH texts AS (
          LEFT JOIN (FROM limits WHERE level = 2) c ON TRUE
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-       n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
-       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND NOT ({over}) AS kept,
+       {base} AS base_failed, NOT {base} AND NOT ({over}) AS kept,
        {', '.join(f'CAST({ratio[n]} AS BIGINT) AS ratio_{n}' for n in RATIOS)}, {', '.join(f'max_{n}' for n in RATIOS)}
 FROM counted LEFT JOIN fences f ON counted.lang IS NOT DISTINCT FROM f.lang AND counted.source IS NOT DISTINCT FROM f.source"""
 

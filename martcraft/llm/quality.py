@@ -1,13 +1,14 @@
 """Quality rules with adaptive thresholds (built-in functions only).
 
 Per document a few counts are taken; per (lang, source) a mergeable quantile
-sketch of four ratios is built, and a document is rejected where a ratio lies
-far above what is usual for its own group. The sketch is a histogram over
-fixed integer bins that keep ``SKETCH_BITS`` significant bits of a value
+sketch of four ratios is built from the documents that pass the base rules, and
+a document is rejected where a ratio lies far above what is usual for its own
+group. The sketch is a histogram over fixed integer bins that keep ``SKETCH_BITS`` significant bits of a value
 (relative error under 1/32), so merging is adding counts: it is combined on
 the map side, its size has a bound, and its result does not depend on the
-order of merging. Groups under ``min_group`` rows use the sketch merged over
-their language, and languages under it the one merged over everything.
+order of merging. Sketches are merged up to languages and to everything; a
+group's limit is averaged with that of the level above, which weighs as much as
+``prior`` rows, so small groups lean on larger ones without a switch.
 
 Defined cases: null text counts as no text (all counts zero, base_failed);
 null ``lang`` or ``source`` is a group of its own; repeated rows are scored
@@ -19,7 +20,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martcraft.llm.common import ROW, SPACE, SPACE_RUN, carry, leading_bits, stage
@@ -36,16 +37,19 @@ RATIOS = {
 
 @dataclass(frozen=True)
 class QualityRules:
-    """A ratio above ``q_high + spread * (q_high - q_mid) + slack`` rejects
-    (q: quantiles of the document's group). The slack is the least distance
-    that counts as unusual, for groups without any spread."""
+    """A ratio above ``high + spread * (high - mid) + slack`` rejects, where
+    mid and high are the group's own quantiles ``q_mid`` and ``q_high``. The
+    slack is the least distance that counts as unusual in a group without any
+    spread. Symbols and word lengths lie close together in ordinary text, and a
+    group may be spoilt to a quarter: their fence stands on the middle of the
+    group. Duplicated lines and repeats are absent from most texts and frequent
+    in some good ones: their fence stands on the group's upper end."""
 
-    q_mid: float = 0.5
-    q_high: float = 0.75
-    spread: float = 4.0
-    slack: tuple[tuple[str, int], ...] = (
-        ("symbols", 40), ("dup_lines", 400), ("repeats", 450), ("word_length", 40))
-    min_group: int = 200
+    #: ratio, q_mid, q_high, spread, slack
+    fences: tuple[tuple[str, float, float, float, int], ...] = (
+        ("symbols", 0.5, 0.75, 4.0, 40), ("dup_lines", 0.95, 0.99, 1.0, 100),
+        ("repeats", 0.95, 0.99, 2.0, 100), ("word_length", 0.5, 0.75, 4.0, 20))
+    prior: float = 200.0   # rows that the limit of the level above counts for
 
 
 def features(docs: DataFrame, keep_row: bool = False) -> DataFrame:
@@ -92,6 +96,10 @@ def features(docs: DataFrame, keep_row: bool = False) -> DataFrame:
                "(a, v) -> a + v)").alias("n_repeat_words"))
 
 
+#: The fixed rules; what fails them is no measure of what is usual.
+BASE_FAILED = "(n_words < 50 or 100 * n_repeat_words > 50 * n_words)"
+
+
 def _ratio(name: str) -> str:
     over, under, scale = RATIOS[name]
     return f"if({under} = 0, 0L, {scale} * {over} div {under})"
@@ -101,7 +109,7 @@ def sketches(feats: DataFrame) -> DataFrame:
     """level 0: (lang, source); 1: lang; 2: all. One row per level, group,
     ratio and bin with its count; the upper levels merge the lower ones."""
     entries = F.array(*[F.struct(F.lit(n).alias("ratio"), F.expr(_ratio(n)).alias("v")) for n in RATIOS])
-    by = (feats.where("n_words > 0").select("lang", "source", F.explode(entries).alias("e"))
+    by = (feats.where(f"not {BASE_FAILED}").select("lang", "source", F.explode(entries).alias("e"))
           .groupBy("lang", "source", F.col("e.ratio").alias("ratio"), F.expr(leading_bits("e.v", SKETCH_BITS)).alias("bin"))
           .agg(F.count("*").alias("n")))
     levels = F.array(
@@ -119,10 +127,10 @@ def thresholds(sketch: DataFrame, rules: QualityRules) -> DataFrame:
     key = ["level", "lang", "source", "ratio"]
     cum = sketch.withColumn("c", F.sum("n").over(Window.partitionBy(*key).orderBy("bin"))).withColumn(
         "total", F.sum("n").over(Window.partitionBy(*key)))
-    at = lambda q: F.min(F.when(F.col("c") >= F.ceil(F.col("total") * q), F.col("bin")))
-    cut = cum.groupBy(*key).agg(at(rules.q_mid).alias("mid"), at(rules.q_high).alias("high"), F.max("total").alias("total"))
-    slack = F.coalesce(*[F.when(F.col("ratio") == k, F.lit(v)) for k, v in rules.slack], F.lit(0))
-    limit = F.col("high") + F.lit(rules.spread) * (F.col("high") - F.col("mid")) + slack
+    of = lambda k: F.coalesce(*[F.when(F.col("ratio") == f[0], F.lit(f[k])) for f in rules.fences])
+    at = lambda k: F.min(F.when(F.col("c") >= F.ceil(F.col("total") * of(k)), F.col("bin")))
+    cut = cum.groupBy(*key).agg(at(1).alias("mid"), at(2).alias("high"), F.max("total").alias("total"))
+    limit = F.col("high") + of(3) * (F.col("high") - F.col("mid")) + of(4)
     wide = cut.groupBy("level", "lang", "source").agg(
         F.max("total").alias("total"), *[F.max(F.when(F.col("ratio") == n, limit)).alias(f"max_{n}") for n in RATIOS])
     names = [f"max_{n}" for n in RATIOS]
@@ -134,11 +142,16 @@ def thresholds(sketch: DataFrame, rules: QualityRules) -> DataFrame:
 
     whole = level(2).first()  # one row at most
     j = level(0).join(level(1), F.expr("lang0 <=> lang1"), "left")
-    enough = lambda i: F.col(f"total{i}") >= rules.min_group
+
+    def blend(i: int, limit: Column, above: Column) -> Column:
+        """Smooth in the group's size: its own limit for large groups."""
+        n = F.col(f"total{i}").cast("double")
+        return (n * limit + rules.prior * above) / (n + rules.prior)
+
     return j.select(
         F.col("lang0").alias("lang"), F.col("source0").alias("source"),
-        *[F.when(enough(0), F.col(f"{n}0")).when(enough(1), F.col(f"{n}1"))
-          .otherwise(F.lit(whole[f"{n}2"] if whole else None)).alias(n) for n in names])
+        *[blend(0, F.col(f"{n}0"), blend(1, F.col(f"{n}1"), F.lit(whole[f"{n}2"] if whole else None).cast("double"))).alias(n)
+          for n in names])
 
 
 def judge(docs: DataFrame, rules: QualityRules = QualityRules(), keep_row: bool = False) -> DataFrame:
@@ -152,7 +165,7 @@ def judge(docs: DataFrame, rules: QualityRules = QualityRules(), keep_row: bool
     over = F.lit(False)
     for n in RATIOS:
         over = over | F.coalesce(F.expr(_ratio(n)) > F.col(f"max_{n}"), F.lit(False))
-    base = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    base = F.expr(BASE_FAILED)
     return j.select(*([ROW] if keep_row else ["doc_id"]), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                     base.alias("base_failed"), (~base & ~over).alias("kept"),
                     *[F.expr(_ratio(n)).alias(f"ratio_{n}") for n in RATIOS], *[f"max_{n}" for n in RATIOS])

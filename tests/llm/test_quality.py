@@ -42,24 +42,41 @@ def test_counts_and_verdict(spark):
 
 def test_thresholds_match_brute_force(spark, tmp_path):
     """Bins, merged levels and limits recomputed from the counts."""
-    rules = Q.QualityRules(min_group=6)
+    rules = Q.QualityRules(prior=6.0)
     data = []
     for i in range(60):
         group = ("en", "a") if i < 30 else ("en", "b") if i < 34 else ("de", None) if i < 50 else (None, "c")
         data.append((i, " ".join(f"{'#' * (i % 5)}w{j}{'x' * (i % 3)}" for j in range(60)), *group, "k", 0))
     got = {r.doc_id: r for r in Q.judge(spark.createDataFrame(data, SCHEMA), rules).collect()}
 
-    def limit(values, slack):
+    def limit(values, q_mid, q_high, spread, slack):
         s = sorted(v if v < 64 else v >> (v.bit_length() - 6) << (v.bit_length() - 6) for v in values)
         at = lambda q: s[max(0, -(-int(len(s) * q * 100) // 100) - 1)]
-        return at(rules.q_high) + rules.spread * (at(rules.q_high) - at(rules.q_mid)) + slack
+        return at(q_high) + spread * (at(q_high) - at(q_mid)) + slack
 
-    slack = dict(rules.slack)
     for i, _, lang, source, *_ in data:
-        group = [r for r in data if r[2:4] == (lang, source)]
-        group = group if len(group) >= 6 else [r for r in data if r[2] == lang]
-        for name in Q.RATIOS:
-            assert got[i][f"max_{name}"] == limit([got[r[0]][f"ratio_{name}"] for r in group], slack[name]), (i, name)
+        levels = [[r for r in data if r[2:4] == (lang, source)], [r for r in data if r[2] == lang], data]
+        for name, *fence in rules.fences:
+            own, middle, whole = ([got[r[0]][f"ratio_{name}"] for r in group] for group in levels)
+            above = (len(middle) * limit(middle, *fence) + 6 * limit(whole, *fence)) / (len(middle) + 6)
+            want = (len(own) * limit(own, *fence) + 6 * above) / (len(own) + 6)
+            assert abs(got[i][f"max_{name}"] - want) < 1e-9, (i, name)
+
+
+def test_fences_follow_the_group(spark):
+    """A text with 30 % duplicated lines goes where lines never repeat and
+    stays where that is usual."""
+    def text(i, repeated):
+        lines = [f"line{i} of{j} some{i}x{j} words{j} here{i}" for j in range(13)]
+        marks = ["item"] * (repeated + 1) + [f"item{j}" for j in range(6 - repeated)]
+        return "\n".join(x for j, line in enumerate(lines) for x in [line, *marks[j:j + 1]])
+
+    data = [(i, text(i, 6 if i == 0 else 0), "en", "plain", "x", 0) for i in range(1500)]
+    data += [(5000 + i, text(i, 6 if i % 10 == 0 else 0), "en", "lists", "x", 0) for i in range(1500)]
+    got = {r.doc_id: r for r in Q.judge(spark.createDataFrame(data, SCHEMA).repartition(4)).collect()}
+    assert got[0].ratio_dup_lines == got[5000].ratio_dup_lines == 300
+    assert not any(r.base_failed for r in got.values())
+    assert {k for k, r in got.items() if not r.kept} == {0}
 
 
 def test_filter_keeps_columns_and_empty(spark):
