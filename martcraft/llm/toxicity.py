@@ -38,13 +38,14 @@ from martcraft.llm.common import bounded_sample, held_out, ship, stage
 OPEN, CLOSE = "\"'“„«‘‹", "\"'”“»’›"
 EDGE = " .,;:!?()[]{}<>|*#$%&\"'“”„«»‘’‹›…"
 CONTEXT_CELLS = 4096
+#: What ``str.split`` takes for white space, as a pattern of Java's.
+BLANKS = r"[\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
 FEATURES = ("exact", "stems", "fuzzy", "quoted", "density", "context")
 
 
 @dataclass(frozen=True)
 class ToxicityRules:
     max_labelled: int = 4000
-    max_terms: int = 4096
     min_evidence: float = 28.0   # log-likelihood ratio (G squared) of a term
     clean_share: float = 0.02    # at most this much of the toxic rate in clean documents
     stem_lengths: tuple[int, ...] = (4, 5, 6, 7)
@@ -275,7 +276,7 @@ def fit(docs: DataFrame, labels: DataFrame, rules: ToxicityRules = ToxicityRules
     n1, n0 = float(sizes.get(1, 0)), float(sizes.get(0, 0))
     if not n1 or not n0:
         return model
-    words = F.array_distinct(F.split(F.lower(F.coalesce("text", F.lit(""))), r"\s+"))
+    words = F.array_distinct(F.split(F.lower(F.coalesce("text", F.lit(""))), BLANKS))
     by_word = stage(
         train.select("toxic", F.explode(words).alias("w")).select("toxic", F.expr(f"btrim(w, {_sql(EDGE)})").alias("w"))
         .where("w <> ''").groupBy("w").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c")), "toxicity-words")
@@ -283,7 +284,7 @@ def fit(docs: DataFrame, labels: DataFrame, rules: ToxicityRules = ToxicityRules
     def pick(table: DataFrame, a: float, b: float) -> list[str]:
         rows = (table.where(f"t >= 3 and c * {a!r} <= t * {b!r} * {rules.clean_share!r}")
                 .withColumn("g", F.expr(_evidence(a, b))).where(F.col("g") >= rules.min_evidence)
-                .orderBy(F.desc("g"), "w").limit(rules.max_terms).collect())
+                .select("w").collect())  # at most a third of the sample's distinct words
         return [r.w for r in rows]
 
     model.words = sorted(pick(by_word, n1, n0))
@@ -307,17 +308,16 @@ def fit(docs: DataFrame, labels: DataFrame, rules: ToxicityRules = ToxicityRules
     alike = by_word.where(f"c >= 1 and c * {n1!r} > 0.2 * t * {n0!r}").mapInArrow(look_alikes, by_word.schema)
     model.ordinary = sorted(r.w for r in alike.select("w").collect())
 
-    rows = _looked(train, model, ["toxic"]).collect()
-    counts = np.array([r.counts for r in rows], float).reshape(-1, 5)
-    y = np.array([r.toxic for r in rows], float)
+    looked = stage(_looked(train, model, ["toxic"]), "toxicity-looked")
     seen = np.full((2, CONTEXT_CELLS), 0.0)
-    for r in rows:
-        np.add.at(seen[r.toxic], r.cells, 1.0)
+    for r in looked.select("toxic", F.explode("cells").alias("cell")).groupBy("toxic", "cell").count().collect():  # two rows a cell at most
+        seen[r.toxic, r.cell] = r["count"]
     rate = (seen + 2.0) / (seen + 2.0).sum(axis=1, keepdims=True)
     # cells that only one label's hits have met say little: shrunk by the counts
     model.context = np.log(rate[1] / rate[0]) * (seen.min(axis=0) / (seen.min(axis=0) + 5.0))
-    context = np.array([model.context[r.cells].mean() if r.cells else 0.0 for r in rows])
-    model.weights = _logistic(design(counts, context), y)
+    rows = _in_context(looked, model).collect()  # six numbers a row of the sample
+    counts = np.array([r.counts for r in rows], float).reshape(-1, 5)
+    model.weights = _logistic(design(counts, np.array([r.context for r in rows])), np.array([r.toxic for r in rows], float))
     return model
 
 
@@ -340,6 +340,18 @@ def _looked(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     return docs.select(*keep, "text").mapInArrow(run, out)
 
 
+def _in_context(looked: DataFrame, model: Model) -> DataFrame:
+    """toxic, counts and the mean log-odds of the context cells."""
+    out = StructType([*looked.schema.fields[:2], StructField("context", DoubleType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            mean = [model.context[c].mean() if c else 0.0 for c in b.column("cells").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("toxic"), b.column("counts"), pa.array(mean, pa.float64())], names=out.names)
+
+    return looked.mapInArrow(run, out)
+
+
 def score(docs: DataFrame, model: Model, rules: ToxicityRules = ToxicityRules()) -> DataFrame:
     """doc_id, held_out, score, predicted and the counts of hits."""
     ship(docs.sparkSession)
