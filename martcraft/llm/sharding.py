@@ -7,6 +7,9 @@ A document's slot is a hash of its id; the table, whose size is a parameter,
 is broadcast, so a placement is one look-up, no document moves, and a shard
 that joins or leaves changes few other placements.
 
+A shard of weight 0 gets no slot; weights that are all 0, and a table with fewer
+slots than shards, are refused.
+
 Defined cases: a null id is placed as the empty text; equal ids land on the
 same shard; an empty table gives an empty result; the texts are not read.
 """
@@ -36,6 +39,10 @@ def lookup_table(shards: tuple[str, ...] = SHARDS, size: int = TABLE_SIZE, weigh
     names, so the table does not depend on the order given."""
     if len(set(shards)) != len(shards) or not shards:
         raise ValueError("shards need distinct names, one at least")
+    if size < len(shards):
+        raise ValueError("the table needs a slot for each shard")
+    if min((weights or {}).values(), default=1) < 0 or not any((weights or {}).get(s, 1) for s in shards):
+        raise ValueError("weights must not be negative, and one shard at least needs a weight")
     if size < 3 or any(size % d == 0 for d in range(2, int(size ** 0.5) + 1)):
         raise ValueError("the table's size must be a prime")
     order = sorted(range(len(shards)), key=shards.__getitem__)

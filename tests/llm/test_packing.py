@@ -1,5 +1,6 @@
 """Packing: exact round trip against the tokenizer, mixture, brute force."""
 
+import json
 import random
 import zlib
 
@@ -69,6 +70,16 @@ def test_runs_equal_whole_text(tokenizer):
         assert got == tokenizer.encode(t or "", add_special_tokens=False).ids
 
 
+def test_any_run_equals_the_general_path(tokenizer):
+    enc, rng = P.WordIds(P.default_tokenizer()), random.Random(5)
+    letters = "abcDEFtheING019'!?.,;:#$%&*|<>=+()_-@/\\~^`{}[]\"é\x7f\x1c"
+    runs = {"".join(rng.choice(letters) for _ in range(rng.randint(1, 14))) for _ in range(6000)}
+    added = [t["content"] for t in json.loads(tokenizer.to_str())["added_tokens"]]
+    runs |= {a + b + c for a in ("", "x", "(") for b in [*added, *map(str.upper, added), "<|", "don't", "it's9", "Ü12!"] for c in ("", "y", ".")}
+    for run in runs:
+        assert np.frombuffer(enc[run.encode()], "<u2").tolist() == tokenizer.encode(run, add_special_tokens=False).ids, run
+
+
 def test_mixture_is_held_in_every_window():
     rng = random.Random(1)
     names = ["hot"] * 6 + ["b", "c", "d"]

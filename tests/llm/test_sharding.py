@@ -26,6 +26,13 @@ def slow_table(names, size, weights=None):
     return [table[s] for s in range(size)]
 
 
+def test_refused_plans():
+    for shards, size, weights in ((("a", "b"), 7, {"a": 0, "b": 0}), (("a", "b"), 7, {"a": -1}), (("a", "b", "c", "d"), 3, None)):
+        with pytest.raises(ValueError):
+            S.lookup_table(shards, size, weights)
+    assert set(S.lookup_table(("a", "b"), 7, {"a": 0})) == {1}
+
+
 def test_table():
     names = tuple(f"n{i}" for i in (3, 1, 2, 7, 5))
     got = [names[k] for k in S.lookup_table(names, 257)]
