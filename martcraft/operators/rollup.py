@@ -111,6 +111,17 @@ def union_sources(*parts: DataFrame) -> DataFrame:
     return out
 
 
+def dealer_division(lines: DataFrame, dealer: DataFrame) -> DataFrame:
+    """``LEFT JOIN dealer ON dealer_id = id``: the lines with the dealer's
+    division instead of their own. Joined to the lines, not to sums by dealer:
+    those are nearly as many as the lines where dealers are, and a task would
+    hold a sum for each. A dealer dimension that is small is broadcast; else
+    AQE's skew join splits a hot dealer on the side of the lines."""
+    d = dealer.select(F.col("id").alias("_dl_id"), F.col("division").alias("_dl_division"))
+    own = [c for c in lines.columns if c != "division"]
+    return lines.join(d, lines["dealer_id"] == d["_dl_id"], "left").select(*own, F.col("_dl_division").alias("division"))
+
+
 def lookup_code_by_name(df: DataFrame, nom_by_name: DataFrame, name_col: str = "internal_code") -> DataFrame:
     """``LEFT JOIN nom n ON s.name_col = n.name``: adds ``code65``.
 

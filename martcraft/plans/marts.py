@@ -22,6 +22,7 @@ from martcraft.operators.rollup import (
     KIT_UNIT,
     kit_rollup,
     kit_rollup_v1,
+    dealer_division,
     lookup_code_by_name,
     monthly_rollup,
     realization_patch,
@@ -165,14 +166,10 @@ def retail_rollup(inp: Inputs, rules: Rules, base: DataFrame | None = None,
 def _with_dealer_division(inp: Inputs, rules: Rules, with_direction_rule: bool,
                           measures: dict[str, str]) -> DataFrame:
     """Roll-up whose division comes from the dealer dimension (interim marts).
-    Lines are reduced per (month, dealer, ...) first, the dealer joined to the
-    monthly rows, then re-summed by the dealer's division."""
-    dims = ["internal_code", "assembly_variant", "sales_direction", "product_type"]
-    pre = monthly_rollup(_typed_retail(inp, rules, with_direction_rule), "period",
-                         ["dealer_id", *dims], measures)
-    dealer = inp.dealer.select(F.col("id").alias("_dl_id"), F.col("division"))
-    j = pre.join(dealer, pre["dealer_id"] == dealer["_dl_id"], "left")
-    agg = j.groupBy("month", "division", *dims).agg(*[F.sum(m).alias(m) for m in measures])
+    The lines get the dealer's division, then they are summed once."""
+    lines = dealer_division(_typed_retail(inp, rules, with_direction_rule), inp.dealer)
+    agg = monthly_rollup(lines, "period", ["division", "internal_code", "assembly_variant", "sales_direction",
+                                           "product_type"], measures)
     return lookup_code_by_name(agg, dedupe_guide_by_name(inp.guide))
 
 

@@ -254,10 +254,8 @@ for _name, _fn in (("kit_sales_v1", M.kit_sales_v1), ("kit_sales_interim", M.kit
 
 @_q("dealer_division_rollup")
 def _(spark, inp):
-    pre = RU.monthly_rollup(inp.retail, "period", ["dealer_id"], {"retail_qty": "retail_qty"})
-    dealer = inp.dealer.select(F.col("id").alias("_dl_id"), "division")
-    j = pre.join(dealer, pre["dealer_id"] == dealer["_dl_id"], "left")
-    return j.groupBy("month", "division").agg(F.sum("retail_qty").alias("retail_qty"))
+    return RU.monthly_rollup(RU.dealer_division(inp.retail, inp.dealer), "period", ["division"],
+                             {"retail_qty": "retail_qty"})
 
 
 # --- marts kept between runs: a stale state first, then brought up to date ------------
