@@ -373,7 +373,7 @@ def _(spark, inp):
 
 @_q("sink_insert_overwrite_roundtrip")
 def _(spark, inp):
-    mart = M.retail_sales_v1(inp, R)
+    mart = materialize(M.retail_sales_v1(inp, R), "retail_sales_v1")   # two writes, one build
     path = _run_dir(spark, "retail_sales_v1")
     table = "retail_sales_v1_" + uuid.uuid4().hex[:12]
     SK.create_table(spark, table, mart, path)
