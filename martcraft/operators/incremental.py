@@ -39,10 +39,25 @@ PRINTS = "month date, print string"
 
 def row_fingerprints(df: DataFrame, month: Column) -> DataFrame:
     """month, print: of the rows of each month, whatever their order."""
+    return summed_prints(df.groupBy(month.alias("month")).agg(*print_sums(df.columns)))
+
+
+PRINT_SUMS = ("_rows", "_hash", "_hash2")
+
+
+def print_sums(columns: Sequence[str]) -> list[Column]:
+    """The aggregates of rows with these columns that make up their print. They
+    add up, so an aggregate by month and more can carry them along and spare
+    the print a pass of its own (``summed_prints``)."""
     # hashes skip NULLs: say where they are
-    seen = [x for c in df.columns for x in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())]
-    sums = [F.sum(h.cast("decimal(38,0)")).cast("string") for h in (F.xxhash64(*seen), F.xxhash64(F.lit(1), *reversed(seen)))]
-    return df.groupBy(month.alias("month")).agg(F.concat_ws(":", F.count("*").cast("string"), *sums).alias("print"))
+    seen = [x for c in columns for x in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())]
+    sums = [F.sum(h.cast("decimal(38,0)")) for h in (F.xxhash64(*seen), F.xxhash64(F.lit(1), *reversed(seen)))]
+    return [c.alias(name) for c, name in zip([F.count("*"), *sums], PRINT_SUMS)]
+
+
+def summed_prints(sums: DataFrame) -> DataFrame:
+    """month, print: from rows with a month and its ``print_sums``."""
+    return sums.groupBy("month").agg(F.concat_ws(":", *[F.sum(c).cast("string") for c in PRINT_SUMS]).alias("print"))
 
 
 def listing_fingerprints(spark: SparkSession, path: str, column: str) -> DataFrame:

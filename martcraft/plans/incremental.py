@@ -12,20 +12,32 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martcraft.functions.dates import dtype_of, month_in, month_start
-from martcraft.operators.incremental import Refresh, refresh_dense, refresh_rollup, row_fingerprints
+from martcraft.functions.dates import dtype_of, month_in
+from martcraft.operators.incremental import PRINT_SUMS, Refresh, print_sums, refresh_dense, refresh_rollup, summed_prints
 from martcraft.operators.rollup import KIT_UNIT
 from martcraft.plans import marts as M
 from martcraft.rules import Rules
+from martcraft.session import materialize
 from martcraft.sources.inputs import Inputs
 
 
 def retail_base_kept(inp: Inputs, rules: Rules, path: str, prints: DataFrame | None = None) -> tuple[DataFrame, Refresh]:
     """``marts.retail_base`` below ``path``. ``prints``: the lines' fingerprints
-    by month; by default one pass over the lines finds them. Where the lines
-    are partitioned by month, ``listing_fingerprints`` reads none, and only the
-    changed months are scanned at all."""
+    by month; by default one pass over the lines finds them and sums the lines.
+    Where the lines are partitioned by month, ``listing_fingerprints`` reads
+    none, and only the changed months are scanned at all."""
     lines = inp.retail
+    if prints is None:
+        sums = materialize(M.monthly_lines(lines, rules, print_sums(lines.columns)), "retail_lines")
+
+        def summed(months: list[dt.date | None]) -> DataFrame:
+            known = [m for m in months if m is not None]
+            wanted = F.col("month").isin(known) if known else F.lit(False)
+            if None in months:
+                wanted = wanted | F.col("month").isNull()
+            return sums.where(wanted).drop(*PRINT_SUMS)
+
+        return refresh_rollup(path, summed_prints(sums), summed)
     kind = dtype_of(lines, "period")
 
     def build(months: list[dt.date | None]) -> DataFrame:
@@ -34,8 +46,6 @@ def retail_base_kept(inp: Inputs, rules: Rules, path: str, prints: DataFrame | N
             wanted = wanted | F.col("period").isNull()
         return M.monthly_lines(lines.where(wanted), rules)
 
-    if prints is None:
-        prints = row_fingerprints(lines, month_start("period"))
     return refresh_rollup(path, prints, build)
 
 
