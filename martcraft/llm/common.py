@@ -11,7 +11,9 @@ import tempfile
 import uuid
 import weakref
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -69,6 +71,20 @@ def released(run, keep: str | None = None):
     return whole
 
 
+def byte_slices(batches, column: str, most: int = 1_000_000):
+    """The batches cut (without a copy) into runs of rows whose texts in
+    ``column`` hold about ``most`` bytes, or one row: what a worker makes of a
+    batch is bounded by bytes, not by the rows Arrow sends at once."""
+    for b in batches:
+        n = pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy(zero_copy_only=False)
+        ends, at = np.cumsum(n, dtype=np.int64), 0
+        while at < len(n):
+            before = ends[at - 1] if at else 0
+            stop = max(at + 1, int(np.searchsorted(ends, before + most, "right")))
+            yield b.slice(at, stop - at)
+            at = stop
+
+
 def free_memory(keep: str | None = None) -> None:
     for name, table in WORKER_TABLES.items():
         if name != keep:

@@ -22,7 +22,7 @@ spans; the counts are summed by Spark over all documents.
 Spans are ``kind:start:end`` in code points, end exclusive, of the whole
 match. Defined cases: null text is scanned as empty; an empty text has no
 spans and the digest of the empty string; with no labelled sample the random
-model is uniform; texts are scanned whole, in pieces of 4 MB or one text;
+model is uniform; texts are scanned whole, in pieces of 1 MB or one text;
 repeated rows and null ids come back each; an empty table gives an empty
 result; ``redact`` leaves other columns untouched.
 """
@@ -40,8 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from martcraft.llm.common import released, ship
-from martcraft.llm.hashing import pieces
+from martcraft.llm.common import byte_slices, released, ship
 
 ASSIGN = re.compile(rb"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE)
 ASSIGN_HINTS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
@@ -213,10 +212,8 @@ def _summed(docs: DataFrame, rules: SecretRules, of, size: int) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size, np.int64)
-        for b in batches:
-            texts = b.column("_text").to_pylist()
-            for part in pieces(texts, 4_000_000):  # bounds the arrays over the bytes
-                total += of(Scan([texts[i] for i in part], rules)).ravel()
+        for b in byte_slices(batches, "_text"):  # bounds the arrays over the bytes
+            total += of(Scan(b.column("_text").to_pylist(), rules)).ravel()
         yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], pa.list_(pa.int64()))], names=out.names)
 
     rows = _texts(docs).select("_text").mapInArrow(released(run), out)
@@ -271,10 +268,8 @@ def find(docs: DataFrame, rules: SecretRules = SecretRules()) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         line = lambda spans: ",".join(f"{KINDS[s['kind']]}:{s['start']}:{s['end']}" for s in spans)
-        for b in batches:
-            texts, found = b.column("_text").to_pylist(), []
-            for part in pieces(texts, 4_000_000):
-                found += Scan([texts[i] for i in part], rules).spans(table, limits)
+        for b in byte_slices(batches, "_text"):
+            found = Scan(b.column("_text").to_pylist(), rules).spans(table, limits)
             n = np.array([[sum(s["kind"] == k for s in every) for k in range(4)] for every in found], np.int64).reshape(-1, 4)
             digests = [hashlib.sha256(line([s for s in every if s["kind"] < 3]).encode()).hexdigest() for every in found]
             yield pa.RecordBatch.from_arrays(
@@ -303,13 +298,11 @@ def redact(docs: DataFrame, rules: SecretRules = SecretRules(), mark: str = "[SE
     counted = "n_chars" in docs.columns and docs.schema["n_chars"].dataType in (IntegerType(), LongType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts, changed = b.column("text").cast(pa.binary()).to_pylist(), {}
-            for part in pieces(texts, 4_000_000):
-                for i, spans in zip(part, Scan([texts[i] or b"" for i in part], rules).spans(table, limits)):
-                    if spans:
-                        changed[i] = _without(texts[i], spans, mark)
-            del texts
+        for b in byte_slices(batches, "text"):
+            texts = b.column("text").cast(pa.binary()).to_pylist()
+            found = Scan([t or b"" for t in texts], rules).spans(table, limits)
+            changed = {i: _without(texts[i], spans, mark) for i, spans in enumerate(found) if spans}
+            del texts, found
             if changed:
                 cols = {name: b.column(name) for name in b.schema.names}
                 cols["text"] = pa.array([changed.get(i, t) for i, t in enumerate(cols["text"].to_pylist())], b.column("text").type)

@@ -5,7 +5,9 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 
+from martcraft.llm import common
 from martcraft.llm import secrets as S
 
 SCHEMA = "doc_id long, text string, spans string, n_chars long"
@@ -126,3 +128,33 @@ def test_many_spans_in_one_text(spark):
     text = " ".join(f"token=abcdefgh{i}" for i in range(20_000))
     r = S.find(spark.createDataFrame([(1, text, "", 0)], SCHEMA)).first()
     assert r.n_assign == 20_000 and r.n_random == 0
+
+
+def test_slices_are_bounded_by_bytes():
+    texts = [b"x" * 700, None, b"", b"y" * 5000, *[b"z" * 100] * 30]
+    batches = [pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "_text"])] * 2
+    got = list(common.byte_slices(batches + [batches[0].slice(0, 0)], "_text", 1000))
+    assert [t for b in got for t in b.column("_text").to_pylist()] == texts * 2
+    assert all(b.num_rows == 1 or sum(len(t or b"") for t in b.column("_text").to_pylist()) <= 1000 for b in got)
+    assert len(got) == 2 * 5
+
+
+def test_scans_hold_a_small_part_of_a_batch(spark, monkeypatch):
+    """A worker's arrays are bounded by bytes of text, however many rows come at once."""
+    sizes, scan = [], S.Scan.__init__
+
+    def noted(self, texts, rules):
+        sizes.append(sum(map(len, texts)))
+        scan(self, texts, rules)
+
+    monkeypatch.setattr(S.Scan, "__init__", noted)
+    monkeypatch.setattr(S, "released", lambda run, keep=None: run)
+    out = []
+    frame = type("Frame", (), {"select": lambda s, *a: s, "sparkSession": spark, "columns": ["text"], "schema": {},
+                               "mapInArrow": lambda s, run, schema: out.append(run)})()
+    monkeypatch.setattr(S, "learn", lambda docs, rules: (np.zeros((S.CODES, S.CODES)), np.full(10, 9.0)))
+    S.redact(frame)
+    batch = pa.RecordBatch.from_arrays([pa.array(["password=abcdefgh1 " + "a word " * 3000] * 300)], names=["text"])
+    got = [t for b in out[0](iter([batch])) for t in b.column("text").to_pylist()]
+    assert got == ["[SECRET] " + "a word " * 3000] * 300
+    assert max(sizes) <= 1_000_000 and sum(sizes) == 300 * 21019
