@@ -48,6 +48,7 @@ from martcraft.llm.hashing import hashed_words, pieces
 WINDOW = 2
 SIDES = (-2, -1, 1, 2)
 FAN = 8
+BLOCK = 4096  # rows worked on at once, so that they stay in a core's cache
 
 
 @dataclass(frozen=True)
@@ -171,13 +172,38 @@ def _turns(klass: np.ndarray, member: np.ndarray, depth: int) -> tuple[np.ndarra
     return node.astype(np.int32), ((member[:, None] >> (depth - 1 - level)) & 1).astype(np.float32)
 
 
-def _by_row(index: np.ndarray, columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """The rows that occur, and their sums of the columns."""
-    rows = np.flatnonzero(np.bincount(index))
-    number = np.empty(rows[-1] + 1, np.int64)
-    number[rows] = np.arange(len(rows))
-    at = number[index]
-    return rows, np.stack([np.bincount(at, c) for c in columns], axis=1).astype(np.float32)
+def _runs(ordered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and lengths of the runs of equal numbers, longest first."""
+    starts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])[:len(ordered)])
+    lengths = np.diff(np.append(starts, len(ordered)))
+    order = np.argsort(-lengths, kind="stable")
+    return starts[order], lengths[order]
+
+
+def _run_sums(rows: np.ndarray, starts: np.ndarray, lengths: np.ndarray, short: int = 8) -> np.ndarray:
+    """Sums of the runs. Short ones, nearly all, are added up together: their
+    first rows, their second ones, ...; a reduction costs more for each run
+    than for its rows."""
+    out = rows.take(starts, axis=0)
+    if long := int(np.searchsorted(-lengths, -short)):
+        place = np.argsort(starts[:long])
+        ends = np.stack([starts[place], starts[place] + lengths[place]], axis=1).ravel()
+        out[place] = np.add.reduceat(rows, ends[:-1] if ends[-1] == len(rows) else ends, axis=0)[::2]
+    for k in range(1, short):
+        end = int(np.searchsorted(-lengths, -k))
+        if end <= long:
+            break
+        out[long:end] += rows.take(starts[long:end] + k, axis=0)
+    return out
+
+
+def _order(index: np.ndarray, most: int) -> np.ndarray:
+    """Stable order of numbers up to ``most`` (of 16 bits: a radix sort)."""
+    return np.argsort(index.astype(np.uint16) if most < 1 << 16 else index, kind="stable")
+
+
+def _flat(part: np.ndarray) -> np.ndarray:
+    return part.reshape(-1, part.shape[-1])
 
 
 class Network:
@@ -196,7 +222,11 @@ class Network:
         if mass is not None:
             total = np.bincount(words.klass, mass, minlength=rules.classes)
             self.parts[3] = np.log(np.maximum(total, 1e-9) / total.sum()).astype(np.float32)
-            self.node, self.right = node, right = _turns(words.klass, words.member, self.depth)  # of every token
+            node, right = _turns(words.klass, words.member, self.depth)
+            self.node, self.right = np.ascontiguousarray(node.T), np.ascontiguousarray(right.T)  # by level, of every token
+            place = np.empty(len(node), np.int64)
+            place[np.lexsort((words.member, words.klass))] = np.arange(len(node))
+            self.place = place  # of every token among the leaves: windows in this order meet each level's nodes in runs
             sides = [np.bincount(node.ravel(), (mass[:, None] * (right == k)).ravel(), minlength=nodes) for k in (0, 1)]
             self.parts[5][:, 0] = np.clip(np.log(np.maximum(sides[1], 1e-20)) - np.log(np.maximum(sides[0], 1e-20)), -30, 30)
 
@@ -217,64 +247,101 @@ class Network:
 
     def hidden(self, sides: np.ndarray) -> np.ndarray:
         e, b = self.parts[:2]
-        z = e[0, sides[0]] + b
+        z = e[0].take(sides[0], axis=0)
+        z += b
         for k in range(1, len(SIDES)):
-            z += e[k, sides[k]]
+            z += e[k].take(sides[k], axis=0)
         return np.tanh(z, out=z)
 
-    def weights(self, hidden: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Logits of the classes less their greatest, their exponentials and
-        the sums of these."""
-        z = hidden @ self.parts[2]
-        z += self.parts[3]
-        z -= z.max(axis=1, keepdims=True)
-        x = np.exp(z)
-        return z, x, x.sum(axis=1)
+    def logits(self, hidden: np.ndarray) -> np.ndarray:
+        """Logits of the classes, less their greatest where exponentials
+        might leave the range (|hidden| is 1 at most)."""
+        w, b = self.parts[2:4]
+        z = hidden @ w
+        z += b
+        if (np.abs(w).sum(axis=0) + np.abs(b)).max() > 30:
+            z -= z.max(axis=1, keepdims=True)
+        return z
 
     def log_probs(self, hidden: np.ndarray) -> np.ndarray:
-        z, _, total = self.weights(hidden)
-        return z - np.log(total)[:, None]
+        z = self.logits(hidden)
+        return z - np.log(np.exp(z).sum(axis=1))[:, None]
 
     def token_log_probs(self, sides: np.ndarray, klass: np.ndarray, token: np.ndarray) -> np.ndarray:
+        n = len(klass)
         h = self.hidden(sides)
-        z, _, total = self.weights(h)
-        out = (z[np.arange(len(klass)), klass] - np.log(total)).astype(np.float64)
+        z = self.logits(h)
+        own = z[np.arange(n), klass]
+        out = (own - np.log(np.exp(z, out=z) @ np.ones(z.shape[1], z.dtype))).astype(np.float64)
         if len(self.parts) > 4:
-            node = self.node[token]
-            u = (self.parts[4][node] @ h[:, :, None])[:, :, 0] + self.parts[5][node, 0]
             # one logarithm of the product of 1 + exp(+-u); past 60 the 1 is lost anyway
-            u = (u * (1 - 2 * self.right[token])).astype(np.float64)
-            far = np.maximum(u - 60, 0)
-            out -= np.log((1 + np.exp(u - far)).prod(axis=1)) + far.sum(axis=1)
+            product, far = np.ones(n), np.zeros(n)
+            for node, right in zip(self.node, self.right):
+                at = node.take(token)
+                u = np.einsum("ij,ij->i", self.parts[4].take(at, axis=0), h)
+                u += self.parts[5].take(at)
+                u *= 1 - 2 * right.take(token)
+                over = np.maximum(u - 60, 0)
+                far += over
+                product *= 1 + np.exp((u - over).astype(np.float64))
+            out -= np.log(product) + far
         return out
 
+    def ordered(self, token: np.ndarray) -> np.ndarray:
+        """An order of windows in which equal nodes of every level adjoin."""
+        return _order(self.place.take(token), len(self.place)) if len(self.parts) > 4 else np.arange(len(token))
+
     def gradient(self, sides: np.ndarray, klass: np.ndarray, token: np.ndarray) -> tuple[list, list[np.ndarray]]:
         """Of each part the rows that the windows hold (None: all; the
         embeddings of all sides are one list), and their gradients."""
         e, _, w = self.parts[:3]
-        h = self.hidden(sides)
         n = len(klass)
-        _, p, total = self.weights(h)
-        p *= (1 / (n * total))[:, None]
-        p[np.arange(n), klass] -= np.float32(1 / n)
-        dh = p @ w.T
+        if len(self.parts) > 4 and (np.diff(self.place.take(token)) < 0).any():
+            order = self.ordered(token)
+            sides, klass, token = sides[:, order], klass[order], token[order]
+        h = self.hidden(sides)
+        dh, dw, db = np.empty_like(h), 0, 0
+        for i in range(0, n, BLOCK):
+            some, own = h[i:i + BLOCK], klass[i:i + BLOCK]
+            p = self.logits(some)
+            np.exp(p, out=p)
+            p *= (1 / (n * (p @ np.ones(p.shape[1], p.dtype))))[:, None]
+            p[np.arange(len(own)), own] -= np.float32(1 / n)
+            dh[i:i + BLOCK] = p @ w.T
+            dw = dw + some.T @ p
+            db = db + p.sum(axis=0)
         at, more = [], []
         if len(self.parts) > 4:
-            node = self.node[token]
-            own = self.parts[4][node]
-            u = (own @ h[:, :, None])[:, :, 0] + self.parts[5][node, 0]
-            np.clip(u, -60, 60, out=u)
-            np.exp(np.negative(u, out=u), out=u)
-            u += 1
-            g = np.reciprocal(u, out=u)
-            g -= self.right[token]
-            g /= n
-            dh += (g[:, None, :] @ own)[:, 0]
-            rows, d = _by_row(node.ravel(), [*[(g * h[:, j:j + 1]).ravel() for j in range(h.shape[1])], g.ravel()])
-            at, more = [rows, rows], [d[:, :-1], d[:, -1:]]
+            rows, sums, turns = [], [], []
+            for node, right in zip(self.node, self.right):
+                of = node.take(token)
+                own = self.parts[4].take(of, axis=0)
+                u = np.einsum("ij,ij->i", own, h)
+                u += self.parts[5].take(of)
+                np.clip(u, -60, 60, out=u)
+                np.exp(np.negative(u, out=u), out=u)
+                u += 1
+                g = np.reciprocal(u, out=u)
+                g -= right.take(token)
+                g /= n
+                own *= g[:, None]
+                dh += own
+                np.multiply(h, g[:, None], out=own)
+                starts, lengths = _runs(of)
+                rows.append(of.take(starts))
+                sums.append(_run_sums(own, starts, lengths))
+                turns.append(_run_sums(g[:, None], starts, lengths))
+            rows = np.concatenate(rows)
+            at, more = [rows, rows], [np.concatenate(sums), np.concatenate(turns)]
         dz = dh * (1 - h * h)
-        rows, de = _by_row((sides + np.arange(len(SIDES))[:, None] * e.shape[1]).ravel(), [np.tile(c, len(SIDES)) for c in dz.T])
-        return [rows, None, None, None, *at], [de, dz.sum(axis=0), h.T @ p, p.sum(axis=0), *more]
+        rows, de = [], []
+        for k, side in enumerate(sides):
+            order = _order(side, e.shape[1])
+            side = side.take(order)
+            starts, lengths = _runs(side)
+            rows.append(side.take(starts).astype(np.int64) + k * e.shape[1])
+            de.append(_run_sums(dz.take(order, axis=0), starts, lengths))
+        return [np.concatenate(rows), None, None, None, *at], [np.concatenate(de), dz.sum(axis=0), dw, db, *more]
 
 
 class Adam:
@@ -289,14 +356,34 @@ class Adam:
         self.t += 1
         scale = np.float32(self.rate * np.sqrt(1 - 0.99 ** self.t) / (1 - 0.9 ** self.t))
         for i, (at, g) in enumerate(zip(rows, grads)):
-            m, v, p = self.m[i], self.v[i], self.net.parts[i]
+            tables = self.m[i], self.v[i], self.net.parts[i]
             if at is None:
-                at = slice(None)
-            else:
-                m, v, p = (x.reshape(-1, x.shape[-1]) for x in (m, v, p))
-            m[at] = new = np.float32(0.9) * m[at] + np.float32(0.1) * g
-            v[at] = square = np.float32(0.99) * v[at] + np.float32(0.01) * g * g
-            p[at] -= scale * new / (np.sqrt(square) + np.float32(1e-8))
+                _move(*tables, g, scale)
+                continue
+            for j in range(0, len(at), BLOCK):
+                some = at[j:j + BLOCK]
+                held = [_flat(x).take(some, axis=0) for x in tables]
+                _move(*held, g[j:j + BLOCK], scale)
+                for x, y in zip(tables, held):
+                    _whole_rows(x)[some] = _whole_rows(y)
+
+
+def _move(m: np.ndarray, v: np.ndarray, p: np.ndarray, g: np.ndarray, scale: np.float32) -> None:
+    """One step, in place."""
+    m *= np.float32(0.9)
+    m += np.float32(0.1) * g
+    v *= np.float32(0.99)
+    v += np.float32(0.01) * g * g
+    change = np.sqrt(v)
+    change += np.float32(1e-8)
+    np.divide(m, change, out=change)
+    change *= scale
+    p -= change
+
+
+def _whole_rows(part: np.ndarray) -> np.ndarray:
+    """Each row of a table as one element, which numpy copies at once."""
+    return _flat(part).view(np.dtype((np.void, part.shape[-1] * part.itemsize)))[:, 0]
 
 
 def encode(docs: DataFrame, words: Vocabulary) -> DataFrame:
@@ -426,7 +513,9 @@ def train(encoded: DataFrame, words: Vocabulary, rules: LmRules) -> Network:
                         # small steps at first, so that small tables get enough of them
                         at = pick[i:i + min(rules.batch, max(256, seen // 16))]
                         i += len(at)
-                        rows, grads = local.gradient(sides[:, at], own.klass[token[at]], token[at])
+                        at = at[local.ordered(token.take(at))]
+                        x = token.take(at)
+                        rows, grads = local.gradient(sides.take(at, axis=1), own.klass.take(x), x)
                         adam.step(rows, grads)
                         for k, r in enumerate(rows):
                             if r is not None:
@@ -453,8 +542,8 @@ def token_scores(net: Network, words: Vocabulary, batch: list[bytes]) -> tuple[n
     """Conditional log-probability of every token, and the lengths."""
     token, sides, lengths = windows(batch, words)
     out = np.empty(len(token))
-    for i in range(0, len(token), 8192):
-        at = slice(i, i + 8192)
+    for i in range(0, len(token), BLOCK):
+        at = slice(i, i + BLOCK)
         out[at] = net.token_log_probs(sides[:, at], words.klass[token[at]], token[at]) + words.share[token[at]]
     return out, lengths
 

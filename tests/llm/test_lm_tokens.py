@@ -143,3 +143,32 @@ def test_changes_are_averaged_by_the_steps_that_met_a_row():
     assert np.allclose(mean[0][0, 0], 1) and np.allclose(mean[0][0, 1], 2)
     assert np.allclose(mean[0][1, 5], (4 + 3 * 8) / 4, atol=1e-2)
     assert np.allclose(mean[1], 20 / 30, atol=1e-3) and not mean[0][2].any() and weight[1] == 30
+
+
+def test_run_sums():
+    """Sums of runs, long and short, with and without a long one at the end."""
+    rng = np.random.default_rng(1)
+    for lengths in ([1], [30], [1, 2, 8, 7, 9, 1, 40, 3], [9, 9, 1, 2, 12], [1, 1, 5]):
+        index = np.repeat(np.arange(len(lengths)), lengths)
+        rows = rng.normal(size=(len(index), 3))
+        starts, found = L._runs(index)
+        assert found.tolist() == sorted(lengths, reverse=True)
+        want = np.array([rows[index == i].sum(axis=0) for i in index[starts]])
+        assert np.allclose(L._run_sums(rows, starts, found), want)
+
+
+def test_order_of_windows_is_no_matter():
+    """Gradients of windows as they come and in the order of their nodes."""
+    rules = L.LmRules(rare=8, classes=5, width=3)
+    words = L._every_token(np.arange(1, 40, dtype=np.uint64), np.arange(39.0, 0, -1), np.zeros(8), np.zeros(8), rules)
+    net, rng = L.Network(words, rules), np.random.default_rng(0)
+    sides, x = rng.integers(0, 47, (4, 300)), rng.integers(0, 47, 300)
+    order = net.ordered(x)
+    assert (np.diff(net.node[:, x[order]], axis=1) >= 0).all()
+    one = net.gradient(sides, words.klass[x], x)
+    two = net.gradient(sides[:, order], words.klass[x[order]], x[order])
+    for (r, g), (s, d) in zip(zip(*one), zip(*two)):
+        if r is not None:
+            assert len(set(r.tolist())) == len(r)
+            g, d = g[np.argsort(r)], d[np.argsort(s)]
+        assert np.allclose(g, d, atol=1e-6)
