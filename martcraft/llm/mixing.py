@@ -67,6 +67,12 @@ class MixRules:
     tolerance: float = 1e-3
 
 
+def _distinct(x: np.ndarray) -> np.ndarray:
+    """The distinct values, ascending (``np.unique`` hashes them, slower here)."""
+    x = np.sort(x)
+    return x[np.concatenate([[True], x[1:] != x[:-1]])] if len(x) else x
+
+
 def signs(texts: list[bytes | None], part: list[int], bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(position in ``part``, cell) of every sign that a text has, each once,
     and the texts' numbers of words."""
@@ -75,11 +81,11 @@ def signs(texts: list[bytes | None], part: list[int], bits: int) -> tuple[np.nda
     size = 1 << bits
     cell = (h >> np.uint64(64 - bits)).astype(np.int64)
     tail = ((end.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - bits)).astype(np.int64)
-    words = np.unique(at * size + cell)
+    words = _distinct(at * size + cell)
     distinct = np.bincount(words // size, minlength=len(part))
     # of ten words, how many are distinct
     tenth = np.where(n > 0, 10 * distinct // np.maximum(n, 1), 11)
-    every = np.unique(np.concatenate([words, at * size + tail, np.arange(len(part)) * size + tenth]))
+    every = _distinct(np.concatenate([words, at * size + tail, np.arange(len(part)) * size + tenth]))
     return every // size, every % size, n
 
 
@@ -235,23 +241,26 @@ def _matrix(column: pa.Array, k: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, k)
 
 
-def totals(rows: DataFrame, k: int, steps: list[tuple[float, np.ndarray]], squares: bool = False) -> np.ndarray:
-    """Expected tokens of each domain at the rates after ``steps``; with
-    ``squares`` followed by the k x k sums of tokens * p p'."""
+def totals(rows: DataFrame, k: int, ways: list[list[tuple[float, np.ndarray]]], squares: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Expected tokens of each domain at the rates after each of several lists
+    of steps, all from one pass; with ``squares`` the k x k sums of
+    tokens * p p', else none."""
     out = StructType([StructField("y", ArrayType(DoubleType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        y, h = np.zeros(k), np.zeros((k, k))
+        y, h = np.zeros((len(ways), k)), np.zeros((k * squares, k * squares))
         for b in batches:
             p, tokens = _matrix(b.column("p"), k), b.column("tokens").to_numpy()
-            y += (tokens * _rates(p, steps)) @ p
+            for i, steps in enumerate(ways):
+                y[i] += (tokens * _rates(p, steps)) @ p
             if squares:
                 h += (p * tokens[:, None]).T @ p
-        yield pa.RecordBatch.from_arrays([pa.array([y.tolist() + (h.ravel().tolist() if squares else [])], pa.list_(pa.float64()))], names=["y"])
+        yield pa.RecordBatch.from_arrays([pa.array([y.ravel().tolist() + h.ravel().tolist()], pa.list_(pa.float64()))], names=["y"])
 
-    n = k + k * k * squares
-    sums = rows.select("tokens", "p").mapInArrow(run, out).agg(*[F.sum(F.col("y")[i]).alias(f"y{i}") for i in range(n)]).first()
-    return np.array([v or 0.0 for v in sums])
+    n = k * len(ways)
+    sums = rows.select("tokens", "p").mapInArrow(run, out).agg(*[F.sum(F.col("y")[i]).alias(f"y{i}") for i in range(n + k * k * squares)]).first()
+    sums = np.array([v or 0.0 for v in sums])
+    return sums[:n].reshape(len(ways), k), sums[n:].reshape(k * squares, k * squares)
 
 
 def goals(domains: list[str], own: np.ndarray, targets: tuple[tuple[str, float], ...]) -> np.ndarray:
@@ -273,22 +282,37 @@ class Fit:
     residual: float  # share of all tokens by which the totals miss the targets
 
 
-def _descend(rows: DataFrame, own: np.ndarray, b: np.ndarray, metric: np.ndarray, rules: MixRules) -> Fit:
-    """Steps up to the one with the least residual."""
-    steps: list[tuple[float, np.ndarray]] = []
-    y = last = own
-    since, off = 0, np.abs(y - b).sum()
-    best, taken = off, 0
-    while len(steps) < rules.max_steps and off > rules.tolerance * own.sum():
-        m = since / (since + 3.0)
-        moved = y + m * (y - last)
-        steps.append((m, metric @ (moved - b)))
-        last, y = y, totals(rows, len(own), steps)
-        before, off = off, np.abs(y - b).sum()
-        since = 0 if off > before else since + 1
-        if off < best:
-            best, taken = off, len(steps)
-    return Fit(steps[:taken], float(best / own.sum()))
+class Descent:
+    """Steps in one metric, up to the one with the least residual."""
+
+    def __init__(self, own: np.ndarray, b: np.ndarray, metric: np.ndarray, rules: MixRules) -> None:
+        self.own, self.b, self.metric, self.rules = own, b, metric, rules
+        self.steps: list[tuple[float, np.ndarray]] = []
+        self.y = self.last = own
+        self.since, self.off = 0, np.abs(own - b).sum()
+        self.best, self.taken = self.off, 0
+
+    @property
+    def goes_on(self) -> bool:
+        return len(self.steps) < self.rules.max_steps and self.off > self.rules.tolerance * self.own.sum()
+
+    def next_step(self) -> list[tuple[float, np.ndarray]]:
+        m = self.since / (self.since + 3.0)
+        moved = self.y + m * (self.y - self.last)
+        self.steps.append((m, self.metric @ (moved - self.b)))
+        return self.steps
+
+    def take(self, y: np.ndarray) -> None:
+        """The totals after the last step."""
+        self.last, self.y = self.y, y
+        before, self.off = self.off, np.abs(y - self.b).sum()
+        self.since = 0 if self.off > before else self.since + 1
+        if self.off < self.best:
+            self.best, self.taken = self.off, len(self.steps)
+
+    @property
+    def fit(self) -> Fit:
+        return Fit(self.steps[:self.taken], float(self.best / self.own.sum()))
 
 
 def fit_rates(rows: DataFrame, domains: list[str], rules: MixRules) -> Fit:
@@ -296,19 +320,26 @@ def fit_rates(rows: DataFrame, domains: list[str], rules: MixRules) -> Fit:
     at the moved point follow from the last two. Where the posteriors' metric
     does not get there (no nonnegative rates meet the targets, or domains are
     hardly told apart), the steps ``(y_k - b_k) / T_k`` (T: totals at rate 1)
-    are tried too, and the smaller residual counts."""
+    are tried too, and the smaller residual counts; both go along in the same
+    passes over the rows."""
     k = len(domains)
-    first = totals(rows, k, [], squares=True)
-    own = first[:k]
+    first, squares = totals(rows, k, [[]], squares=True)
+    own = first[0]
     if not own.sum():
         return Fit([], 0.0)
     b = goals(domains, own, rules.targets)
-    fit = _descend(rows, own, b, np.linalg.pinv(first[k:].reshape(k, k), rcond=1e-10, hermitian=True), rules)
-    if fit.residual > rules.tolerance:
-        plain = _descend(rows, own, b, np.diag(1 / np.where(own > 0, own, np.inf)), rules)
-        fit = min(fit, plain, key=lambda f: f.residual)
+    first = Descent(own, b, np.linalg.pinv(squares, rcond=1e-10, hermitian=True), rules)
+    plain = Descent(own, b, np.diag(1 / np.where(own > 0, own, np.inf)), rules)
+    while first.goes_on or (plain.goes_on and first.fit.residual > rules.tolerance):
+        moving = [d for d in (first, plain) if d.goes_on]
+        found, _ = totals(rows, k, [d.next_step() for d in moving])
+        for d, y in zip(moving, found):
+            d.take(y)
+    fit = first.fit
     if fit.residual > rules.tolerance:
-        warnings.warn(f"mixing: the totals are {fit.residual:.4f} of all tokens off their targets", stacklevel=2)
+        fit = min(fit, plain.fit, key=lambda f: f.residual)
+        if fit.residual > rules.tolerance:
+            warnings.warn(f"mixing: the totals are {fit.residual:.4f} of all tokens off their targets", stacklevel=2)
     return fit
 
 

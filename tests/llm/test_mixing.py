@@ -105,3 +105,24 @@ def test_goals():
     names = ["a", "b", "c", "d"]
     assert M.goals(names, own, (("b", 0.5),)).tolist() == [500 * 600 / 700, 500, 500 * 100 / 700, 0]
     assert abs(M.goals(names, own, (("a", 0.9), ("d", 0.1))).sum() - 1000) < 1e-9
+
+
+def test_both_metrics_share_their_passes(spark, monkeypatch):
+    """Targets out of reach: two descents, one pass over the rows for a step of both."""
+    p = [[0.9, 0.1], [0.8, 0.2], [0.85, 0.15]]
+    rows = spark.createDataFrame([(10 * i + 5, p[i % 3]) for i in range(30)], "tokens long, p array<double>").repartition(2)
+    passes, totals = [], M.totals
+    monkeypatch.setattr(M, "totals", lambda *a, **k: passes.append(a) or totals(*a, **k))
+    rules = M.MixRules(targets=(("b", 0.01),), max_steps=4)
+    with pytest.warns(UserWarning, match="off their targets"):
+        fit = M.fit_rates(rows, ["a", "b"], rules)
+    assert len(passes) == 5
+    tokens = np.array([10 * i + 5 for i in range(30)], float)
+    every = np.array([p[i % 3] for i in range(30)])
+    y = (tokens * M._rates(every, fit.steps)) @ every
+    assert abs(np.abs(y - tokens.sum() * np.array([0.99, 0.01])).sum() / tokens.sum() - fit.residual) < 1e-9
+
+
+def test_distinct():
+    x = np.random.default_rng(0).integers(0, 50, 200)
+    assert M._distinct(x).tolist() == sorted(set(x.tolist())) and len(M._distinct(x[:0])) == 0
