@@ -25,7 +25,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 
 from martcraft.llm import mixing, packing, quality, secrets, simhash
-from martcraft.llm.common import read
+from martcraft.llm.common import read, small_batches
 from martcraft.session import remove_folder, stage_path, stage_run
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -42,6 +42,7 @@ def _own_folder(function: Stage) -> Stage:
         before = _FOLDERS.pop(spark.sparkContext, None)
         if before and not any(before.rsplit("/", 1)[-1] in f for f in docs.inputFiles()):
             remove_folder(spark, before)
+        small_batches(spark)
         with stage_run(spark, stage_path(spark, function.__name__), keep=True) as folder:
             if function is not packing_stage.__wrapped__:
                 _FOLDERS[spark.sparkContext] = folder

@@ -71,6 +71,14 @@ def released(run, keep: str | None = None):
     return whole
 
 
+def small_batches(spark: SparkSession, most: int = 2_000_000) -> None:
+    """Arrow batches of about ``most`` bytes, if the session has larger ones.
+    A batch of texts is held several times, by the JVM's buffers and by the
+    worker, in every running task; the default bounds its rows only."""
+    if int(spark._jsparkSession.sessionState().conf().arrowMaxBytesPerBatch()) > most:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", most)
+
+
 def byte_slices(batches, column: str, most: int = 1_000_000):
     """The batches cut (without a copy) into runs of rows whose texts in
     ``column`` hold about ``most`` bytes, or one row: what a worker makes of a

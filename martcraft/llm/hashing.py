@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import numpy as np
 
+from martcraft.llm.common import WORKER_TABLES
+
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _KEPT = 1 << 21  # powers kept, 16 MB a base; a longer piece makes its own
-_POWERS: dict[int, np.ndarray] = {}
+_POWERS: dict[int, np.ndarray] = WORKER_TABLES.setdefault("hashing", {})
 
 
 def _powers(base: int, n: int) -> np.ndarray:
