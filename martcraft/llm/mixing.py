@@ -23,6 +23,9 @@ grows). A step needs only the K totals of the rates before, so every iteration
 is one pass over (tokens, posterior) rows with K sums; a document's rate
 follows from the list of past steps and is never shuffled. What the totals are
 off their targets by in the end is returned, and warned of above ``tolerance``.
+Targets out of reach are approached by the first step whose residual is hardly
+above the least one (``slack``); the steps after it gain little and drive ever
+more rates to zero.
 
 The classifier learns from at most ``max_labelled`` documents of each domain
 (least hash of doc_id), a documented bound. Posteriors, totals and rates cover
@@ -65,6 +68,7 @@ class MixRules:
     targets: tuple[tuple[str, float], ...] = (("quality=1,toxic=1", 0.02), ("quality=0,toxic=0", 0.01), ("quality=0,toxic=1", 0.01))
     max_steps: int = 60
     tolerance: float = 1e-3
+    slack: float = 0.05  # targets out of reach: how far above the least residual the first step that counts may be
 
 
 def _distinct(x: np.ndarray) -> np.ndarray:
@@ -283,14 +287,14 @@ class Fit:
 
 
 class Descent:
-    """Steps in one metric, up to the one with the least residual."""
+    """Steps in one metric."""
 
     def __init__(self, own: np.ndarray, b: np.ndarray, metric: np.ndarray, rules: MixRules) -> None:
         self.own, self.b, self.metric, self.rules = own, b, metric, rules
         self.steps: list[tuple[float, np.ndarray]] = []
         self.y = self.last = own
         self.since, self.off = 0, np.abs(own - b).sum()
-        self.best, self.taken = self.off, 0
+        self.offs = [self.off]
 
     @property
     def goes_on(self) -> bool:
@@ -307,12 +311,13 @@ class Descent:
         self.last, self.y = self.y, y
         before, self.off = self.off, np.abs(y - self.b).sum()
         self.since = 0 if self.off > before else self.since + 1
-        if self.off < self.best:
-            self.best, self.taken = self.off, len(self.steps)
+        self.offs.append(self.off)
 
-    @property
-    def fit(self) -> Fit:
-        return Fit(self.steps[:self.taken], float(self.best / self.own.sum()))
+    def fit(self, slack: float = 0.0) -> Fit:
+        """Up to the first step whose residual is at most this share above the
+        least one."""
+        taken = int(np.argmax(np.array(self.offs) <= (1 + slack) * min(self.offs)))
+        return Fit(self.steps[:taken], float(self.offs[taken] / self.own.sum()))
 
 
 def fit_rates(rows: DataFrame, domains: list[str], rules: MixRules) -> Fit:
@@ -330,15 +335,17 @@ def fit_rates(rows: DataFrame, domains: list[str], rules: MixRules) -> Fit:
     b = goals(domains, own, rules.targets)
     first = Descent(own, b, np.linalg.pinv(squares, rcond=1e-10, hermitian=True), rules)
     plain = Descent(own, b, np.diag(1 / np.where(own > 0, own, np.inf)), rules)
-    while first.goes_on or (plain.goes_on and first.fit.residual > rules.tolerance):
+    while first.goes_on or (plain.goes_on and first.fit().residual > rules.tolerance):
         moving = [d for d in (first, plain) if d.goes_on]
         found, _ = totals(rows, k, [d.next_step() for d in moving])
         for d, y in zip(moving, found):
             d.take(y)
-    fit = first.fit
+    fit = first.fit()
     if fit.residual > rules.tolerance:
-        fit = min(fit, plain.fit, key=lambda f: f.residual)
+        best = min(first, plain, key=lambda d: min(d.offs))
+        fit = best.fit()
         if fit.residual > rules.tolerance:
+            fit = best.fit(rules.slack)
             warnings.warn(f"mixing: the totals are {fit.residual:.4f} of all tokens off their targets", stacklevel=2)
     return fit
 
