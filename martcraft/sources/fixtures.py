@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martcraft.functions.dates import month_start
+from martcraft.sources.dealing import dealt_join
 from martcraft.sources.inputs import Inputs
 from martcraft.sources.tables import read_table
 
@@ -45,8 +46,9 @@ def fixture_inputs(spark: SparkSession, base_dir: str) -> Inputs:
         .when(psize % 4 == 2, "BUS").otherwise("OTHER").alias("division"),
     )
 
-    li_o = lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey)
-    kit_sales = li_o.join(part, F.col("l_partkey") == pk).select(
+    n_lines, n_parts = lineitem.count(), part.count()  # of the files' footers
+    li_o = dealt_join(lineitem, orders, "l_orderkey", "o_orderkey", n_lines)
+    kit_sales = dealt_join(li_o, part, "l_partkey", "p_partkey", n_lines, n_parts).select(
         month_start("l_shipdate").alias("month"),
         F.when(F.col("l_suppkey") % 3 == 0, F.lit(None).cast("string"))
         .otherwise(F.lit("ASIA")).alias("division"),
@@ -65,8 +67,8 @@ def fixture_inputs(spark: SparkSession, base_dir: str) -> Inputs:
            .select("c_custkey", "r_name"))
     # orders meet their customer before the lines do: one shuffle of the lines less
     owned = orders.join(geo, F.col("o_custkey") == F.col("c_custkey"))
-    retail = (lineitem.join(owned, F.col("l_orderkey") == F.col("o_orderkey"))
-              .join(part, F.col("l_partkey") == pk)
+    li_owned = dealt_join(lineitem, owned, "l_orderkey", "o_orderkey", n_lines)
+    retail = (dealt_join(li_owned, part, "l_partkey", "p_partkey", n_lines, n_parts)
               .select(
                   F.col("l_shipdate").alias("period"),
                   F.col("r_name").alias("division"),
