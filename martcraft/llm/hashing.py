@@ -6,8 +6,6 @@ import numpy as np
 
 from martcraft.llm.common import WORKER_TABLES
 
-_SPACE = np.zeros(256, bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _KEPT = 1 << 21  # powers kept, 16 MB a base; a longer piece makes its own
@@ -27,15 +25,21 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 def word_spans(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the runs without ASCII white space."""
-    inside = (~_SPACE[raw]).view(np.int8)
-    edge = np.flatnonzero(np.diff(np.concatenate([[0], inside, [0]])))
+    inside = np.zeros(len(raw) + 2, bool)
+    np.logical_and(raw != 32, raw - np.uint8(9) > 4, out=inside[1:-1])  # neither 9 to 13: unsigned
+    edge = np.flatnonzero(inside[1:] != inside[:-1])
     return edge[::2], edge[1::2]
 
 
 def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of the bytes of each span of ``raw`` (arithmetic modulo
     2**64): a polynomial in the bytes, then mixed."""
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * _powers(_BASE, len(raw)), dtype=np.uint64)])
+    sums = np.empty(len(raw) + 1, np.uint64)
+    sums[0], terms = 0, sums[1:]
+    terms[:] = raw
+    terms += np.uint64(1)
+    terms *= _powers(_BASE, len(raw))
+    np.cumsum(terms, out=terms)
     h = (sums[ends] - sums[starts]) * _powers(_INVERSE, len(raw) + 1)[starts]
     h ^= h >> np.uint64(31)
     h *= np.uint64(0xBF58476D1CE4E5B9)

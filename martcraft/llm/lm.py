@@ -33,6 +33,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -48,6 +49,7 @@ from martcraft.llm.hashing import hashed_words, pieces
 WINDOW = 2
 SIDES = (-2, -1, 1, 2)
 FAN = 8
+LEAD = 18     # leading bits of a word's hash that are looked up
 BLOCK = 4096  # rows worked on at once, so that they stay in a core's cache
 
 
@@ -85,10 +87,29 @@ class Vocabulary:
     def boundary(self) -> int:
         return int(self.inputs.max(initial=0)) + 1
 
+    @cached_property
+    def _first(self) -> tuple[np.ndarray, int]:
+        """By leading bits, where their hashes begin, and the most hashes that
+        share them."""
+        lead = np.arange((1 << LEAD) + 1, dtype=np.uint64)
+        first = np.searchsorted(self.hashes >> np.uint64(64 - LEAD), lead)
+        return first.astype(np.int32), int(np.diff(first).max())
+
+    def _places(self, h: np.ndarray) -> np.ndarray:
+        """``searchsorted`` of the hashes, by their leading bits; by halving
+        where many hashes share them."""
+        first, most = self._first
+        if most > 16:
+            return np.searchsorted(self.hashes, h)
+        at = first.take((h >> np.uint64(64 - LEAD)).astype(np.int64))
+        for _ in range(most):
+            at += self.hashes.take(at, mode="clip") < h
+        return np.minimum(at, len(self.hashes))
+
     def tokens(self, h: np.ndarray) -> np.ndarray:
         out = len(self.hashes) + (h % np.uint64(self.rare)).astype(np.int64)
         if len(self.hashes):
-            at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
+            at = np.minimum(self._places(h), len(self.hashes) - 1)
             known = self.hashes[at] == h
             out[known] = self.ranks[at[known]]
         return out
@@ -174,10 +195,20 @@ def _turns(klass: np.ndarray, member: np.ndarray, depth: int) -> tuple[np.ndarra
 
 def _runs(ordered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and lengths of the runs of equal numbers, longest first."""
-    starts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])[:len(ordered)])
-    lengths = np.diff(np.append(starts, len(ordered)))
-    order = np.argsort(-lengths, kind="stable")
-    return starts[order], lengths[order]
+    return _placed_runs(ordered)[:2]
+
+
+def _placed_runs(ordered: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same, and which of the runs as they come each one is."""
+    new = np.empty(len(ordered), bool)
+    new[:1] = True
+    np.not_equal(ordered[1:], ordered[:-1], out=new[1:])
+    starts = np.flatnonzero(new)
+    ends = np.empty_like(starts)
+    ends[:-1], ends[-1:] = starts[1:], len(ordered)
+    lengths = ends - starts
+    order = _order(len(ordered) - lengths, len(ordered))
+    return starts.take(order), lengths.take(order), order
 
 
 def _run_sums(rows: np.ndarray, starts: np.ndarray, lengths: np.ndarray, short: int = 8) -> np.ndarray:
@@ -202,6 +233,12 @@ def _order(index: np.ndarray, most: int) -> np.ndarray:
     return np.argsort(index.astype(np.uint16) if most < 1 << 16 else index, kind="stable")
 
 
+def _widened(column: np.ndarray, width: int) -> np.ndarray:
+    """A column repeated; rows are multiplied by it in one go, where numpy
+    takes a broadcast column row by row."""
+    return np.repeat(column, width).reshape(-1, width)
+
+
 def _flat(part: np.ndarray) -> np.ndarray:
     return part.reshape(-1, part.shape[-1])
 
@@ -283,7 +320,9 @@ class Network:
                 u *= 1 - 2 * right.take(token)
                 over = np.maximum(u - 60, 0)
                 far += over
-                product *= 1 + np.exp((u - over).astype(np.float64))
+                u -= over
+                np.exp(u, out=u)
+                product *= 1 + u.astype(np.float64)
             out -= np.log(product) + far
         return out
 
@@ -305,11 +344,13 @@ class Network:
             some, own = h[i:i + BLOCK], klass[i:i + BLOCK]
             p = self.logits(some)
             np.exp(p, out=p)
-            p *= (1 / (n * (p @ np.ones(p.shape[1], p.dtype))))[:, None]
-            p[np.arange(len(own)), own] -= np.float32(1 / n)
-            dh[i:i + BLOCK] = p @ w.T
-            dw = dw + some.T @ p
-            db = db + p.sum(axis=0)
+            total = p @ np.ones(p.shape[1], p.dtype)
+            p[np.arange(len(own)), own] -= total
+            part = 1 / (n * total)  # of each row of p; its products are narrower
+            wide = _widened(part, h.shape[1])
+            np.multiply(p @ w.T, wide, out=dh[i:i + BLOCK])
+            dw = dw + (some * wide).T @ p
+            db = db + part @ p
         at, more = [], []
         if len(self.parts) > 4:
             rows, sums, turns = [], [], []
@@ -324,13 +365,14 @@ class Network:
                 g = np.reciprocal(u, out=u)
                 g -= right.take(token)
                 g /= n
-                own *= g[:, None]
+                wide = _widened(g, h.shape[1])
+                own *= wide
                 dh += own
-                np.multiply(h, g[:, None], out=own)
-                starts, lengths = _runs(of)
+                np.multiply(h, wide, out=own)
+                starts, lengths, order = _placed_runs(of)
                 rows.append(of.take(starts))
                 sums.append(_run_sums(own, starts, lengths))
-                turns.append(_run_sums(g[:, None], starts, lengths))
+                turns.append(np.add.reduceat(g, np.sort(starts)).take(order)[:, None])
             rows = np.concatenate(rows)
             at, more = [rows, rows], [np.concatenate(sums), np.concatenate(turns)]
         dz = dh * (1 - h * h)
@@ -354,6 +396,7 @@ class Adam:
 
     def step(self, rows: list, grads: list[np.ndarray]) -> None:
         self.t += 1
+        # the moments are kept 10 and 100 times as large, which spares factors
         scale = np.float32(self.rate * np.sqrt(1 - 0.99 ** self.t) / (1 - 0.9 ** self.t))
         for i, (at, g) in enumerate(zip(rows, grads)):
             tables = self.m[i], self.v[i], self.net.parts[i]
@@ -371,11 +414,12 @@ class Adam:
 def _move(m: np.ndarray, v: np.ndarray, p: np.ndarray, g: np.ndarray, scale: np.float32) -> None:
     """One step, in place."""
     m *= np.float32(0.9)
-    m += np.float32(0.1) * g
+    m += g
     v *= np.float32(0.99)
-    v += np.float32(0.01) * g * g
-    change = np.sqrt(v)
-    change += np.float32(1e-8)
+    change = g * g
+    v += change
+    np.sqrt(v, out=change)
+    change += np.float32(1e-7)
     np.divide(m, change, out=change)
     change *= scale
     p -= change
@@ -436,6 +480,14 @@ def _grouped(rows: list[bytes], most: int = 400_000) -> Iterator[list[bytes]]:
         yield part
 
 
+def _count(touched: list[np.ndarray], met: list[list[np.ndarray]]) -> None:
+    """Count the rows that some steps met (each step a row once), and forget them."""
+    for times, rows in zip(touched, met):
+        if rows:
+            times += np.bincount(np.concatenate(rows), minlength=len(times))
+            rows.clear()
+
+
 def changes(net: Network, before: list[np.ndarray], touched: list[np.ndarray], seen: int) -> tuple[bytes, bytes]:
     """What a task sends: the change of every parameter (16-bit floats, with a
     scale for each part) and how many steps met each row of the sparse parts;
@@ -502,6 +554,7 @@ def train(encoded: DataFrame, words: Vocabulary, rules: LmRules) -> Network:
             local = Network(own, rules).load(flat)
             before = [p.copy() for p in local.parts]
             touched = [np.zeros(local.sparse_rows(i), np.int64) for i in range(len(local.parts))]
+            met: list = [[] for _ in local.parts]
             adam, seen = Adam(local, rules.rate / (1 + turn)), 0
             for b in batches:
                 for group in _grouped(b.column("ids").to_pylist()):
@@ -513,14 +566,18 @@ def train(encoded: DataFrame, words: Vocabulary, rules: LmRules) -> Network:
                         # small steps at first, so that small tables get enough of them
                         at = pick[i:i + min(rules.batch, max(256, seen // 16))]
                         i += len(at)
-                        at = at[local.ordered(token.take(at))]
                         x = token.take(at)
+                        order = local.ordered(x)
+                        at, x = at.take(order), x.take(order)
                         rows, grads = local.gradient(sides.take(at, axis=1), own.klass.take(x), x)
                         adam.step(rows, grads)
                         for k, r in enumerate(rows):
                             if r is not None:
-                                touched[k][r] += 1
+                                met[k].append(r)
+                        if adam.t % 16 == 0:
+                            _count(touched, met)
                         seen += len(at)
+            _count(touched, met)
             if seen:
                 change, counts = changes(local, before, touched, adam.t)
                 yield pa.RecordBatch.from_arrays(
